@@ -11,15 +11,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.config import TS
+from tripwire.config import FEATURE_ORDER, LABEL, TS
 from tripwire.functions.columns import iso
+from tripwire.operators.contract import check_messages, quality_checks, reject_summary
 from tripwire.operators.enrich import enrich
+from tripwire.operators.features import (
+    add_features,
+    label_rate,
+    split_time,
+    temporal_split,
+    user_profiles,
+)
 from tripwire.operators.rules import (
     alert_projection,
     geo_hop_rule,
     high_value_rule,
     velocity_rule,
 )
+from tripwire.sources.streams import to_messages
 from tripwire.sources.tables import load_places, load_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,8 +74,7 @@ def q_all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def queries() -> dict[str, Query]:
-    return {
+QUERIES: dict[str, Query] = {
         "all_alerts": q_all_alerts,
         "enrich": q_enrich,
         "high_value": q_high_value,
@@ -75,4 +83,72 @@ def queries() -> dict[str, Query]:
         "velocity_day": _velocity("1 day", 4),
         "geo_hop_5min": _geo_hop("5 minutes", 2),
         "geo_hop_hour": _geo_hop("1 hour", 2),
-    }
+}
+
+
+# ------------------------------------------------------- contract and features
+
+def _round(df: DataFrame, cols, digits: int = 6) -> DataFrame:
+    """Fix the precision of computed doubles (sums and transcendental functions
+    differ in the last bits between engines and partitionings)."""
+    return df.select(*[F.round(F.col(c), digits).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+def q_message_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    msgs = to_messages(load_transactions(spark, sf_dir))
+    return (check_messages(msgs).groupBy("status", "reason")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_reject_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(reject_summary(check_messages(to_messages(load_transactions(spark, sf_dir)))),
+                  {"reject_rate"})
+
+
+def q_dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_checks(load_transactions(spark, sf_dir))
+
+
+def q_user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(user_profiles(enriched_tx(spark, sf_dir)), {"amt_mean", "amt_std"})
+
+
+def q_label_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(label_rate(load_transactions(spark, sf_dir)), {"positive_rate"})
+
+
+def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = enriched_tx(spark, sf_dir)
+    cut = split_time(e, 0.8)
+    in_train = F.lit(False) if cut is None else F.col(TS) <= F.lit(cut)
+    in_valid = F.col(TS).isNotNull() & ~in_train
+    def n(cond, value=F.lit(1)):
+        return F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long")
+    cut_text = F.lit(None).cast("string") if cut is None else iso(F.lit(cut).cast("timestamp"))
+    return e.agg(n(in_train).alias("train_rows"), n(in_train, F.col(LABEL)).alias("train_positives"),
+                 n(in_valid).alias("valid_rows"), n(in_valid, F.col(LABEL)).alias("valid_positives")
+                 ).select(cut_text.alias("cut_time"), "*")
+
+
+def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = enriched_tx(spark, sf_dir)
+    train, _, _ = temporal_split(e, 0.8)
+    f = add_features(e, user_profiles(train))
+    return _round(f.select("transaction_id", *FEATURE_ORDER, LABEL),
+                  {"amount_eur", "log_amount", "amount_z"})
+
+
+QUERIES.update({
+    "message_check": q_message_check,
+    "reject_gate": q_reject_gate,
+    "dq_checks": q_dq_checks,
+    "user_profile": q_user_profile,
+    "label_rate": q_label_rate,
+    "split_counts": q_split_counts,
+    "features": q_features,
+})
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)

@@ -106,8 +106,7 @@ def _union(*statements: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def oracle_sql() -> dict[str, str]:
-    return {
+ORACLES: dict[str, str] = {
         "all_alerts": _union(HIGH_VALUE, velocity("1 minute", 4), geo_hop("5 minutes", 2)),
         "enrich": ENRICH,
         "high_value": HIGH_VALUE,
@@ -116,4 +115,96 @@ def oracle_sql() -> dict[str, str]:
         "velocity_day": velocity("1 day", 4),
         "geo_hop_5min": geo_hop("5 minutes", 2),
         "geo_hop_hour": geo_hop("1 hour", 2),
-    }
+}
+
+
+# ------------------------------------------------------- contract and features
+
+_FIELDS = ("user_id", "transaction_id", "amount", "currency", "timestamp", "location",
+           "method", "is_fraud")
+_MISSING = "concat_ws(',', " + ", ".join(
+    f"CASE WHEN {'ts' if f == 'timestamp' else f} IS NULL THEN '{f}' END" for f in _FIELDS) + ")"
+
+MESSAGE_CHECK = with_tx(f"""
+SELECT status, reason, count(*) AS n FROM (
+  SELECT CASE WHEN m = '' THEN NULL ELSE 'missing:' || m END AS reason,
+         CASE WHEN m = '' THEN 'ok' ELSE 'rejected' END AS status
+  FROM (SELECT {_MISSING} AS m FROM tx))
+GROUP BY status, reason""")
+
+REJECT_GATE = with_tx(f"""
+SELECT total, rejected, round(CASE WHEN total > 0 THEN rejected / total ELSE 0.0 END, 6)
+         AS reject_rate,
+       CAST((CASE WHEN total > 0 THEN rejected / total ELSE 0.0 END) <= 0.01 AS INTEGER)
+         AS passed
+FROM (SELECT count(*) AS total, CAST(sum(CASE WHEN {_MISSING} <> '' THEN 1 ELSE 0 END)
+             AS BIGINT) AS rejected FROM tx)""")
+
+DQ_CHECKS = with_tx(r"""
+SELECT check_name, violations FROM (
+ UNPIVOT (
+  SELECT CAST(count(*) - count(DISTINCT transaction_id) AS BIGINT) AS duplicate_transaction_id,
+    CAST(sum(CASE WHEN coalesce(NOT regexp_matches(user_id, '^u\d{4}$'), true) THEN 1 ELSE 0 END) AS BIGINT) AS user_id_pattern,
+    CAST(sum(CASE WHEN coalesce(NOT regexp_matches(transaction_id, '^t-\d{7}$'), true) THEN 1 ELSE 0 END) AS BIGINT) AS transaction_id_pattern,
+    CAST(sum(CASE WHEN coalesce(currency NOT IN ('EUR', 'USD', 'GBP'), true) THEN 1 ELSE 0 END) AS BIGINT) AS currency_domain,
+    CAST(sum(CASE WHEN coalesce(method NOT IN ('credit_card', 'debit_card', 'paypal', 'crypto'), true) THEN 1 ELSE 0 END) AS BIGINT) AS method_domain,
+    CAST(sum(CASE WHEN coalesce(amount < 5.0 OR (amount > 5000.0 AND is_fraud <> 1), true) THEN 1 ELSE 0 END) AS BIGINT) AS amount_range,
+    CAST(sum(CASE WHEN ts IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_timestamp,
+    CAST(sum(CASE WHEN coalesce(is_fraud NOT IN (0, 1), true) THEN 1 ELSE 0 END) AS BIGINT) AS label_domain
+  FROM tx)
+ ON COLUMNS(*) INTO NAME check_name VALUE violations)""")
+
+_PROFILE = """
+SELECT user_id, avg(amount_eur) AS amt_mean,
+       greatest(coalesce(stddev_samp(amount_eur), 1.0), 1e-6) AS amt_std,
+       count(*) AS tx_count
+FROM {src} GROUP BY user_id"""
+
+USER_PROFILE = with_tx("""
+SELECT user_id, round(amt_mean, 6) AS amt_mean, round(amt_std, 6) AS amt_std, tx_count
+FROM (""" + _PROFILE.format(src="etx") + ")")
+
+LABEL_RATE = with_tx("""
+SELECT count(*) AS rows, CAST(sum(is_fraud) AS BIGINT) AS positives,
+       round(avg(CAST(is_fraud AS DOUBLE)), 6) AS positive_rate FROM tx""")
+
+# Cut = time of the row at position floor(0.8 n) in time order.
+_CUT = """
+cut AS (SELECT max(ts) AS cut FROM (
+  SELECT ts, row_number() OVER (ORDER BY ts) AS rn FROM etx WHERE ts IS NOT NULL) o
+  WHERE rn = (SELECT CAST(floor(0.8 * count(*)) AS BIGINT) FROM etx WHERE ts IS NOT NULL))"""
+
+SPLIT_COUNTS = with_tx(f"""
+SELECT {_iso('cut.cut')} AS cut_time,
+       count(*) FILTER (WHERE ts <= cut.cut) AS train_rows,
+       CAST(coalesce(sum(is_fraud) FILTER (WHERE ts <= cut.cut), 0) AS BIGINT) AS train_positives,
+       count(*) FILTER (WHERE ts > cut.cut) AS valid_rows,
+       CAST(coalesce(sum(is_fraud) FILTER (WHERE ts > cut.cut), 0) AS BIGINT) AS valid_positives
+FROM etx, cut GROUP BY cut.cut""", _CUT)
+
+FEATURES = with_tx("""
+SELECT transaction_id, round(amount_eur, 6) AS amount_eur, round(ln(1 + amount_eur), 6) AS log_amount,
+       hour(ts) AS hour, dayofweek(ts) + 1 AS dayofweek,
+       CAST(hour(ts) >= 22 OR hour(ts) < 6 AS INTEGER) AS is_night,
+       CASE method WHEN 'credit_card' THEN 0 WHEN 'debit_card' THEN 1 WHEN 'paypal' THEN 2
+                   WHEN 'crypto' THEN 3 END AS method_id,
+       CASE currency WHEN 'EUR' THEN 0 WHEN 'USD' THEN 1 WHEN 'GBP' THEN 2 END AS currency_id,
+       round(CASE WHEN p.amt_mean IS NULL THEN 0.0
+                  ELSE (amount_eur - p.amt_mean) / greatest(p.amt_std, 1e-6) END, 6) AS amount_z,
+       CAST(p.amt_mean IS NULL AS INTEGER) AS is_new_user, is_fraud
+FROM etx LEFT JOIN prof p USING (user_id)""", _CUT,
+    "\nprof AS (" + _PROFILE.format(src="etx WHERE ts <= (SELECT cut FROM cut)") + ")")
+
+ORACLES.update({
+    "message_check": MESSAGE_CHECK,
+    "reject_gate": REJECT_GATE,
+    "dq_checks": DQ_CHECKS,
+    "user_profile": USER_PROFILE,
+    "label_rate": LABEL_RATE,
+    "split_counts": SPLIT_COUNTS,
+    "features": FEATURES,
+})
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLES)
