@@ -13,6 +13,18 @@ from pyspark.sql import functions as F
 
 from tripwire.config import FEATURE_ORDER, LABEL, TS
 from tripwire.functions.columns import iso
+from tripwire.operators.analytics import (
+    alert_rate,
+    counts_by_rule_and_severity,
+    duplicate_window_audit,
+    latency_p95,
+    latest_alerts,
+    parse_iso,
+    replay_progress,
+    silent_rules,
+    starvation_episodes,
+    unique_alerts,
+)
 from tripwire.operators.contract import check_messages, quality_checks, reject_summary
 from tripwire.operators.enrich import enrich
 from tripwire.operators.features import (
@@ -28,6 +40,7 @@ from tripwire.operators.rules import (
     high_value_rule,
     velocity_rule,
 )
+from tripwire.operators.sequences import label_runs, suppress_repeats
 from tripwire.sources.streams import to_messages
 from tripwire.sources.tables import load_places, load_transactions
 
@@ -150,5 +163,72 @@ QUERIES.update({
 })
 
 
+# ------------------------------------------------------------ alert analytics
+
+def event_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert table the analytics read: every rule's alerts (event clock)."""
+    return q_all_alerts(spark, sf_dir)
+
+
+def q_latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_alerts(event_alerts(spark, sf_dir), 200)
+
+
+def q_alert_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alert_rate(event_alerts(spark, sf_dir))
+
+
+def q_counts_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts_by_rule_and_severity(event_alerts(spark, sf_dir))
+
+
+def q_alert_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The same alerts delivered twice (a replayed batch): one row per alert_id.
+    overlapping = event_alerts(spark, sf_dir).unionByName(q_high_value(spark, sf_dir))
+    return unique_alerts(overlapping)
+
+
+def q_latency_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latency_p95(event_alerts(spark, sf_dir))
+
+
+def q_duplicate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_window_audit(event_alerts(spark, sf_dir))
+
+
+def q_silent_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silent_rules(event_alerts(spark, sf_dir))
+
+
+def q_starvation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(starvation_episodes(replay_progress(load_transactions(spark, sf_dir))),
+                  {"idle_seconds"})
+
+
+def q_label_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(label_runs(enriched_tx(spark, sf_dir)), {"span_seconds"})
+
+
+def q_suppress_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alerts = q_high_value(spark, sf_dir).withColumn("t", parse_iso(F.col("event_time")))
+    kept = suppress_repeats(alerts, ["rule", "user_id"], time_col="t",
+                            order_cols=("alert_id",))
+    return alert_projection(kept)
+
+
+QUERIES.update({
+    "latest_alerts": q_latest_alerts,
+    "alert_rate": q_alert_rate,
+    "counts_by_rule": q_counts_by_rule,
+    "alert_dedup": q_alert_dedup,
+    "latency_p95": q_latency_p95,
+    "duplicate_audit": q_duplicate_audit,
+    "silent_rules": q_silent_rules,
+    "starvation": q_starvation,
+    "label_runs": q_label_runs,
+    "suppress_repeats": q_suppress_repeats,
+})
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -206,5 +206,134 @@ ORACLES.update({
 })
 
 
+# ------------------------------------------------------------ alert analytics
+
+ALL_ALERTS = ORACLES["all_alerts"]
+
+
+def over_alerts(body: str, alerts_sql: str = ALL_ALERTS) -> str:
+    """`body` reads the CTE `alerts`."""
+    return f"WITH alerts AS (SELECT * FROM ({alerts_sql}))\n{body}"
+
+
+_TS = "strptime({c}, '%Y-%m-%dT%H:%M:%SZ')"
+
+LATEST_ALERTS = over_alerts(
+    "SELECT * FROM alerts ORDER BY alert_time DESC, alert_id DESC LIMIT 200")
+
+ALERT_RATE = over_alerts(f"""
+SELECT {_iso('m')} AS newest_alert_time,
+       (SELECT count(*) FROM alerts WHERE {_TS.format(c='alert_time')} >= m - INTERVAL 60 SECOND)
+         AS alerts_in_window
+FROM (SELECT max({_TS.format(c='alert_time')}) AS m FROM alerts)""")
+
+COUNTS_BY_RULE = over_alerts("""
+SELECT d.dimension, d.value, coalesce(c.n, 0) AS n
+FROM (VALUES ('rule', 'high_value'), ('rule', 'velocity'), ('rule', 'geo_hop'),
+             ('rule', 'ml_score'), ('severity', 'medium'), ('severity', 'high'),
+             ('severity', 'critical')) d(dimension, value)
+LEFT JOIN (SELECT 'rule' AS dimension, rule AS value, count(*) AS n FROM alerts GROUP BY rule
+           UNION ALL
+           SELECT 'severity', severity, count(*) FROM alerts GROUP BY severity) c
+  USING (dimension, value)""")
+
+ALERT_DEDUP = f"SELECT * FROM ({ALL_ALERTS}) UNION SELECT * FROM ({HIGH_VALUE})"
+
+LATENCY_P95 = over_alerts(f"""
+, d AS (SELECT CAST(epoch({_TS.format(c='alert_time')}) - epoch({_TS.format(c='event_time')})
+                    AS BIGINT) AS delta FROM alerts),
+o AS (SELECT delta, row_number() OVER (ORDER BY delta) - 1 AS i, count(*) OVER () AS n FROM d
+      WHERE delta IS NOT NULL)
+SELECT n, delta AS p95_seconds FROM o WHERE i = CAST(floor(0.95 * (n - 1)) AS BIGINT)""")
+
+DUPLICATE_AUDIT = over_alerts(f"""
+SELECT rule, user_id, window_start, count(*) AS n FROM (
+  SELECT rule, user_id, {_iso("time_bucket(CASE rule WHEN 'velocity' THEN INTERVAL 1 MINUTE ELSE INTERVAL 5 MINUTE END, " + _TS.format(c='event_time') + ", TIMESTAMP '1970-01-01')")} AS window_start
+  FROM alerts WHERE rule IN ('velocity', 'geo_hop'))
+GROUP BY rule, user_id, window_start HAVING count(*) > 1""")
+
+SILENT_RULES = over_alerts("""
+SELECT r.rule, r.severity FROM (VALUES ('high_value', 'medium'), ('velocity', 'high'),
+  ('geo_hop', 'critical'), ('ml_score', 'high')) r(rule, severity)
+WHERE r.rule NOT IN (SELECT DISTINCT rule FROM alerts)""")
+
+STARVATION = with_tx(f"""
+SELECT query, {_iso('"at"')} AS "at", {_iso('idle_since')} AS idle_since,
+       round(idle_seconds, 6) AS idle_seconds
+FROM (
+  SELECT query, stretch, "at", idle_since, idle_seconds,
+         row_number() OVER (PARTITION BY query, stretch ORDER BY "at") AS rn
+  FROM (
+    SELECT *, coalesce(last_active, first_at) AS idle_since,
+           (epoch_us("at") - epoch_us(coalesce(last_active, first_at))) / 1000000.0 AS idle_seconds
+    FROM (
+      SELECT query, "at", num_input_rows,
+             last(CASE WHEN num_input_rows > 0 THEN "at" END IGNORE NULLS) OVER w AS last_active,
+             min("at") OVER w AS first_at,
+             sum(CASE WHEN num_input_rows > 0 THEN 1 ELSE 0 END) OVER w AS stretch
+      FROM progress
+      WINDOW w AS (PARTITION BY query ORDER BY "at" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))
+  WHERE num_input_rows = 0 AND idle_seconds >= 60)
+WHERE rn = 1""", """
+pc AS (SELECT CAST(ceil(epoch_us(ts) / 5000000.0) AS BIGINT) AS poll, count(*) AS n
+       FROM tx WHERE ts IS NOT NULL GROUP BY 1),
+progress AS (
+  SELECT 'transactions' AS query, make_timestamp(g.poll * 5000000) AS "at",
+         coalesce(pc.n, 0) AS num_input_rows
+  FROM (SELECT unnest(range((SELECT min(poll) FROM pc), (SELECT max(poll) FROM pc) + 1)) AS poll) g
+  LEFT JOIN pc ON pc.poll = g.poll)""")
+
+LABEL_RUNS = with_tx(f"""
+SELECT user_id, arg_min(transaction_id, (ts, transaction_id)) AS first_transaction_id,
+       {_iso('min(ts)')} AS run_start, {_iso('max(ts)')} AS run_end,
+       count(*) AS run_length,
+       round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0, 6) AS span_seconds,
+       count(DISTINCT country) AS n_countries,
+       CASE WHEN count(*) = 1 THEN 'single' WHEN count(*) = 3 THEN 'hop'
+            WHEN count(*) >= 5 THEN 'burst' ELSE 'other' END AS pattern
+FROM (SELECT *, sum(CASE WHEN is_fraud <> 1 THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY user_id ORDER BY ts, transaction_id
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+      FROM etx WHERE ts IS NOT NULL)
+WHERE is_fraud = 1
+GROUP BY user_id, run""")
+
+# Greedy time-to-live walk per (rule, user): first alert, then the first one at
+# least 600 s after the last kept one.
+SUPPRESS_REPEATS = f"""
+WITH RECURSIVE a AS (
+  SELECT *, {_TS.format(c='event_time')} AS t,
+         row_number() OVER (PARTITION BY rule, user_id
+                            ORDER BY {_TS.format(c='event_time')}, alert_id) AS rn
+  FROM ({HIGH_VALUE})),
+nx AS (
+  SELECT a.rule, a.user_id, a.rn,
+         (SELECT min(b.rn) FROM a b WHERE b.rule = a.rule AND b.user_id = a.user_id
+                                     AND b.t >= a.t + INTERVAL 600 SECOND) AS next_rn
+  FROM a),
+walk(rule, user_id, rn) AS (
+  SELECT rule, user_id, 1 FROM a WHERE rn = 1
+  UNION ALL
+  SELECT nx.rule, nx.user_id, nx.next_rn FROM walk
+  JOIN nx ON nx.rule = walk.rule AND nx.user_id = walk.user_id AND nx.rn = walk.rn
+  WHERE nx.next_rn IS NOT NULL)
+SELECT alert_id, transaction_id, user_id, event_time, alert_time, rule, severity, amount,
+       currency, amount_eur, location, country, p_fraud, detail, is_fraud
+FROM a JOIN walk USING (rule, user_id, rn)"""
+
+ORACLES.update({
+    "latest_alerts": LATEST_ALERTS,
+    "alert_rate": ALERT_RATE,
+    "counts_by_rule": COUNTS_BY_RULE,
+    "alert_dedup": ALERT_DEDUP,
+    "latency_p95": LATENCY_P95,
+    "duplicate_audit": DUPLICATE_AUDIT,
+    "silent_rules": SILENT_RULES,
+    "starvation": STARVATION,
+    "label_runs": LABEL_RUNS,
+    "suppress_repeats": SUPPRESS_REPEATS,
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
