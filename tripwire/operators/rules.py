@@ -33,7 +33,8 @@ from tripwire.config import (
 )
 from tripwire.functions.columns import alert_key, clock, iso
 
-NULL_DOUBLE = F.lit(None).cast("double")
+def null_double() -> Column:
+    return F.lit(None).cast("double")
 
 # Fields of the representative (latest) transaction of a window.
 _CARRIED = ("transaction_id", "amount", "currency", "amount_eur", "location",
@@ -94,7 +95,7 @@ def row_alerts(enriched: DataFrame, *, high_value: float | None = HIGH_VALUE_EUR
     if high_value is not None:
         hit = F.col("amount_eur") > F.lit(high_value)
         candidates.append(_row_candidate(RULE_HIGH_VALUE, hit, high_value_detail(high_value),
-                                         NULL_DOUBLE))
+                                         null_double()))
         any_hit = any_hit | F.coalesce(hit, F.lit(False))
     if tau is not None:
         hit = F.col("p_fraud") > F.lit(tau)
@@ -164,7 +165,7 @@ def window_groups(enriched: DataFrame, width: str, watermark: str | None,
     return src.groupBy(F.window(F.col(TS), width).alias("window"), F.col("user_id")).agg(*aggs)
 
 
-def _shape_windowed(grouped: DataFrame, rule: str, detail: Column, width: str,
+def shape_window_alerts(grouped: DataFrame, rule: str, detail: Column, width: str,
                     watermark: str | None, clock_mode: str) -> DataFrame:
     last = F.col("last_tx")
     start, end = F.col("window.start"), F.col("window.end")
@@ -178,11 +179,24 @@ def _shape_windowed(grouped: DataFrame, rule: str, detail: Column, width: str,
         event_ts=last.getField(TS), alert_ts=alert_ts,
         amount=last.getField("amount"), currency=last.getField("currency"),
         amount_eur=last.getField("amount_eur"), location=last.getField("location"),
-        country=last.getField("country"), p_fraud=NULL_DOUBLE, detail=detail,
+        country=last.getField("country"), p_fraud=null_double(), detail=detail,
         label=last.getField(LABEL))
     return grouped.select(*cols, start.alias("window_start"))
 
 
+def velocity_detail() -> Column:
+    """`<n> transactions in window HH:mm:ss-HH:mm:ss` (needs tx_count, window)."""
+    return F.concat(F.col("tx_count").cast("string"), F.lit(" transactions in window "),
+                    clock(F.col("window.start")), F.lit("-"), clock(F.col("window.end")))
+
+
+def geo_hop_detail() -> Column:
+    """`<n> countries in window HH:mm:ss-HH:mm:ss: AA,BB` (sorted countries)."""
+    return F.concat(F.col("n_countries").cast("string"), F.lit(" countries in window "),
+                    clock(F.col("window.start")), F.lit("-"), clock(F.col("window.end")),
+                    F.lit(": "), F.array_join(F.col("countries"), ","))
+
+
 def velocity_rule(enriched: DataFrame, width: str = VELOCITY_WINDOW,
                   min_count: int = VELOCITY_MIN_COUNT, watermark: str | None = WATERMARK,
                   clock_mode: str = "wall") -> DataFrame:
@@ -191,9 +205,8 @@ def velocity_rule(enriched: DataFrame, width: str = VELOCITY_WINDOW,
                              F.count(F.lit(1)).alias("tx_count"),
                              latest_transaction().alias("last_tx"))
                .filter(F.col("tx_count") >= min_count))
-    detail = F.concat(F.col("tx_count").cast("string"), F.lit(" transactions in window "),
-                      clock(F.col("window.start")), F.lit("-"), clock(F.col("window.end")))
-    return _shape_windowed(grouped, RULE_VELOCITY, detail, width, watermark, clock_mode)
+    return shape_window_alerts(grouped, RULE_VELOCITY, velocity_detail(), width, watermark,
+                               clock_mode)
 
 
 def geo_hop_rule(enriched: DataFrame, width: str = GEO_WINDOW,
@@ -207,10 +220,8 @@ def geo_hop_rule(enriched: DataFrame, width: str = GEO_WINDOW,
                              latest_transaction().alias("last_tx"))
                .withColumn("n_countries", F.size("countries"))
                .filter(F.col("n_countries") >= min_countries))
-    detail = F.concat(F.col("n_countries").cast("string"), F.lit(" countries in window "),
-                      clock(F.col("window.start")), F.lit("-"), clock(F.col("window.end")),
-                      F.lit(": "), F.array_join(F.col("countries"), ","))
-    return _shape_windowed(grouped, RULE_GEO_HOP, detail, width, watermark, clock_mode)
+    return shape_window_alerts(grouped, RULE_GEO_HOP, geo_hop_detail(), width, watermark,
+                               clock_mode)
 
 
 def approx_distinct(df: DataFrame, keys: list[str], col: str, rsd: float = 0.05,
