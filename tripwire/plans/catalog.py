@@ -6,6 +6,8 @@ so results compare one-to-one with the DuckDB oracles in `oracle.py`.
 """
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,7 @@ from tripwire.config import FEATURE_ORDER, LABEL, TS
 from tripwire.functions.columns import iso
 from tripwire.operators.analytics import (
     alert_rate,
+    confusion_by_tau,
     counts_by_rule_and_severity,
     duplicate_window_audit,
     latency_p95,
@@ -34,13 +37,23 @@ from tripwire.operators.features import (
     temporal_split,
     user_profiles,
 )
+from tripwire.operators.model import (
+    add_p_fraud,
+    evaluate,
+    load_model,
+    save_model,
+    threshold_curve,
+    train_model,
+)
 from tripwire.operators.rules import (
     alert_projection,
+    ml_score_rule,
     geo_hop_rule,
     high_value_rule,
     velocity_rule,
 )
 from tripwire.operators.sequences import label_runs, suppress_repeats
+from tripwire.session import scratch_path
 from tripwire.sources.streams import to_messages
 from tripwire.sources.tables import load_places, load_transactions
 
@@ -230,5 +243,70 @@ QUERIES.update({
 })
 
 
+# ---------------------------------------------------------------------- model
+
+_MODELS: dict[str, dict] = {}
+
+
+def trained(spark: SparkSession, sf_dir: str) -> dict:
+    """Train once per data set and session: temporal split, profiles from the
+    train part only, boosted trees with early stopping on the valid part. The
+    model and profiles are written below the shared checkpoint folder and read
+    back, so later queries do not recompute the training lineage."""
+    key = os.path.abspath(sf_dir)
+    if key in _MODELS:
+        return _MODELS[key]
+    e = enriched_tx(spark, sf_dir)
+    train, valid, cut = temporal_split(e, 0.8)
+    tag = hashlib.sha1(key.encode()).hexdigest()[:12]
+    prof_path = scratch_path(spark, "profiles", tag)
+    user_profiles(train).write.mode("overwrite").parquet(prof_path)
+    profiles = spark.read.parquet(prof_path)
+    model = train_model(add_features(train, profiles), add_features(valid, profiles))
+    model_path = scratch_path(spark, "models", tag)
+    save_model(model, model_path)
+    model = load_model(model_path)
+    scored_path = scratch_path(spark, "scored_valid", tag)
+    add_p_fraud(add_features(valid, profiles), model).write.mode("overwrite").parquet(scored_path)
+    scored = spark.read.parquet(scored_path)
+    metrics = evaluate(scored)
+    _MODELS[key] = {"model": model, "profiles": profiles, "cut": cut, "scored_valid": scored,
+                    "metrics": metrics}
+    return _MODELS[key]
+
+
+def q_model_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = trained(spark, sf_dir)
+    m = dict(t["metrics"])
+    rows = t["scored_valid"].agg(F.count(F.lit(1)).alias("valid_rows"),
+                                 F.sum(LABEL).cast("long").alias("valid_positives"))
+    cols = [F.lit(float(v) if v is not None else None).cast("double").alias(k)
+            for k, v in m.items()]
+    return rows.select("*", *cols)
+
+
+def q_tau_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_curve(trained(spark, sf_dir)["scored_valid"])
+
+
+def q_ml_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = trained(spark, sf_dir)
+    return alert_projection(ml_score_rule(t["scored_valid"], float(t["metrics"]["tau"]),
+                                          clock_mode="event"))
+
+
+def q_confusion_by_tau(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = [round(0.05 * i, 2) for i in range(1, 20)]
+    return confusion_by_tau(trained(spark, sf_dir)["scored_valid"], grid)
+
+
+QUERIES.update({
+    "model_eval": q_model_eval,
+    "tau_sweep": q_tau_sweep,
+    "ml_alerts": q_ml_alerts,
+    "confusion_by_tau": q_confusion_by_tau,
+})
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
