@@ -171,3 +171,23 @@ def test_label_runs_brute_force(spark):
                              len({country[x[5]] for x in run if x[5] in country})))
             run = []
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("chunk", ["5 minutes", "1 hour"])
+def test_suppress_repeats_brute_force(spark, chunk):
+    rnd = random.Random(11)
+    rows, t = [], T0
+    for i in range(600):
+        t = t + seconds(rnd.choice([0, 5, 60, 200, 650, 3000]))
+        rows.append((rnd.choice(["a", "b", "c"]), t, f"id{i:04d}"))
+    df = spark.createDataFrame(rows, "key string, ts timestamp, id string")
+    got = sorted((r["key"], r["id"]) for r in
+                 suppress_repeats(df, ["key"], ttl_seconds=600, order_cols=("id",), chunk=chunk).collect())
+    want = []
+    for k in ("a", "b", "c"):
+        last = None
+        for key, ts, ident in sorted((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2])):
+            if last is None or (ts - last).total_seconds() >= 600:
+                want.append((key, ident))
+                last = ts
+    assert got == sorted(want)

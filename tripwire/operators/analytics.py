@@ -5,9 +5,9 @@ timestamps here.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType
 
 from tripwire.config import (
     GEO_WINDOW,
@@ -41,30 +41,24 @@ def alert_rate(alerts: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) ->
     """One row: newest alert time and the number of alerts whose alert_time is
     within `window_seconds` of it. The newest time is a scalar subquery."""
     t = parse_iso(F.col("alert_time"))
-    newest = alerts.select(F.max(t).alias("m"))
-    recent = alerts.filter(t >= newest.scalar() - F.make_interval(secs=F.lit(window_seconds)))
-    return recent.agg(F.count(F.lit(1)).alias("alerts_in_window")).select(
-        iso(newest.scalar()).alias("newest_alert_time"), "alerts_in_window")
-
-
-def _dimension(spark: SparkSession, name: str, values) -> DataFrame:
-    schema = StructType([StructField("dimension", StringType(), False),
-                         StructField("value", StringType(), False)])
-    return spark.createDataFrame([(name, v) for v in values], schema)
+    newest = alerts.select(F.max(t).alias("m")).scalar()
+    recent = alerts.filter(t >= newest - F.make_interval(secs=F.lit(window_seconds)))
+    return recent.agg(F.count(F.lit(1)).alias("alerts_in_window"),
+                      F.max(t).alias("m")).select(
+        iso(F.col("m")).alias("newest_alert_time"), "alerts_in_window")
 
 
 def counts_by_rule_and_severity(alerts: DataFrame) -> DataFrame:
     """(dimension, value, n) for every rule and every severity, zeros included.
-    Alerts are aggregated first; only the tiny result meets the fixed
-    dimension rows (broadcast)."""
-    spark = alerts.sparkSession
-    by_rule = alerts.groupBy(F.lit("rule").alias("dimension"), F.col("rule").alias("value")).count()
-    by_sev = alerts.groupBy(F.lit("severity").alias("dimension"),
-                            F.col("severity").alias("value")).count()
-    dims = _dimension(spark, "rule", RULES).unionByName(_dimension(spark, "severity", SEVERITIES))
-    counted = by_rule.unionByName(by_sev)
-    return (F.broadcast(dims).join(counted, ["dimension", "value"], "left")
-            .select("dimension", "value", F.coalesce(F.col("count"), F.lit(0)).alias("n")))
+    One scan and one global aggregate of conditional counts (partial counts
+    per task, a single tiny exchange); no join."""
+    cells = [("rule", r) for r in RULES] + [("severity", s) for s in SEVERITIES]
+    aggs = [F.coalesce(F.sum(F.when(F.col(dim) == val, 1).otherwise(0)), F.lit(0)).cast("long")
+            .alias(f"{dim}_{i}") for i, (dim, val) in enumerate(cells)]
+    wide = alerts.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(dim).alias("dimension"), F.lit(val).alias("value"),
+                              F.col(f"{dim}_{i}").alias("n")) for i, (dim, val) in enumerate(cells)])
+    return wide.select(F.explode(rows).alias("c")).select("c.*")
 
 
 def confusion_by_tau(scored: DataFrame, taus, score_col: str = "p_fraud",

@@ -2,14 +2,12 @@
 suppression with a time-to-live."""
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tripwire.config import LABEL, SUPPRESS_TTL_SECONDS, TS
 from tripwire.functions.columns import iso
+from tripwire.operators.analytics import width_seconds
 
 
 def label_runs(enriched: DataFrame, chunk: str = "1 hour") -> DataFrame:
@@ -56,38 +54,62 @@ def label_runs(enriched: DataFrame, chunk: str = "1 hour") -> DataFrame:
          .otherwise("other").alias("pattern"))
 
 
-def _greedy_keep(times: np.ndarray, ttl_us: int) -> np.ndarray:
-    keep = np.zeros(len(times), dtype=bool)
-    last = None
-    for i, t in enumerate(times):
-        if last is None or t - last >= ttl_us:
-            keep[i] = True
-            last = t
-    return keep
+def _chunk_of(t_us: Column, chunk: str) -> Column:
+    c_us = width_seconds(chunk) * 1_000_000
+    return F.floor(t_us / F.lit(c_us)).cast("long")
 
 
 def suppress_repeats(df: DataFrame, keys: list[str], time_col: str = TS,
                      ttl_seconds: int = SUPPRESS_TTL_SECONDS,
-                     order_cols: tuple[str, ...] = ()) -> DataFrame:
+                     order_cols: tuple[str, ...] = (), chunk: str = "1 hour") -> DataFrame:
     """Keep the first row of each key, then the next row at least `ttl_seconds`
     (event time) after the last *kept* row; repeats in between are dropped and
-    do not extend the suppression. Batch operator.
+    do not extend the suppression. Rows are ordered by time, then
+    `order_cols`; rows without a time are dropped. Batch operator.
 
-    The rule is sequential within a key, so each key's rows are sorted and
-    scanned in one Arrow batch (`applyInPandas`); keys are spread over tasks.
-    Intended keys are alert keys such as (rule, user, window), whose groups
-    are small."""
+    The rule is sequential, but only inside an *activity cluster*: a row at
+    least `ttl` after the previous row of its key is always kept and starts a
+    new cluster. Clusters are found without giving a key to one task (the gap
+    to the previous row is taken inside (key, time chunk) windows, and across
+    chunk borders from one summary row per chunk). The greedy walk then runs
+    per (key, cluster), JVM-side, as a fold over the cluster's sorted rows.
+    Only a key that is never idle for `ttl` forms one large cluster."""
     ttl_us = int(ttl_seconds * 1_000_000)
-    tie = list(order_cols)
-    with_us = df.withColumn("_t_us", F.unix_micros(F.col(time_col)))
-    out_schema = StructType(with_us.schema.fields + [StructField("_keep", BooleanType())])
+    cols = df.columns
+    base = (df.withColumn("_t", F.unix_micros(F.col(time_col)))
+              .filter(F.col("_t").isNotNull())
+              .withColumn("_c", _chunk_of(F.col("_t"), chunk)))
+    order = [F.col("_t"), *[F.col(c) for c in order_cols]]
+    in_chunk = Window.partitionBy(*keys, "_c").orderBy(*order)
+    by_chunk = Window.partitionBy(*keys).orderBy("_c")
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_t_us", *tie], kind="mergesort")
-        valid = pdf["_t_us"].notna().to_numpy()
-        keep = np.zeros(len(pdf), dtype=bool)
-        keep[valid] = _greedy_keep(pdf["_t_us"].to_numpy()[valid].astype("int64"), ttl_us)
-        return pdf.assign(_keep=keep)
+    # Last time of the previous non-empty chunk of the key.
+    last_of_prev = (base.groupBy(*keys, "_c").agg(F.max("_t").alias("_cmax"))
+                        .select(*keys, "_c", F.lag("_cmax").over(by_chunk).alias("_prev_chunk_t")))
+    gaps = (base.join(last_of_prev, [*keys, "_c"])
+                .withColumn("_prev", F.coalesce(F.lag("_t").over(in_chunk), F.col("_prev_chunk_t")))
+                .withColumn("_start", F.when(F.col("_prev").isNull()
+                                             | (F.col("_t") - F.col("_prev") >= ttl_us), F.col("_t"))))
+    # Cluster id = time of the cluster's first row (unique per key: a start
+    # is never at the same time as the row before it when ttl > 0).
+    upto = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start_before = (gaps.groupBy(*keys, "_c").agg(F.max("_start").alias("_cstart"))
+                        .select(*keys, "_c", F.max("_cstart").over(
+                            by_chunk.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry")))
+    clustered = (gaps.join(start_before, [*keys, "_c"])
+                     .withColumn("_cluster", F.coalesce(F.max("_start").over(upto), F.col("_carry"))))
+    # Greedy walk inside each cluster.
+    sort_key = [F.col("_t").alias("t"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)]]
+    packed = F.struct(*sort_key, F.struct(*[F.col(c) for c in cols]).alias("row"))
+    groups = clustered.groupBy(*keys, "_cluster").agg(F.array_sort(F.collect_list(packed)).alias("evs"))
+    init = F.struct(F.lit(None).cast("long").alias("last"),
+                    F.array().cast(groups.schema["evs"].dataType).alias("kept"))
 
-    kept = with_us.groupBy(*keys).applyInPandas(scan, out_schema)
-    return kept.filter(F.col("_keep")).drop("_keep", "_t_us")
+    def step(acc, ev):
+        take = acc["last"].isNull() | (ev["t"] - acc["last"] >= F.lit(ttl_us))
+        return F.when(take, F.struct(ev["t"].alias("last"),
+                                     F.concat(acc["kept"], F.array(ev)).alias("kept"))
+                      ).otherwise(acc)
+
+    kept = groups.select(F.explode(F.aggregate("evs", init, step)["kept"]).alias("ev"))
+    return kept.select(*[F.col("ev.row")[c].alias(c) for c in cols])
