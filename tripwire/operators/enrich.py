@@ -27,13 +27,28 @@ def check_no_label_leak(columns, allowed: tuple[str, ...] = (LABEL,)) -> None:
         raise LabelLeakError(f"label-shaped column(s): {leaked}")
 
 
+_BOUNDED: dict[tuple, bool] = {}
+
+
+def is_bounded(dim: DataFrame, max_rows: int = MAX_BROADCAST_DIMENSION_ROWS) -> bool:
+    """At most `max_rows` rows? Counts at most `max_rows + 1` rows; the answer
+    is remembered per set of input files (a file-backed dimension changes by
+    new files)."""
+    files = tuple(sorted(dim.inputFiles()))
+    key = (files, max_rows) if files else None
+    if key is not None and key in _BOUNDED:
+        return _BOUNDED[key]
+    ok = dim.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _BOUNDED[key] = ok
+    return ok
+
+
 def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_DIMENSION_ROWS) -> DataFrame:
-    """Broadcast hint for a dimension whose row count is checked first (the
-    check reads at most `max_rows + 1` rows); an unbounded one is left to the
-    planner (sort-merge or adaptive broadcast)."""
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
+    """Broadcast hint for a dimension whose row count is checked first; an
+    unbounded one is left to the planner (sort-merge, or a broadcast chosen by
+    adaptive execution from runtime sizes)."""
+    return F.broadcast(dim) if is_bounded(dim, max_rows) else dim
 
 
 def enrich(tx: DataFrame, places: DataFrame | None = None) -> DataFrame:
