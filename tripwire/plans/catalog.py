@@ -253,7 +253,7 @@ def trained(spark: SparkSession, sf_dir: str) -> dict:
     train part only, boosted trees with early stopping on the valid part. The
     model and profiles are written below the shared checkpoint folder and read
     back, so later queries do not recompute the training lineage."""
-    key = os.path.abspath(sf_dir)
+    key = f"{spark.sparkContext.applicationId}:{os.path.abspath(sf_dir)}"
     if key in _MODELS:
         return _MODELS[key]
     e = enriched_tx(spark, sf_dir)

@@ -62,19 +62,28 @@ def _py(v):
     return v.item() if hasattr(v, "item") else v
 
 
-def _fold(rule: str, threshold: int):
+def _fold(rule: str, threshold: int, width_us: int):
     """The per-key state function."""
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState):
         if state.hasTimedOut:
             state.remove()
             return
         user_id, window_us = key
+        window_end_ms = (int(window_us) + width_us) // 1000
+        if window_end_ms <= state.getCurrentWatermarkMs():
+            # Late rows of a closed window (Spark filters late rows with the
+            # previous batch's watermark, so a few can still arrive): the
+            # window aggregate would drop them too.
+            for _ in batches:
+                pass
+            if state.exists:
+                state.remove()
+            return
         if state.exists:
             n, fired, countries_text, *last = state.get
             countries = set(countries_text.split(",")) if countries_text else set()
         else:
             n, fired, countries, last = 0, False, set(), [None] * len(_LAST)
-        window_end_us = None
         for pdf in batches:
             n += len(pdf)
             countries.update(c for c in pdf["country"].dropna().tolist())
@@ -83,7 +92,6 @@ def _fold(rule: str, threshold: int):
             cand = (int(top["event_us"]), str(top["transaction_id"]))
             if last[1] is None or cand > (int(last[1]), str(last[0])):
                 last = [_py(top[name]) for name, _ in _LAST]
-            window_end_us = int(pdf["window_end_us"].iloc[0])
         measure = n if rule == RULE_VELOCITY else len(countries)
         joined = ",".join(sorted(countries))
         if not fired and measure >= threshold:
@@ -93,9 +101,8 @@ def _fold(rule: str, threshold: int):
             row.update({name: last[i] for i, (name, _) in enumerate(_LAST)})
             yield pd.DataFrame([row], columns=OUT_SCHEMA.fieldNames())
         state.update(tuple([int(n), fired, joined] + list(last)))
-        if window_end_us is not None:
-            # Drop the state once the watermark passes the window end.
-            state.setTimeoutTimestamp(window_end_us // 1000)
+        # Drop the state once the watermark passes the window end.
+        state.setTimeoutTimestamp(window_end_ms)
     return fn
 
 
@@ -108,13 +115,12 @@ def early_window_alerts(enriched: DataFrame, rule: str, width: str, threshold: i
     start_us = F.floor(t_us / F.lit(w_us)).cast("long") * F.lit(w_us)
     rows = enriched.filter(F.col(TS).isNotNull()).select(
         "user_id", start_us.alias("window_us"),
-        (start_us + F.lit(w_us)).alias("window_end_us"),
         F.timestamp_micros(start_us + F.lit(w_us - 1)).alias("window_last"),
         "transaction_id", t_us.alias("event_us"), "amount", "currency", "amount_eur",
         "location", "country", F.col(LABEL).cast("int").alias(LABEL))
     fired = (rows.withWatermark("window_last", watermark)
              .groupBy("user_id", "window_us")
-             .applyInPandasWithState(_fold(rule, threshold), OUT_SCHEMA, STATE_SCHEMA,
+             .applyInPandasWithState(_fold(rule, threshold, w_us), OUT_SCHEMA, STATE_SCHEMA,
                                      "append", GroupStateTimeout.EventTimeTimeout))
     start = F.timestamp_micros(F.col("window_us"))
     shaped_in = fired.select(
