@@ -55,7 +55,12 @@ from tripwire.operators.rules import (
 from tripwire.operators.sequences import label_runs, suppress_repeats
 from tripwire.session import scratch_path
 from tripwire.sources.streams import to_messages
-from tripwire.sources.tables import load_places, load_transactions
+from tripwire.sources.tables import (
+    load_places,
+    load_transactions,
+    table,
+    transactions_from_orders,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -308,5 +313,35 @@ QUERIES.update({
 })
 
 
+# ------------------------------------------------------- second input: orders
+
+def enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = transactions_from_orders(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+    return enrich(tx, load_places(spark, sf_dir))
+
+
+def q_orders_velocity_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 over orders: whole-day times, so the latest row is decided by the
+    transaction-id tie-break."""
+    return alert_projection(velocity_rule(enriched_orders(spark, sf_dir), width="7 days",
+                                          min_count=2, clock_mode="event"))
+
+
+def q_orders_high_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alert_projection(high_value_rule(enriched_orders(spark, sf_dir), threshold=400000.0,
+                                            clock_mode="event"))
+
+
+def q_orders_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(user_profiles(enriched_orders(spark, sf_dir)), {"amt_mean", "amt_std"})
+
+
+QUERIES.update({
+    "orders_velocity_week": q_orders_velocity_week,
+    "orders_high_value": q_orders_high_value,
+    "orders_profile": q_orders_profile,
+})
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -335,5 +335,42 @@ ORACLES.update({
 })
 
 
+# ------------------------------------------------------- second input: orders
+
+OTX = """
+otx0 AS (
+  SELECT 'u' || CAST(o_custkey AS VARCHAR) AS user_id,
+         't-' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') AS transaction_id,
+         o_totalprice AS amount,
+         CASE o_orderkey % 3 WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' END AS currency,
+         CAST(o_orderdate AS TIMESTAMP) AS ts,
+         CAST(c.c_nationkey AS VARCHAR) AS location,
+         CASE o_orderkey % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'debit_card'
+                            WHEN 2 THEN 'paypal' WHEN 3 THEN 'crypto' END AS method,
+         CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS is_fraud
+  FROM orders LEFT JOIN customer c ON c.c_custkey = o_custkey),
+etx AS (
+  SELECT otx0.*, n.n_name AS country,
+         CAST(round(CAST(amount AS DECIMAL(18,2)) *
+              CAST(CASE currency WHEN 'EUR' THEN 1.0 WHEN 'USD' THEN 0.92
+                                 WHEN 'GBP' THEN 1.17 END AS DECIMAL(6,4)), 2) AS DOUBLE)
+           AS amount_eur
+  FROM otx0 LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = otx0.location)"""
+
+
+def on_orders(sql: str) -> str:
+    """Re-target a statement built on the events view to the orders view."""
+    prefix = "WITH " + ",".join((TX, ETX))
+    assert sql.startswith(prefix)
+    return "WITH " + OTX + sql[len(prefix):]
+
+
+ORACLES.update({
+    "orders_velocity_week": on_orders(velocity("7 days", 2)),
+    "orders_high_value": on_orders(HIGH_VALUE.replace("1000.0", "400000.0")),
+    "orders_profile": on_orders(USER_PROFILE),
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
