@@ -3,10 +3,12 @@ window), in the first micro-batch in which the window passes its rule, while
 the window is still open. Restart-safe: the "already fired" flag lives in the
 checkpointed state store, not in driver memory.
 
-Keyed state via `applyInPandasWithState` (event-time timeout). The watermark
-is put on the window's last microsecond, so a late row is kept exactly as long
-as its window is open - the same lateness the window aggregate applies.
-State for a window is dropped once the watermark passes the window end.
+Keyed state via `applyInPandasWithState` (event-time timeout). The window
+aggregate drops a row when its *window end* is at or before max(ts) - delay.
+Here the watermark is put on the window's last microsecond with delay + width:
+for a delay that is a whole multiple of the width (as for R2 and R3) that
+drops exactly the same rows. State for a window is dropped once no further row
+of it can pass.
 """
 from __future__ import annotations
 
@@ -70,15 +72,6 @@ def _fold(rule: str, threshold: int, width_us: int):
             return
         user_id, window_us = key
         window_end_ms = (int(window_us) + width_us) // 1000
-        if window_end_ms <= state.getCurrentWatermarkMs():
-            # Late rows of a closed window (Spark filters late rows with the
-            # previous batch's watermark, so a few can still arrive): the
-            # window aggregate would drop them too.
-            for _ in batches:
-                pass
-            if state.exists:
-                state.remove()
-            return
         if state.exists:
             n, fired, countries_text, *last = state.get
             countries = set(countries_text.split(",")) if countries_text else set()
@@ -100,9 +93,16 @@ def _fold(rule: str, threshold: int, width_us: int):
                    "countries_text": joined}
             row.update({name: last[i] for i, (name, _) in enumerate(_LAST)})
             yield pd.DataFrame([row], columns=OUT_SCHEMA.fieldNames())
-        state.update(tuple([int(n), fired, joined] + list(last)))
-        # Drop the state once the watermark passes the window end.
-        state.setTimeoutTimestamp(window_end_ms)
+        # Rows reaching here passed Spark's late-row filter (previous batch's
+        # watermark), so they count even if this batch's watermark has already
+        # passed the window; then no further row can arrive and the state goes.
+        last_ms = window_end_ms - 1
+        if last_ms <= state.getCurrentWatermarkMs():
+            if state.exists:
+                state.remove()
+        else:
+            state.update(tuple([int(n), fired, joined] + list(last)))
+            state.setTimeoutTimestamp(last_ms)
     return fn
 
 
@@ -118,7 +118,8 @@ def early_window_alerts(enriched: DataFrame, rule: str, width: str, threshold: i
         F.timestamp_micros(start_us + F.lit(w_us - 1)).alias("window_last"),
         "transaction_id", t_us.alias("event_us"), "amount", "currency", "amount_eur",
         "location", "country", F.col(LABEL).cast("int").alias(LABEL))
-    fired = (rows.withWatermark("window_last", watermark)
+    delay_s = width_seconds(watermark) + width_seconds(width)
+    fired = (rows.withWatermark("window_last", f"{delay_s} seconds")
              .groupBy("user_id", "window_us")
              .applyInPandasWithState(_fold(rule, threshold, w_us), OUT_SCHEMA, STATE_SCHEMA,
                                      "append", GroupStateTimeout.EventTimeTimeout))
