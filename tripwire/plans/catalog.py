@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.config import FEATURE_ORDER, LABEL, TS
+from tripwire.config import ALERT_COLUMNS, FEATURE_ORDER, LABEL, TS
 from tripwire.functions.columns import iso
 from tripwire.operators.analytics import (
     alert_rate,
@@ -54,7 +55,9 @@ from tripwire.operators.rules import (
 )
 from tripwire.operators.sequences import label_runs, suppress_repeats
 from tripwire.session import scratch_path
-from tripwire.sources.streams import to_messages
+from tripwire.streaming.jobs import JobSettings, alert_streams
+from tripwire.streaming.sinks import parquet_file_sink
+from tripwire.sources.streams import to_messages, transaction_file_stream
 from tripwire.sources.tables import (
     load_places,
     load_transactions,
@@ -343,5 +346,52 @@ QUERIES.update({
 })
 
 
+# ------------------------------------------------------------ streaming replay
+
+REPLAY_SLICES = 4
+
+
+def replay_stream_alerts(spark: SparkSession, sf_dir: str, width: str = "1 day",
+                         min_count: int = 4) -> DataFrame:
+    """Replay the transactions as a file stream, oldest slice first (one file
+    per micro-batch), through the final-mode velocity query, and read back
+    what the stream wrote. Each call uses a fresh folder below the shared
+    checkpoint folder (staging, checkpoint and output)."""
+    run = scratch_path(spark, "replay", uuid.uuid4().hex)
+    tx = load_transactions(spark, sf_dir).filter(F.col(TS).isNotNull())
+    # Time-ordered slices from approximate quantile cuts (one distributed
+    # aggregate; slices need to be in time order, not of equal size).
+    t_us = F.unix_micros(F.col(TS))
+    probs = [k / REPLAY_SLICES for k in range(1, REPLAY_SLICES)]
+    cuts = tx.agg(F.percentile_approx(t_us, probs, 10_000).alias("c")).first()["c"] or []
+    slice_no = sum((t_us > F.lit(int(c))).cast("int") for c in cuts) if cuts else F.lit(0)
+    sliced = tx.withColumn("_slice", slice_no)
+    staged = os.path.join(run, "staged")
+    sliced.write.partitionBy("_slice").parquet(staged)
+    src = os.path.join(run, "in")
+    slices = sorted(int(d.split("=")[1]) for d in os.listdir(staged) if d.startswith("_slice="))
+    for k in slices:
+        # Written one after another, so file times follow event time.
+        (spark.read.parquet(os.path.join(staged, f"_slice={k}")).coalesce(1)
+         .write.mode("append").parquet(src))
+    stream = transaction_file_stream(spark, src, "parquet", max_files_per_trigger=1)
+    settings = JobSettings(checkpoint_root=os.path.join(run, "ckpt"), mode="final",
+                           velocity_window=width, velocity_min=min_count)
+    out = os.path.join(run, "out")
+    frame = alert_streams(stream, settings, load_places(spark, sf_dir))["velocity"]
+    q = parquet_file_sink(frame, out, os.path.join(run, "ckpt_sink"),
+                          trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def q_stream_velocity_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alerts = replay_stream_alerts(spark, sf_dir, "1 day", 4)
+    return alerts.select(*[c for c in ALERT_COLUMNS if c != "alert_time"])
+
+
+QUERIES["stream_velocity_day"] = q_stream_velocity_day
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

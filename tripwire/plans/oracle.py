@@ -372,5 +372,19 @@ ORACLES.update({
 })
 
 
+# ------------------------------------------------------------ streaming replay
+
+def _closed_velocity(width: str, min_count: int) -> str:
+    sql = velocity(width, min_count)
+    cols = ("alert_id, transaction_id, user_id, event_time, rule, severity, amount, currency, "
+            "amount_eur, location, country, p_fraud, detail, is_fraud")
+    closed = (f"(g.ws + INTERVAL '{width}') <= "
+              "(SELECT max(ts) FROM tx) - INTERVAL '5 minutes'")
+    return f"SELECT {cols} FROM ({sql} WHERE {closed})"
+
+
+ORACLES["stream_velocity_day"] = _closed_velocity("1 day", 4)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
