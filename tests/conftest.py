@@ -14,10 +14,10 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tripwire.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="tripwire-test-ckpt-")
+    # spark.checkpoint.dir comes from the deployment when set; otherwise the
+    # session helper registers a fresh local folder (tests only).
     s = build_session(app_name="tripwire-tests", master="local[4]", shuffle_partitions=4,
                       extra={"spark.ui.showConsoleProgress": "false",
-                             "spark.checkpoint.dir": ckpt,
                              "spark.sql.streaming.minBatchesToRetain": "5"})
     s.sparkContext.setLogLevel("ERROR")
     yield s

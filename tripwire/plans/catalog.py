@@ -369,10 +369,10 @@ def replay_stream_alerts(spark: SparkSession, sf_dir: str, width: str = "1 day",
     staged = os.path.join(run, "staged")
     sliced.write.partitionBy("_slice").parquet(staged)
     src = os.path.join(run, "in")
-    slices = sorted(int(d.split("=")[1]) for d in os.listdir(staged) if d.startswith("_slice="))
-    for k in slices:
+    staged_df = spark.read.parquet(staged)
+    for k in range(REPLAY_SLICES):
         # Written one after another, so file times follow event time.
-        (spark.read.parquet(os.path.join(staged, f"_slice={k}")).coalesce(1)
+        (staged_df.filter(F.col("_slice") == k).drop("_slice").coalesce(1)
          .write.mode("append").parquet(src))
     stream = transaction_file_stream(spark, src, "parquet", max_files_per_trigger=1)
     settings = JobSettings(checkpoint_root=os.path.join(run, "ckpt"), mode="final",

@@ -62,9 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="tripwire-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
-    return local
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
