@@ -39,13 +39,16 @@ def latest_alerts(alerts: DataFrame, n: int = LATEST_DEFAULT) -> DataFrame:
 
 def alert_rate(alerts: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
     """One row: newest alert time and the number of alerts whose alert_time is
-    within `window_seconds` of it. The newest time is a scalar subquery."""
+    within `window_seconds` of it. Two passes: the newest time (one scalar,
+    fetched once), then a filtered count with that time as a literal."""
     t = parse_iso(F.col("alert_time"))
-    newest = alerts.select(F.max(t).alias("m")).scalar()
-    recent = alerts.filter(t >= newest - F.make_interval(secs=F.lit(window_seconds)))
-    return recent.agg(F.count(F.lit(1)).alias("alerts_in_window"),
-                      F.max(t).alias("m")).select(
-        iso(F.col("m")).alias("newest_alert_time"), "alerts_in_window")
+    newest = alerts.agg(F.max(t).alias("m")).first()["m"]
+    spark = alerts.sparkSession
+    if newest is None:
+        return spark.createDataFrame([(None, 0)], "newest_alert_time string, alerts_in_window long")
+    since = F.lit(newest) - F.make_interval(secs=F.lit(window_seconds))
+    return alerts.filter(t >= since).agg(F.count(F.lit(1)).alias("alerts_in_window")).select(
+        iso(F.lit(newest).cast("timestamp")).alias("newest_alert_time"), "alerts_in_window")
 
 
 def counts_by_rule_and_severity(alerts: DataFrame) -> DataFrame:
@@ -105,19 +108,18 @@ def unique_alerts_stream(alerts: DataFrame, delay: str = "10 minutes") -> DataFr
 def latency_p95(alerts: DataFrame, q: float = 0.95) -> DataFrame:
     """One row: n and the q-quantile of alert_time - event_time in seconds,
     taken as element int(q * (n - 1)) of the sorted deltas. Deltas are whole
-    seconds, so a histogram (one row per distinct delta) replaces the sort;
-    its running sum is over distinct deltas only."""
+    seconds, so a histogram (one row per distinct delta, bounded by the
+    latency range) replaces the sort; the running sum and the total are
+    windows over that histogram, computed once."""
     delta = (F.unix_timestamp(F.col("alert_time"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
              - F.unix_timestamp(F.col("event_time"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    hist = alerts.select(delta.alias("delta")).filter(F.col("delta").isNotNull()) \
-                 .groupBy("delta").agg(F.count(F.lit(1)).alias("c"))
-    total = hist.select(F.sum("c").alias("n"))
+    hist = (alerts.select(delta.alias("delta")).filter(F.col("delta").isNotNull())
+                  .groupBy("delta").agg(F.count(F.lit(1)).alias("c")))
     running = Window.orderBy("delta").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    idx = F.floor(F.lit(q) * (total.scalar() - 1))
-    pick = (hist.withColumn("cum", F.sum("c").over(running))
-                .filter(F.col("cum") > idx)
-                .agg(F.min("delta").alias("p95_seconds")))
-    return pick.select(total.scalar().alias("n"), F.col("p95_seconds"))
+    h = (hist.withColumn("cum", F.sum("c").over(running))
+             .withColumn("n", F.sum("c").over(Window.partitionBy())))
+    return (h.filter(F.col("cum") > F.floor(F.lit(q) * (F.col("n") - 1)))
+             .agg(F.min("n").alias("n"), F.min("delta").alias("p95_seconds")))
 
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}

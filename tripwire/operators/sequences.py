@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripwire.config import LABEL, SUPPRESS_TTL_SECONDS, TS
 from tripwire.functions.columns import iso
 from tripwire.operators.analytics import width_seconds
+from tripwire.session import checkpoint_root
 
 
 def label_runs(enriched: DataFrame, chunk: str = "1 hour") -> DataFrame:
@@ -79,6 +80,10 @@ def suppress_repeats(df: DataFrame, keys: list[str], time_col: str = TS,
     base = (df.withColumn("_t", F.unix_micros(F.col(time_col)))
               .filter(F.col("_t").isNotNull())
               .withColumn("_c", _chunk_of(F.col("_t"), chunk)))
+    # The input is read by several passes below: write it once to the shared
+    # checkpoint folder (reliable checkpoint; survives lost executors).
+    checkpoint_root(df.sparkSession)
+    base = base.checkpoint(eager=True)
     order = [F.col("_t"), *[F.col(c) for c in order_cols]]
     in_chunk = Window.partitionBy(*keys, "_c").orderBy(*order)
     by_chunk = Window.partitionBy(*keys).orderBy("_c")

@@ -19,9 +19,18 @@ from tripwire.functions.columns import literal_map
 LOCATION_KEYS = 30
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table of the driver data set."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One parquet table of the driver data set. The DataFrame (file listing
+    and footer schema) is reused within one application; DataFrames are
+    immutable, so sharing it between queries is safe."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, os.path.abspath(path))
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _pick(values, n: F.Column) -> F.Column:
