@@ -186,9 +186,21 @@ QUERIES.update({
 
 # ------------------------------------------------------------ alert analytics
 
+_ALERT_TABLES: dict[str, str] = {}
+
+
 def event_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The alert table the analytics read: every rule's alerts (event clock)."""
-    return q_all_alerts(spark, sf_dir)
+    """The alert table the analytics read: every rule's alerts (event clock),
+    written once per application below the shared checkpoint folder,
+    partitioned by rule - as the alert sink lays it out - and read back. The
+    write cuts the lineage, so each analytics query scans the table instead of
+    recomputing the rules, and filters on `rule` prune partitions."""
+    key = f"{spark.sparkContext.applicationId}:{os.path.abspath(sf_dir)}"
+    if key not in _ALERT_TABLES:
+        path = scratch_path(spark, "alert_table", uuid.uuid4().hex)
+        q_all_alerts(spark, sf_dir).write.partitionBy("rule").parquet(path)
+        _ALERT_TABLES[key] = path
+    return spark.read.parquet(_ALERT_TABLES[key]).select(*ALERT_COLUMNS)
 
 
 def q_latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
