@@ -29,7 +29,7 @@ from tripwire.config import (
 from tripwire.operators.enrich import enrich
 from tripwire.operators.rules import geo_hop_rule, row_alerts, velocity_rule
 from tripwire.streaming.early import early_geo_hop, early_velocity
-from tripwire.streaming.sinks import SinkFn, fan_out
+from tripwire.streaming.sinks import SinkFn, bind_sinks, fan_out
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -82,7 +82,7 @@ def start_alert_queries(transactions: DataFrame, settings: JobSettings,
         raise ValueError("checkpoint folders collide")
     started = {}
     for name, frame in alert_streams(transactions, settings, places, scorer, tau).items():
-        writer = (frame.writeStream.foreachBatch(fan_out(sinks))
+        writer = (frame.writeStream.foreachBatch(fan_out(bind_sinks(sinks, name)))
                   .outputMode("append").queryName(f"alerts_{name}")
                   .option("checkpointLocation", settings.checkpoint(name)))
         if settings.trigger:
