@@ -36,9 +36,11 @@ def test_row_order_and_partitioning_do_not_matter(spark):
 
 def _write(folder, n, records):
     os.makedirs(folder, exist_ok=True)
-    with open(os.path.join(folder, f"b-{n:04d}.json"), "w") as fh:
+    path = os.path.join(folder, f"b-{n:04d}.json")
+    with open(path, "w") as fh:
         for r in records:
             fh.write(json.dumps(r) + "\n")
+    os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))   # file order = batch order
 
 
 def test_early_and_final_agree_on_windows(spark, scratch):
