@@ -23,7 +23,7 @@ from tripwire.config import (
     STARVATION_SECONDS,
     VELOCITY_WINDOW,
 )
-from tripwire.functions.columns import iso
+from tripwire.functions.columns import iso, literal_map
 
 
 def parse_iso(col: Column) -> Column:
@@ -155,12 +155,13 @@ def duplicate_window_audit(alerts: DataFrame,
 
 
 def silent_rules(alerts: DataFrame) -> DataFrame:
-    """Rules with no alert at all (rule table anti-joined with the distinct
-    fired rules, which are at most four rows)."""
-    spark = alerts.sparkSession
-    rules = spark.createDataFrame([(r, SEVERITY[r]) for r in RULES], "rule string, severity string")
-    fired = alerts.select("rule").distinct()
-    return rules.join(F.broadcast(fired), "rule", "left_anti")
+    """Rules with no alert at all: (rule, severity). One aggregate of per-rule
+    counts over the alerts (partial counts per task), then the rules whose
+    count is zero; no join, nothing broadcast."""
+    counts = counts_by_rule_and_severity(alerts).filter(
+        (F.col("dimension") == "rule") & (F.col("n") == 0))
+    severity = literal_map(SEVERITY)
+    return counts.select(F.col("value").alias("rule"), severity[F.col("value")].alias("severity"))
 
 
 # -------------------------------------------------------------- starvation
