@@ -1,7 +1,9 @@
 """Early emission of windowed alerts (R2 / R3): one alert per (rule, user,
 window), in the first micro-batch in which the window passes its rule, while
 the window is still open. Restart-safe: the "already fired" flag lives in the
-checkpointed state store, not in driver memory.
+checkpointed state store, not in driver memory. State is keyed by user and
+holds the user's open windows, so one call per active user and batch (not one
+per window) reaches Python, and one timeout per user.
 
 Keyed state via `applyInPandasWithState` (event-time timeout). The window
 aggregate drops a row when its *window end* is at or before max(ts) - delay.
@@ -12,14 +14,15 @@ of it can pass.
 """
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import (
-    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
@@ -46,10 +49,9 @@ _LAST = [("transaction_id", StringType()), ("event_us", LongType()), ("amount",
          ("currency", StringType()), ("amount_eur", DoubleType()), ("location", StringType()),
          ("country", StringType()), (LABEL, IntegerType())]
 
-STATE_SCHEMA = StructType(
-    [StructField("n", LongType()), StructField("fired", BooleanType()),
-     StructField("countries", StringType())]
-    + [StructField(f"last_{name}", t) for name, t in _LAST])
+# Keyed by user: the open windows of the user, as JSON
+# {window_us: [n, fired, [countries], [last row fields]]}.
+STATE_SCHEMA = StructType([StructField("windows", StringType())])
 
 OUT_SCHEMA = StructType(
     [StructField("user_id", StringType()), StructField("window_us", LongType()),
@@ -65,44 +67,49 @@ def _py(v):
 
 
 def _fold(rule: str, threshold: int, width_us: int):
-    """The per-key state function."""
+    """The per-user state function. A user has at most
+    (delay + width) / width + 1 open windows, so its state stays small."""
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        user_id, window_us = key
-        window_end_ms = (int(window_us) + width_us) // 1000
-        if state.exists:
-            n, fired, countries_text, *last = state.get
-            countries = set(countries_text.split(",")) if countries_text else set()
-        else:
-            n, fired, countries, last = 0, False, set(), [None] * len(_LAST)
-        for pdf in batches:
-            n += len(pdf)
-            countries.update(c for c in pdf["country"].dropna().tolist())
-            pdf = pdf.sort_values(["event_us", "transaction_id"], kind="mergesort")
-            top = pdf.iloc[-1]
-            cand = (int(top["event_us"]), str(top["transaction_id"]))
-            if last[1] is None or cand > (int(last[1]), str(last[0])):
-                last = [_py(top[name]) for name, _ in _LAST]
-        measure = n if rule == RULE_VELOCITY else len(countries)
-        joined = ",".join(sorted(countries))
-        if not fired and measure >= threshold:
-            fired = True
-            row = {"user_id": user_id, "window_us": int(window_us), "tx_count": int(n),
-                   "countries_text": joined}
-            row.update({name: last[i] for i, (name, _) in enumerate(_LAST)})
-            yield pd.DataFrame([row], columns=OUT_SCHEMA.fieldNames())
+        (user_id,) = key
+        wins = json.loads(state.get[0]) if state.exists else {}
+        if not state.hasTimedOut:
+            for pdf in batches:
+                wus = pdf["window_us"].to_numpy()
+                ev = pdf["event_us"].to_numpy()
+                tid = pdf["transaction_id"].to_numpy()
+                country = pdf["country"].to_numpy()
+                cols = {name: pdf[name].to_numpy() for name, _ in _LAST}
+                for w in set(wus.tolist()):
+                    idx = np.flatnonzero(wus == w)
+                    rec = wins.setdefault(str(w), [0, False, [], None])
+                    rec[0] += len(idx)
+                    rec[2] = sorted(set(rec[2]) | {c for c in country[idx] if isinstance(c, str)})
+                    i = max(idx.tolist(), key=lambda j: (ev[j], tid[j]))
+                    last = rec[3]
+                    if last is None or (int(ev[i]), str(tid[i])) > (int(last[1]), str(last[0])):
+                        rec[3] = [_py(cols[name][i]) for name, _ in _LAST]
+        fired_rows = []
+        for w, rec in wins.items():
+            measure = rec[0] if rule == RULE_VELOCITY else len(rec[2])
+            if not rec[1] and measure >= threshold:
+                rec[1] = True
+                row = {"user_id": user_id, "window_us": int(w), "tx_count": int(rec[0]),
+                       "countries_text": ",".join(rec[2])}
+                row.update({name: rec[3][k] for k, (name, _) in enumerate(_LAST)})
+                fired_rows.append(row)
         # Rows reaching here passed Spark's late-row filter (previous batch's
         # watermark), so they count even if this batch's watermark has already
-        # passed the window; then no further row can arrive and the state goes.
-        last_ms = window_end_ms - 1
-        if last_ms <= state.getCurrentWatermarkMs():
-            if state.exists:
-                state.remove()
-        else:
-            state.update(tuple([int(n), fired, joined] + list(last)))
-            state.setTimeoutTimestamp(last_ms)
+        # passed their window; after that no row of the window can arrive and
+        # the window leaves the state.
+        wm = state.getCurrentWatermarkMs()
+        open_wins = {w: r for w, r in wins.items() if (int(w) + width_us) // 1000 - 1 > wm}
+        if open_wins:
+            state.update((json.dumps(open_wins),))
+            state.setTimeoutTimestamp(min((int(w) + width_us) // 1000 - 1 for w in open_wins))
+        elif state.exists:
+            state.remove()
+        if fired_rows:
+            yield pd.DataFrame(fired_rows, columns=OUT_SCHEMA.fieldNames())
     return fn
 
 
@@ -120,7 +127,7 @@ def early_window_alerts(enriched: DataFrame, rule: str, width: str, threshold: i
         "location", "country", F.col(LABEL).cast("int").alias(LABEL))
     delay_s = width_seconds(watermark) + width_seconds(width)
     fired = (rows.withWatermark("window_last", f"{delay_s} seconds")
-             .groupBy("user_id", "window_us")
+             .groupBy("user_id")
              .applyInPandasWithState(_fold(rule, threshold, w_us), OUT_SCHEMA, STATE_SCHEMA,
                                      "append", GroupStateTimeout.EventTimeTimeout))
     start = F.timestamp_micros(F.col("window_us"))
