@@ -385,6 +385,9 @@ def _closed_velocity(width: str, min_count: int) -> str:
 
 ORACLES["stream_velocity_day"] = _closed_velocity("1 day", 4)
 
+ORACLES["stream_velocity_early"] = (
+    "SELECT alert_id, rule, severity, user_id FROM (" + velocity("1 day", 4) + ")")
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
