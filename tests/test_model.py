@@ -59,3 +59,38 @@ def test_save_load_and_score_stream(spark, fitted, scratch):
          .trigger(availableNow=True).start())
     q.awaitTermination(120)
     assert spark.sql("SELECT count(*) FROM scored_stream WHERE p_fraud IS NOT NULL").first()[0] > 0
+
+
+def test_streaming_row_rules_with_model(spark, fitted, scratch):
+    """Q1 of the streaming job: R1 and R4 in one pass over a stream, scored
+    by the model with a static profile table."""
+    from tripwire.operators.model import model_scorer
+    from tripwire.sources.streams import transaction_file_stream
+    from tripwire.streaming.jobs import JobSettings, alert_streams
+    from tripwire.sources.tables import load_places
+    model, prof, valid = fitted
+    src = os.path.join(scratch, "in")
+    valid.select("user_id", "transaction_id", "amount", "currency", "ts", "location", "method",
+                 "is_fraud").write.parquet(src)
+    stream = transaction_file_stream(spark, src, "parquet")
+    settings = JobSettings(checkpoint_root=os.path.join(scratch, "ck"), high_value=500.0)
+    rows = alert_streams(stream, settings, load_places(spark, SF_SMALL),
+                         scorer=model_scorer(model, prof), tau=0.0)["row"]
+    q = (rows.writeStream.format("memory").queryName("q1_model")
+         .option("checkpointLocation", os.path.join(scratch, "ck_mem"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(180)
+    got = spark.sql("SELECT rule, count(*) AS n FROM q1_model GROUP BY rule").collect()
+    by_rule = {r["rule"]: r["n"] for r in got}
+    assert by_rule.get("ml_score", 0) > 0 and by_rule.get("high_value", 0) > 0
+
+
+
+def test_unscorable_rows_are_kept_with_null_score(spark, fitted):
+    from pyspark.sql import functions as F
+    model, _, valid = fitted
+    broken = valid.limit(5).withColumn("amount_eur", F.lit(None).cast("double")) \
+                  .withColumn("log_amount", F.lit(None).cast("double"))
+    out = add_p_fraud(broken.unionByName(valid.limit(5)), model).collect()
+    assert len(out) == 10
+    assert sum(1 for r in out if r["p_fraud"] is None) == 5

@@ -50,7 +50,8 @@ def train_model(train_features: DataFrame, valid_features: DataFrame | None = No
         gbt_args.update(validationIndicatorCol="_valid", validationTol=0.001)
     data = data.withColumn(LABEL, F.col(LABEL).cast("double"))
     pipeline = Pipeline(stages=[
-        VectorAssembler(inputCols=list(FEATURE_ORDER), outputCol="features"),
+        VectorAssembler(inputCols=list(FEATURE_ORDER), outputCol="features",
+                        handleInvalid="keep"),
         GBTClassifier(**gbt_args)])
     return pipeline.fit(data)
 
@@ -65,16 +66,16 @@ def check_feature_order(model: PipelineModel) -> None:
 
 def add_p_fraud(features: DataFrame, model: PipelineModel) -> DataFrame:
     """Score rows (batch or stream): `p_fraud` = probability of class 1, NULL
-    when a numeric feature is missing."""
+    when a numeric feature is missing. Every input row is kept (the assembler
+    keeps invalid values, and their score is then blanked)."""
     check_feature_order(model)
     complete = F.lit(True)
     for c in ("amount_eur", "log_amount", "amount_z", "hour", "dayofweek"):
         complete = complete & F.col(c).isNotNull()
     filled = (features.withColumn("method_id", F.coalesce(F.col("method_id"), F.lit(-1)))
                       .withColumn("currency_id", F.coalesce(F.col("currency_id"), F.lit(-1))))
-    scorable = filled.filter(complete)
-    scored = model.transform(scorable)
-    p = vector_to_array(F.col("probability")).getItem(1)
+    scored = model.transform(filled)
+    p = F.when(complete, vector_to_array(F.col("probability")).getItem(1))
     return scored.withColumn("p_fraud", p).drop("features", "rawPrediction", "probability",
                                                  "prediction")
 
@@ -152,3 +153,14 @@ def evaluate(scored: DataFrame, score_col: str = "p_fraud", label_col: str = LAB
     finally:
         curve.unpersist()
     return out
+
+
+def model_scorer(model: PipelineModel, profiles: DataFrame):
+    """Scorer for the streaming job (R4): enriched rows -> rows with the nine
+    features and `p_fraud`. Profiles are a static table joined to the stream."""
+    from tripwire.operators.features import add_features
+    check_feature_order(model)
+
+    def score(enriched: DataFrame) -> DataFrame:
+        return add_p_fraud(add_features(enriched, profiles), model)
+    return score
