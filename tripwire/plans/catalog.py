@@ -154,7 +154,7 @@ def q_label_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = enriched_tx(spark, sf_dir)
-    cut = split_time(e, 0.8)
+    cut = split_time(load_transactions(spark, sf_dir), 0.8)   # same ts values, no join
     in_train = F.lit(False) if cut is None else F.col(TS) <= F.lit(cut)
     in_valid = F.col(TS).isNotNull() & ~in_train
     def n(cond, value=F.lit(1)):
@@ -167,7 +167,7 @@ def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = enriched_tx(spark, sf_dir)
-    train, _, _ = temporal_split(e, 0.8)
+    train, _, _ = temporal_split(e, 0.8, times=load_transactions(spark, sf_dir))
     f = add_features(e, user_profiles(train))
     return _round(f.select("transaction_id", *FEATURE_ORDER, LABEL),
                   {"amount_eur", "log_amount", "amount_z"})
@@ -277,7 +277,7 @@ def trained(spark: SparkSession, sf_dir: str) -> dict:
     if key in _MODELS:
         return _MODELS[key]
     e = enriched_tx(spark, sf_dir)
-    train, valid, cut = temporal_split(e, 0.8)
+    train, valid, cut = temporal_split(e, 0.8, times=load_transactions(spark, sf_dir))
     tag = hashlib.sha1(key.encode()).hexdigest()[:12]
     prof_path = scratch_path(spark, "profiles", tag)
     user_profiles(train).write.mode("overwrite").parquet(prof_path)
