@@ -74,6 +74,9 @@ RATE_WINDOW_SECONDS = 60
 STARVATION_SECONDS = 60
 POLL_SECONDS = 5
 
+# Micro-batch trigger of the streaming alert queries.
+TRIGGER_INTERVAL = "5 seconds"
+
 # Kafka topics.
 TOPIC_TRANSACTIONS = "transactions"
 TOPIC_ALERTS = "fraud-alerts"

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -22,6 +22,7 @@ from tripwire.config import (
     GEO_MIN_COUNTRIES,
     GEO_WINDOW,
     HIGH_VALUE_EUR,
+    TRIGGER_INTERVAL,
     VELOCITY_MIN_COUNT,
     VELOCITY_WINDOW,
     WATERMARK,
@@ -38,7 +39,8 @@ Scorer = Callable[[DataFrame], DataFrame]
 class JobSettings:
     checkpoint_root: str
     mode: str = "final"                       # "final" or "early"
-    trigger: dict | None = None               # e.g. {"processingTime": "5 seconds"}
+    # Micro-batch trigger; {"availableNow": True} replays what is there and stops.
+    trigger: dict | None = field(default_factory=lambda: {"processingTime": TRIGGER_INTERVAL})
     high_value: float = HIGH_VALUE_EUR
     velocity_window: str = VELOCITY_WINDOW
     velocity_min: int = VELOCITY_MIN_COUNT
