@@ -351,7 +351,29 @@ def q_orders_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(user_profiles(enriched_orders(spark, sf_dir)), {"amt_mean", "amt_std"})
 
 
+def q_orders_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Temporal split over whole-day order times: many rows tie at the cut,
+    and all of them go to train."""
+    e = enriched_orders(spark, sf_dir)
+    cut = split_time(e, 0.8)
+    in_train = F.lit(False) if cut is None else F.col(TS) <= F.lit(cut)
+    in_valid = F.col(TS).isNotNull() & ~in_train
+    def n(cond, value=F.lit(1)):
+        return F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long")
+    cut_text = F.lit(None).cast("string") if cut is None else iso(F.lit(cut).cast("timestamp"))
+    return e.agg(n(in_train).alias("train_rows"), n(in_train, F.col(LABEL)).alias("train_positives"),
+                 n(in_valid).alias("valid_rows"), n(in_valid, F.col(LABEL)).alias("valid_positives")
+                 ).select(cut_text.alias("cut_time"), "*")
+
+
+def q_orders_label_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of labelled orders per customer; same-day orders are ordered by id."""
+    return _round(label_runs(enriched_orders(spark, sf_dir), chunk="30 days"), {"span_seconds"})
+
+
 QUERIES.update({
+    "orders_split_counts": q_orders_split_counts,
+    "orders_label_runs": q_orders_label_runs,
     "orders_velocity_week": q_orders_velocity_week,
     "orders_high_value": q_orders_high_value,
     "orders_profile": q_orders_profile,

@@ -366,6 +366,8 @@ def on_orders(sql: str) -> str:
 
 
 ORACLES.update({
+    "orders_split_counts": on_orders(SPLIT_COUNTS),
+    "orders_label_runs": on_orders(LABEL_RUNS),
     "orders_velocity_week": on_orders(velocity("7 days", 2)),
     "orders_high_value": on_orders(HIGH_VALUE.replace("1000.0", "400000.0")),
     "orders_profile": on_orders(USER_PROFILE),
