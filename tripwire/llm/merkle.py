@@ -39,7 +39,7 @@ RUNS_PER_PARTITION = 4     # runs of ids for each shuffle partition
 MOST_RUNS = 20_000         # keeps the borders small; a run is streamed, whatever its size
 
 # White space after a sign or after one of these letters ends a piece: about every third word.
-_PIECES = re.compile(r"(?<=[.!?;:,|cfilorux。！？；，、])\s+|(?<=[。！？；])")
+_PIECES = re.compile(r"(?<=[.!?;:,|cfiloruxCFILORUX&%*。！？；，、])\s+|(?<=[。！？；])")
 
 
 def _pieces(paragraph: str) -> list[str]:
