@@ -91,11 +91,12 @@ def leaf_budgets(leaves: DataFrame, domain_weights: Mapping[str, float], lang_we
     row per leaf; windows hold the children of one node."""
     leaf = leaves.withColumn("capacity", F.col("tokens") * float(epochs))
     lang = leaf.groupBy("domain", "lang").agg(F.sum("capacity").alias("capacity"))
-    domain = lang.groupBy("domain").agg(F.sum("capacity").alias("capacity"))
-    total = leaves.agg((F.sum("tokens") * F.lit(float(budget_share))).alias("budget")) \
+    # The root's budget: a sum over the few rows of the domains.
+    domain = leaf.groupBy("domain").agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("tokens")) \
         .withColumn("root", F.lit(0))
-    d = _share(domain.withColumn("weight", _weight(F.col("domain"), domain_weights)).withColumn("root", F.lit(0))
-               .join(F.broadcast(total), "root"), ["root"], ["domain"])
+    total = F.sum("tokens").over(Window.partitionBy("root")) * F.lit(float(budget_share))
+    d = _share(domain.withColumn("weight", _weight(F.col("domain"), domain_weights)).withColumn("budget", total),
+               ["root"], ["domain"])
     la = _share(lang.withColumn("weight", _weight(F.col("lang"), lang_weights))
                 .join(d.select("domain", F.col("share").alias("budget")), "domain"), ["domain"], ["lang"])
     s = _share(leaf.withColumn("weight", _weight(F.col("source"), source_weights))
