@@ -2,6 +2,7 @@
 column names and values, order-insensitive. Queries without an oracle must
 run and return a stable schema."""
 import os
+import re
 import sys
 
 import pytest
@@ -22,7 +23,9 @@ def report(spark):
 
 def test_every_query_has_an_oracle_or_is_declared_non_sql():
     non_sql = {"model_eval", "tau_sweep", "ml_alerts", "confusion_by_tau"}
-    assert set(entry.queries()) - set(entry.oracle_sql()) == non_sql
+    # The text operators (op<N>_..., pipeline) are held against brute force in tests/llm.
+    own = {n for n in entry.queries() if n != "pipeline" and not re.match(r"op\d+_", n)}
+    assert own - set(entry.oracle_sql()) == non_sql
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -66,8 +66,8 @@ TRANSACTION_ID_PATTERN = r"^t-\d{7}$"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 CLOCK_FORMAT = "HH:mm:ss"
 
-# Default number of newest alerts to show, and the cap.
-LATEST_DEFAULT, LATEST_CAP = 200, 500
+# Default number of newest alerts to show.
+LATEST_DEFAULT = 200
 
 # Alert-rate window and starvation threshold, seconds.
 RATE_WINDOW_SECONDS = 60

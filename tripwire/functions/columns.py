@@ -35,8 +35,9 @@ def fx_rate(currency: Column) -> Column:
 
 def amount_in_eur(amount: Column, currency: Column) -> Column:
     """Amount in EUR to two decimals. Decimal arithmetic, so the result does not
-    depend on binary rounding of the double product; returned as DOUBLE."""
-    product = amount.cast("decimal(18,2)") * fx_rate(currency)
+    depend on binary rounding of the double product; rounded once, returned as
+    DOUBLE. NaN and amounts of 10^18 or more are NULL: one message never ends a stream."""
+    product = amount.try_cast("decimal(26,8)") * fx_rate(currency)
     return F.round(product, 2).cast("double")
 
 
@@ -54,9 +55,11 @@ def currency_index(col: Column) -> Column:
 
 
 def alert_key(*parts: Column) -> Column:
-    """Deterministic alert id: SHA-256 hex of the `|`-joined key parts, so a
-    retried batch produces the same id and sinks can be idempotent."""
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    """Deterministic alert id: SHA-256 hex of the key parts, so a retried batch
+    produces the same id and sinks can be idempotent. Every part carries its length and
+    a NULL has a sign of its own, so different keys never give one text."""
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-"))
+                             for p in parts]), 256)
 
 
 def double_text(col: Column) -> Column:

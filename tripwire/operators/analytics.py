@@ -11,7 +11,6 @@ from pyspark.sql.types import DoubleType
 
 from tripwire.config import (
     GEO_WINDOW,
-    LATEST_CAP,
     LATEST_DEFAULT,
     POLL_SECONDS,
     RATE_WINDOW_SECONDS,
@@ -31,10 +30,9 @@ def parse_iso(col: Column) -> Column:
 
 
 def latest_alerts(alerts: DataFrame, n: int = LATEST_DEFAULT) -> DataFrame:
-    """Newest `n` alerts (at most LATEST_CAP), newest first; ties by alert_id.
+    """Newest `n` alerts, newest first; ties by alert_id.
     Planned as a distributed top-k (each partition keeps its own top n)."""
-    n = max(1, min(int(n), LATEST_CAP))
-    return alerts.orderBy(F.col("alert_time").desc(), F.col("alert_id").desc()).limit(n)
+    return alerts.orderBy(F.col("alert_time").desc(), F.col("alert_id").desc()).limit(max(1, int(n)))
 
 
 def alert_rate(alerts: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
@@ -94,8 +92,12 @@ def confusion_by_tau(scored: DataFrame, taus, score_col: str = "p_fraud",
 
 
 def unique_alerts(alerts: DataFrame) -> DataFrame:
-    """One row per alert_id over overlapping inputs (batch)."""
-    return alerts.dropDuplicates(["alert_id"])
+    """One row per alert_id over overlapping inputs (batch): the earliest by
+    alert_time, then by its other columns, however the input is partitioned."""
+    rest = [c for c in alerts.columns if c != "alert_id"]
+    order = ["alert_time", *[c for c in rest if c != "alert_time"]]
+    first = alerts.groupBy("alert_id").agg(F.min(F.struct(*order)).alias("a"))
+    return first.select("alert_id", "a.*").select(*alerts.columns)
 
 
 def unique_alerts_stream(alerts: DataFrame, delay: str = "10 minutes") -> DataFrame:

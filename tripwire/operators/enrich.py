@@ -1,8 +1,6 @@
 """Country lookup and EUR amount (needed before any rule runs)."""
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,55 +8,38 @@ from tripwire.config import LABEL, LABEL_FRAGMENTS
 from tripwire.functions.columns import amount_in_eur
 from tripwire.sources.dimensions import city_dimension
 
-# A dimension up to this many rows is broadcast to every task.
-MAX_BROADCAST_DIMENSION_ROWS = 100_000
-
-_LABEL_LIKE = re.compile("|".join(LABEL_FRAGMENTS), re.IGNORECASE)
-
-
 class LabelLeakError(ValueError):
     """A label-shaped column would reach the model."""
 
 
-def check_no_label_leak(columns, allowed: tuple[str, ...] = (LABEL,)) -> None:
-    """Raise when a column other than the label itself looks like a label."""
-    leaked = [c for c in columns if c not in allowed and _LABEL_LIKE.search(c)]
-    if leaked:
-        raise LabelLeakError(f"label-shaped column(s): {leaked}")
-
-
-_BOUNDED: dict[tuple, bool] = {}
-
+def label_like(columns) -> dict[str, str]:
+    """Columns whose names hold a fragment that betrays a label, with the fragment."""
+    found = {}
+    for name in columns:
+        fragment = next((f for f in LABEL_FRAGMENTS if f in name.lower()), None)
+        if fragment:
+            found[name] = fragment
+    return found
 
-def is_bounded(dim: DataFrame, max_rows: int = MAX_BROADCAST_DIMENSION_ROWS) -> bool:
-    """At most `max_rows` rows? Counts at most `max_rows + 1` rows; the answer
-    is remembered per set of input files (a file-backed dimension changes by
-    new files)."""
-    files = tuple(sorted(dim.inputFiles()))
-    key = (files, max_rows) if files else None
-    if key is not None and key in _BOUNDED:
-        return _BOUNDED[key]
-    ok = dim.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        _BOUNDED[key] = ok
-    return ok
 
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_DIMENSION_ROWS) -> DataFrame:
-    """Broadcast hint for a dimension whose row count is checked first; an
-    unbounded one is left to the planner (sort-merge, or a broadcast chosen by
-    adaptive execution from runtime sizes)."""
-    return F.broadcast(dim) if is_bounded(dim, max_rows) else dim
+def check_no_label_leak(columns, allowed: tuple[str, ...] = (LABEL,)) -> None:
+    """Raise unless every label-like column is one of `allowed`."""
+    suspects = {c: f for c, f in label_like(columns).items() if c not in allowed}
+    if suspects:
+        report = ", ".join(f"{c} (holds '{f}')" for c, f in sorted(suspects.items()))
+        raise LabelLeakError(f"columns that could carry the label: {report}")
 
 
 def enrich(tx: DataFrame, places: DataFrame | None = None) -> DataFrame:
     """Add `country` (left join on `location`: unknown place keeps the row with
     NULL) and `amount_eur` (NULL for an unknown currency). Row count and order
-    of columns are kept; the two new columns come last."""
+    of columns are kept; the two new columns come last. A location that `places`
+    holds more than once has the smallest of its countries. The planner and adaptive
+    execution decide by bytes whether `places` is broadcast."""
     if places is None:
         dim = F.broadcast(city_dimension(tx.sparkSession))
     else:
-        dim = bounded_broadcast(places.select("location", "country"))
+        dim = places.groupBy("location").agg(F.min("country").alias("country"))
     out = (tx.join(dim, on="location", how="left")
              .select(*tx.columns, "country",
                      amount_in_eur(F.col("amount"), F.col("currency")).alias("amount_eur")))

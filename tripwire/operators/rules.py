@@ -45,13 +45,19 @@ def _interval(text: str) -> Column:
     return F.expr(f"INTERVAL {text}")
 
 
-def _alert_columns(*, rule: str, key: Column, transaction_id: Column, user_id: Column,
+def _row_key() -> list[Column]:
+    """A transaction's id; without one its user, time and amount."""
+    tid = F.col("transaction_id")
+    return [tid, F.when(tid.isNull(), F.concat_ws("|", "user_id", iso(F.col(TS)), F.col("amount").cast("string")))]
+
+
+def _alert_columns(*, rule: str, key: list[Column], transaction_id: Column, user_id: Column,
                    event_ts: Column, alert_ts: Column, amount: Column, currency: Column,
                    amount_eur: Column, location: Column, country: Column,
                    p_fraud: Column, detail: Column, label: Column) -> list[Column]:
     """The one alert shape, shared by every rule."""
     return [
-        alert_key(F.lit(rule), key).alias("alert_id"),
+        alert_key(F.lit(rule), *key).alias("alert_id"),
         transaction_id.alias("transaction_id"),
         user_id.alias("user_id"),
         iso(event_ts).alias("event_time"),
@@ -114,7 +120,7 @@ def row_alerts(enriched: DataFrame, *, high_value: float | None = HIGH_VALUE_EUR
     # Two rules: rule-specific literals are taken from the exploded struct.
     rule = F.col("hit.rule")
     cols = [
-        alert_key(rule, F.col("transaction_id")).alias("alert_id"),
+        alert_key(rule, *_row_key()).alias("alert_id"),
         F.col("transaction_id"), F.col("user_id"),
         iso(F.col(TS)).alias("event_time"), iso(alert_ts).alias("alert_time"),
         rule.alias("rule"),
@@ -129,7 +135,7 @@ def row_alerts(enriched: DataFrame, *, high_value: float | None = HIGH_VALUE_EUR
 
 def _shape_row(hits: DataFrame, rule: str, alert_ts: Column) -> DataFrame:
     return hits.select(*_alert_columns(
-        rule=rule, key=F.col("transaction_id"), transaction_id=F.col("transaction_id"),
+        rule=rule, key=_row_key(), transaction_id=F.col("transaction_id"),
         user_id=F.col("user_id"), event_ts=F.col(TS), alert_ts=alert_ts,
         amount=F.col("amount"), currency=F.col("currency"), amount_eur=F.col("amount_eur"),
         location=F.col("location"), country=F.col("country"),
@@ -174,7 +180,7 @@ def shape_window_alerts(grouped: DataFrame, rule: str, detail: Column, width: st
     else:
         alert_ts = end + _interval(watermark) if watermark else end
     cols = _alert_columns(
-        rule=rule, key=F.concat_ws("|", F.col("user_id"), iso(start)),
+        rule=rule, key=[F.col("user_id"), iso(start), iso(end)],
         transaction_id=last.getField("transaction_id"), user_id=F.col("user_id"),
         event_ts=last.getField(TS), alert_ts=alert_ts,
         amount=last.getField("amount"), currency=last.getField("currency"),

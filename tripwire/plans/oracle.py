@@ -14,7 +14,7 @@ TX = """
 e AS (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events),
 tx AS (
   SELECT 'u' || CAST(user_id AS VARCHAR) AS user_id,
-         't-' || lpad(CAST(event_id AS VARCHAR), 7, '0') AS transaction_id,
+         't-' || lpad(CAST(event_id AS VARCHAR), greatest(7, length(CAST(event_id AS VARCHAR)))::INTEGER, '0') AS transaction_id,
          round(value * 10, 2) AS amount,
          CASE k % 3 WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' END AS currency,
          CAST(ts AS TIMESTAMP) AS ts,
@@ -28,13 +28,18 @@ tx AS (
 ETX = """
 etx AS (
   SELECT tx.*, n.n_name AS country,
-         CAST(round(CAST(amount AS DECIMAL(18,2)) *
+         CAST(round(CAST(amount AS DECIMAL(26,8)) *
               CAST(CASE currency WHEN 'EUR' THEN 1.0 WHEN 'USD' THEN 0.92
                                  WHEN 'GBP' THEN 1.17 END AS DECIMAL(6,4)), 2) AS DOUBLE)
            AS amount_eur
   FROM tx LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = tx.location)"""
 
 
+def _part(text: str) -> str:
+    """A part of an alert's key: its length and itself, `-` for NULL."""
+    return f"coalesce(length({text}) || ':' || {text}, '-')"
+
+
 def with_tx(body: str, *extra_ctes: str) -> str:
     ctes = ",".join((TX, ETX) + extra_ctes)
     return f"WITH {ctes}\n{body}"
@@ -54,7 +59,7 @@ SELECT user_id, transaction_id, amount, currency, location, method, is_fraud, co
 FROM etx""")
 
 HIGH_VALUE = with_tx("""
-SELECT sha256('high_value|' || transaction_id) AS alert_id, transaction_id, user_id,
+SELECT sha256('10:high_value' || """ + _part("transaction_id") + """ || '-') AS alert_id, transaction_id, user_id,
        """ + _iso("ts") + """ AS event_time, """ + _iso("ts") + """ AS alert_time,
        'high_value' AS rule, 'medium' AS severity, amount, currency, amount_eur,
        location, country, CAST(NULL AS DOUBLE) AS p_fraud,
@@ -76,7 +81,7 @@ l AS (SELECT * FROM (SELECT w.*, row_number() OVER (PARTITION BY user_id, ws
                      ORDER BY ts DESC, transaction_id DESC) AS rn FROM w) WHERE rn = 1)"""
     end = f"(g.ws + INTERVAL '{width}')"
     body = f"""
-SELECT sha256('{rule}|' || g.user_id || '|' || {_iso('g.ws')}) AS alert_id,
+SELECT sha256('{len(rule)}:{rule}' || {_part('g.user_id')} || {_part(_iso('g.ws'))} || {_part(_iso(end))}) AS alert_id,
        l.transaction_id, g.user_id, {_iso('l.ts')} AS event_time,
        {_iso(end + " + INTERVAL '5 minutes'")} AS alert_time,
        '{rule}' AS rule, '{severity}' AS severity, l.amount, l.currency, l.amount_eur,
@@ -340,7 +345,7 @@ ORACLES.update({
 OTX = """
 otx0 AS (
   SELECT 'u' || CAST(o_custkey AS VARCHAR) AS user_id,
-         't-' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') AS transaction_id,
+         't-' || lpad(CAST(o_orderkey AS VARCHAR), greatest(7, length(CAST(o_orderkey AS VARCHAR)))::INTEGER, '0') AS transaction_id,
          o_totalprice AS amount,
          CASE o_orderkey % 3 WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' END AS currency,
          CAST(o_orderdate AS TIMESTAMP) AS ts,
@@ -351,7 +356,7 @@ otx0 AS (
   FROM orders LEFT JOIN customer c ON c.c_custkey = o_custkey),
 etx AS (
   SELECT otx0.*, n.n_name AS country,
-         CAST(round(CAST(amount AS DECIMAL(18,2)) *
+         CAST(round(CAST(amount AS DECIMAL(26,8)) *
               CAST(CASE currency WHEN 'EUR' THEN 1.0 WHEN 'USD' THEN 0.92
                                  WHEN 'GBP' THEN 1.17 END AS DECIMAL(6,4)), 2) AS DOUBLE)
            AS amount_eur

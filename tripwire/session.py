@@ -48,8 +48,8 @@ def apply_session_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage cuts.
 
-    Taken from `spark.checkpoint.dir` (set by the cluster); only when it is
-    unset, as in local tests, a fresh folder is made and registered.
+    Taken from `spark.checkpoint.dir` (set by the cluster). Only a local session, as in
+    tests, gets a fresh folder when it is unset; a cluster session raises.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
@@ -61,6 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tripwire-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir().rstrip("/")

@@ -37,10 +37,16 @@ def _pick(values, n: F.Column) -> F.Column:
     return literal_map(dict(enumerate(values)))[n % len(values)]
 
 
+def _transaction_id(number: F.Column) -> F.Column:
+    """`t-` and the number with at least seven digits (`lpad` alone cuts longer ones)."""
+    text = number.cast("string")
+    return F.concat(F.lit("t-"), F.when(F.length(text) < 7, F.lpad(text, 7, "0")).otherwise(text))
+
+
 def transactions_from_events(events: DataFrame) -> DataFrame:
     """`events` -> transaction rows in the engine schema.
 
-    user `u<user_id>`, id `t-` + 7-digit event id, amount `value * 10`,
+    user `u<user_id>`, id `t-` + event id of at least 7 digits, amount `value * 10`,
     currency / method / location chosen by the `k` number in `props`,
     label 1 for `error` events, `ts` cast from TIMESTAMP_NTZ to TIMESTAMP
     (session zone UTC) because watermarks reject NTZ.
@@ -48,8 +54,7 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     return events.select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_id"),
-        F.concat(F.lit("t-"), F.lpad(F.col("event_id").cast("string"), 7, "0"))
-         .alias("transaction_id"),
+        _transaction_id(F.col("event_id")).alias("transaction_id"),
         F.round(F.col("value") * 10, 2).alias("amount"),
         _pick(CURRENCIES, k).alias("currency"),
         F.col("ts").cast("timestamp").alias(TS),
@@ -69,7 +74,7 @@ def transactions_from_orders(orders: DataFrame, customer: DataFrame) -> DataFram
     key = F.col("o_orderkey")
     return o.select(
         F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("user_id"),
-        F.concat(F.lit("t-"), F.lpad(key.cast("string"), 7, "0")).alias("transaction_id"),
+        _transaction_id(key).alias("transaction_id"),
         F.col("o_totalprice").alias("amount"),
         _pick(CURRENCIES, key).alias("currency"),
         F.col("o_orderdate").cast("timestamp").alias(TS),
