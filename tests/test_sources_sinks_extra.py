@@ -11,7 +11,7 @@ from tripwire.operators.enrich import enrich
 from tripwire.operators.rules import approx_distinct, high_value_rule
 from tripwire.sources.streams import kafka_messages, transaction_file_stream
 from tripwire.sources.tables import load_places, load_transactions
-from tripwire.streaming.sinks import console_sink, parquet_file_sink
+from tripwire.streaming.sinks import ConsoleSink, parquet_file_sink
 
 
 def test_approx_distinct_close_to_exact(spark):
@@ -25,7 +25,7 @@ def test_approx_distinct_close_to_exact(spark):
 
 
 def test_console_sink_runs(spark, capsys):
-    console_sink(high_value_rule(enrich(frame(spark, [row(amount=2000.0)]))), 0)
+    ConsoleSink().write(high_value_rule(enrich(frame(spark, [row(amount=2000.0)]))), "row", 0)
     assert "high_value" in capsys.readouterr().out
 
 

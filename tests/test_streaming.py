@@ -12,7 +12,7 @@ from tripwire.operators.rules import velocity_rule
 from tripwire.sources.streams import transaction_file_stream
 from tripwire.sources.tables import load_places, load_transactions
 from tripwire.streaming.jobs import JobSettings, alert_streams, start_alert_queries
-from tripwire.streaming.sinks import make_parquet_sink
+from tripwire.streaming.sinks import ParquetSink
 
 _n = [0]
 
@@ -42,7 +42,7 @@ def run_job(spark, src, root, mode, **kw):
     stream = transaction_file_stream(spark, src, "json", max_files_per_trigger=1)
     settings = JobSettings(checkpoint_root=os.path.join(root, "ckpt"), mode=mode,
                            trigger={"availableNow": True}, **kw)
-    qs = start_alert_queries(stream, settings, [make_parquet_sink(os.path.join(root, "out"))])
+    qs = start_alert_queries(stream, settings, [ParquetSink(os.path.join(root, "out"))])
     for q in qs.values():
         q.awaitTermination(120)
     return qs
@@ -55,6 +55,22 @@ def alerts(spark, root):
     return spark.read.parquet(path).collect()
 
 
+def test_any_amount_and_any_time_form_keeps_every_query_running(spark, scratch):
+    src = os.path.join(scratch, "in")
+    forms = ["2026-01-01T10:00:00Z", "2026-01-01T11:00:00.5+01:00", "2026-01-01T10:00:01", "2026-01-01 10:00:02"]
+    write_json(src, [tx(k, t, amount=2000.0) for k, t in enumerate(forms)])
+    write_json(src, [tx(10, "2026-01-01T10:00:03Z", amount=1e17), tx(11, "2026-01-01T10:00:04Z", amount=1e30),
+                     json.dumps(tx(12, "2026-01-01T10:00:05Z", amount=float("nan"))), tx(13, "no time", amount=2000.0),
+                     "[1, 2]", "null", ""])
+    write_json(src, [tx(20, "2026-01-01T10:30:00Z")])
+    qs = run_job(spark, src, scratch, "final")
+    assert all(q.exception() is None for q in qs.values())
+    found = alerts(spark, scratch)
+    assert {r["transaction_id"] for r in found if r["rule"] == "high_value"} == \
+        {f"t-{k:07d}" for k in (0, 1, 2, 3, 10, 13)}
+    assert [r["detail"] for r in found if r["rule"] == "velocity"] == ["7 transactions in window 10:00:00-10:01:00"]
+
+
 def test_bad_json_does_not_stop_the_query(spark, scratch):
     src = os.path.join(scratch, "in")
     write_json(src, ["{not valid json at all", tx(1, "2026-01-01T10:00:00Z", amount=2000.0)])
@@ -164,7 +180,7 @@ def test_final_mode_restart_loses_and_repeats_nothing(spark, scratch):
         stream = transaction_file_stream(spark, folder, "parquet", max_files_per_trigger=1)
         settings = JobSettings(checkpoint_root=root, mode="final", velocity_window="1 hour",
                                velocity_min=2, trigger={"availableNow": True})
-        qs = start_alert_queries(stream, settings, [make_parquet_sink(out)], places=places)
+        qs = start_alert_queries(stream, settings, [ParquetSink(out)], places=places)
         for q in qs.values():
             q.awaitTermination(180)
 

@@ -39,9 +39,11 @@ def parse_transactions(messages: DataFrame, value_col: str = "value") -> DataFra
     """JSON text -> typed transaction columns (engine schema, `ts`).
 
     Permissive: a message that is not JSON becomes a row of NULLs, which fails
-    every rule filter and never stops the query."""
-    data = F.from_json(F.col(value_col), TRANSACTION_WIRE_SCHEMA,
-                       {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]X"})
+    every rule filter and never stops the query. Times are read as Spark casts
+    text to a timestamp: with `Z`, an offset or no zone (session zone, UTC), with `T`
+    or a space. A time that cannot be read is NULL and counts as `missing_timestamp`
+    in `contract.quality_checks`."""
+    data = F.from_json(F.col(value_col), TRANSACTION_WIRE_SCHEMA)
     parsed = messages.select(data.alias("m")).select("m.*")
     return parsed.withColumnRenamed("timestamp", TS).select(
         *TRANSACTION_SCHEMA.fieldNames())

@@ -30,7 +30,7 @@ from tripwire.config import (
 from tripwire.operators.enrich import enrich
 from tripwire.operators.rules import geo_hop_rule, row_alerts, velocity_rule
 from tripwire.streaming.early import early_geo_hop, early_velocity
-from tripwire.streaming.sinks import SinkFn, bind_sinks, fan_out
+from tripwire.streaming.sinks import AlertSink, Delivery
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -75,16 +75,18 @@ def alert_streams(transactions: DataFrame, settings: JobSettings,
 
 
 def start_alert_queries(transactions: DataFrame, settings: JobSettings,
-                        sinks: Sequence[SinkFn], places: DataFrame | None = None,
+                        sinks: Sequence[AlertSink], places: DataFrame | None = None,
                         scorer: Scorer | None = None,
                         tau: float | None = None) -> dict[str, StreamingQuery]:
-    """Start Q1-Q3, each writing through `fan_out(sinks)` in append mode."""
+    """Start Q1-Q3 in append mode, each delivering to every sink. Delivery notes lie beside
+    the checkpoints, so they live and die with them."""
     roots = {settings.checkpoint(n) for n in ("row", "velocity", "geo")}
     if len(roots) != 3:
         raise ValueError("checkpoint folders collide")
     started = {}
     for name, frame in alert_streams(transactions, settings, places, scorer, tau).items():
-        writer = (frame.writeStream.foreachBatch(fan_out(bind_sinks(sinks, name)))
+        writer = (frame.writeStream
+                  .foreachBatch(Delivery(sinks, name, settings.checkpoint(f"delivered/{name}")))
                   .outputMode("append").queryName(f"alerts_{name}")
                   .option("checkpointLocation", settings.checkpoint(name)))
         if settings.trigger:
