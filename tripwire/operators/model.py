@@ -12,7 +12,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripwire.config import FEATURE_ORDER, LABEL
@@ -90,6 +90,19 @@ def load_model(path: str) -> PipelineModel:
     return model
 
 
+def save_artifacts(model: PipelineModel, profiles: DataFrame, tau: float, path: str) -> None:
+    """What scoring needs, in one folder: model, profiles and threshold."""
+    save_model(model, f"{path}/model")
+    profiles.write.mode("overwrite").parquet(f"{path}/profiles")
+    one = profiles.sparkSession.range(1).select(F.lit(float(tau)).alias("tau"))
+    one.write.mode("overwrite").parquet(f"{path}/tau")
+
+
+def load_artifacts(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame, float]:
+    return (load_model(f"{path}/model"), spark.read.parquet(f"{path}/profiles"),
+            spark.read.parquet(f"{path}/tau").first()["tau"])
+
+
 # ---------------------------------------------------------------- evaluation
 
 def score_histogram(scored: DataFrame, score_col: str = "p_fraud",

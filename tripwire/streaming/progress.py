@@ -7,13 +7,15 @@ keeps these small records; the table is handed to the Spark operators in
 """
 from __future__ import annotations
 
+import logging
 import threading
+import time
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
-from tripwire.config import PROGRESS_SCHEMA
+from tripwire.config import PROGRESS_SCHEMA, STARVATION_SECONDS
 
 
 def _dropped(progress) -> int:
@@ -63,6 +65,44 @@ def record_progress(spark: SparkSession) -> ProgressRecorder:
     return rec
 
 
+class StarvationWarning(StreamingQueryListener):
+    """Warns once per episode in which a running query got no input for `limit` seconds.
+    Spark reports progress and idleness by itself, so nothing polls; what is kept is one
+    time per running query."""
+
+    def __init__(self, limit: float = STARVATION_SECONDS, warn=None, now=time.monotonic):
+        self.limit, self.warn, self.now = limit, warn or logging.getLogger("tripwire").warning, now
+        self._fed: dict[str, float] = {}
+        self._warned: set[str] = set()
+
+    def _fresh(self, run: str) -> None:
+        self._fed[run] = self.now()
+        self._warned.discard(run)
+
+    def _look(self, run: str) -> None:
+        starved = self.now() - self._fed.setdefault(run, self.now())
+        if starved >= self.limit and run not in self._warned:
+            self._warned.add(run)
+            self.warn(f"streaming query {run}: no input for {starved:.0f} s")
+
+    def onQueryStarted(self, event):
+        self._fresh(str(event.runId))
+
+    def onQueryProgress(self, event):
+        run = str(event.progress.runId)
+        if event.progress.numInputRows > 0:
+            self._fresh(run)
+        else:
+            self._look(run)
+
+    def onQueryIdle(self, event):
+        self._look(str(event.runId))
+
+    def onQueryTerminated(self, event):
+        self._fed.pop(str(event.runId), None)
+        self._warned.discard(str(event.runId))
+
+
 def late_rows(query) -> int:
     """Rows a query dropped as too late (sum over its recent progress)."""
     return sum(_dropped_dict(p) for p in query.recentProgress)
