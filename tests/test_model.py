@@ -94,3 +94,15 @@ def test_unscorable_rows_are_kept_with_null_score(spark, fitted):
     out = add_p_fraud(broken.unionByName(valid.limit(5)), model).collect()
     assert len(out) == 10
     assert sum(1 for r in out if r["p_fraud"] is None) == 5
+
+
+def test_registered_model_queries_score_every_transaction(spark):
+    from tripwire.plans import catalog
+    tau = catalog.trained(spark, SF_SMALL)["metrics"]["tau"]
+    scored = catalog.scored_transactions(spark, SF_SMALL)
+    all_rows = catalog.enriched_tx(spark, SF_SMALL).count()
+    assert scored.count() == all_rows
+    fired = {r["transaction_id"] for r in scored.where(scored["p_fraud"] > tau).collect()}
+    assert {r["transaction_id"] for r in catalog.queries()["ml_alerts"](spark, SF_SMALL).collect()} == fired
+    for r in catalog.queries()["confusion_by_tau"](spark, SF_SMALL).collect():
+        assert r["tp"] + r["fp"] + r["fn"] + r["tn"] == all_rows

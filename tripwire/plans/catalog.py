@@ -309,15 +309,20 @@ def q_tau_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return threshold_curve(trained(spark, sf_dir)["scored_valid"])
 
 
-def q_ml_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transaction with its features and `p_fraud`."""
     t = trained(spark, sf_dir)
-    return alert_projection(ml_score_rule(t["scored_valid"], float(t["metrics"]["tau"]),
-                                          clock_mode="event"))
+    return add_p_fraud(add_features(enriched_tx(spark, sf_dir), t["profiles"]), t["model"])
+
+
+def q_ml_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tau = float(trained(spark, sf_dir)["metrics"]["tau"])
+    return alert_projection(ml_score_rule(scored_transactions(spark, sf_dir), tau, clock_mode="event"))
 
 
 def q_confusion_by_tau(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = [round(0.05 * i, 2) for i in range(1, 20)]
-    return confusion_by_tau(trained(spark, sf_dir)["scored_valid"], grid)
+    return confusion_by_tau(scored_transactions(spark, sf_dir), grid)
 
 
 QUERIES.update({
