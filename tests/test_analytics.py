@@ -191,3 +191,26 @@ def test_suppress_repeats_brute_force(spark, chunk):
                 want.append((key, ident))
                 last = ts
     assert got == sorted(want)
+
+
+def test_suppress_repeats_null_keys_empty_input_and_clashing_names(spark):
+    rows = [(None, T0, 1), (None, T0 + seconds(599), 2), (None, T0 + seconds(600), 3), ("a", T0, 4),
+            ("a", None, 5)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp, entry int")
+    assert sorted(r["entry"] for r in suppress_repeats(df, ["key"], order_cols=("entry",)).collect()) == [1, 3, 4]
+    assert suppress_repeats(df.limit(0), ["key"]).collect() == []
+
+
+def test_suppress_repeats_on_a_stream(spark, scratch):
+    from tripwire.operators.sequences import suppress_repeats_stream
+    src = f"{scratch}/in"
+    schema = "key string, ts timestamp, id int"
+    for k, rows in enumerate([[("k", T0, 1), ("k", T0 + seconds(300), 2), ("j", T0, 3)],
+                              [("k", T0 + seconds(599), 4), ("k", T0 + seconds(600), 5), ("k", T0 + seconds(601), 6)],
+                              [("k", T0 + seconds(1250), 7), ("k", T0 + seconds(1199), 8), ("j", T0 + seconds(700), 9)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (suppress_repeats_stream(stream, ["key"]).writeStream.format("memory").queryName("suppressed")
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(180)
+    assert sorted(r["id"] for r in spark.table("suppressed").collect()) == [1, 3, 5, 7, 9]

@@ -86,14 +86,15 @@ def test_streaming_row_rules_with_model(spark, fitted, scratch):
 
 
 
-def test_unscorable_rows_are_kept_with_null_score(spark, fitted):
+def test_rows_with_missing_features_are_scored(spark, fitted):
     from pyspark.sql import functions as F
     model, _, valid = fitted
     broken = valid.limit(5).withColumn("amount_eur", F.lit(None).cast("double")) \
                   .withColumn("log_amount", F.lit(None).cast("double"))
     out = add_p_fraud(broken.unionByName(valid.limit(5)), model).collect()
     assert len(out) == 10
-    assert sum(1 for r in out if r["p_fraud"] is None) == 5
+    assert all(r["p_fraud"] is not None for r in out)
+    assert sum(1 for r in out if r["amount_eur"] is None and r["log_amount"] is None) == 5
 
 
 def test_registered_model_queries_score_every_transaction(spark):
@@ -106,3 +107,19 @@ def test_registered_model_queries_score_every_transaction(spark):
     assert {r["transaction_id"] for r in catalog.queries()["ml_alerts"](spark, SF_SMALL).collect()} == fired
     for r in catalog.queries()["confusion_by_tau"](spark, SF_SMALL).collect():
         assert r["tp"] + r["fp"] + r["fn"] + r["tn"] == all_rows
+
+
+def test_training_goes_on_while_the_label_can_be_learned(spark):
+    """A label that the features explain: many trees, and a ranking far above the base rate."""
+    from pyspark.sql import functions as F
+    from tripwire.operators.model import evaluate
+    e = enriched_tx(spark, SF_SMALL)
+    signal = ((F.col("amount_eur") > 300) & (F.hour("ts") < 12)).cast("int")
+    e = e.withColumn("is_fraud", F.coalesce(signal, F.lit(0)))
+    train, valid, _ = temporal_split(e)
+    prof = user_profiles(train)
+    model = train_model(add_features(train, prof), add_features(valid, prof), max_iter=20)
+    assert model.stages[-1].getNumTrees > 5
+    scored = add_p_fraud(add_features(valid, prof), model)
+    base = scored.agg(F.avg("is_fraud")).first()[0]
+    assert evaluate(scored)["average_precision"] > min(0.9, 2 * base)

@@ -22,7 +22,7 @@ from tripwire.config import (
     STARVATION_SECONDS,
     VELOCITY_WINDOW,
 )
-from tripwire.functions.columns import iso, literal_map
+from tripwire.functions.columns import iso, literal_map, width_seconds
 
 
 def parse_iso(col: Column) -> Column:
@@ -124,15 +124,6 @@ def latency_p95(alerts: DataFrame, q: float = 0.95) -> DataFrame:
              .agg(F.min("n").alias("n"), F.min("delta").alias("p95_seconds")))
 
 
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
-
-
-def width_seconds(width: str) -> int:
-    """'5 minutes' -> 300."""
-    number, unit = width.split()
-    return int(number) * _UNIT_SECONDS[unit.lower().rstrip("s")]
-
-
 def window_start_of(event_time: Column, width: str) -> Column:
     """Epoch-aligned tumbling-window start of an event time (what `window`
     gives, usable several times in one projection)."""

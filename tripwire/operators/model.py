@@ -2,8 +2,7 @@
 
 MLlib gradient-boosted trees on the nine features. Training and scoring use
 the same feature function (`features.add_features`). Threshold tuning and
-average precision work on a histogram of scores rounded to 4 decimals (at
-most 10,001 rows), so the running sums over it are small.
+average precision work on the exact distinct scores, summed range by range.
 """
 from __future__ import annotations
 
@@ -17,8 +16,7 @@ from pyspark.sql import functions as F
 
 from tripwire.config import FEATURE_ORDER, LABEL
 from tripwire.operators.enrich import check_no_label_leak
-
-SCORE_DIGITS = 4
+from tripwire.session import checkpoint_root
 
 
 class FeatureOrderError(ValueError):
@@ -26,19 +24,18 @@ class FeatureOrderError(ValueError):
 
 
 def _complete(df: DataFrame) -> DataFrame:
-    """Categorical ids of unknown values become -1; rows whose numeric
-    features are NULL (unknown currency) cannot be scored and are skipped."""
-    return (df.withColumn("method_id", F.coalesce(F.col("method_id"), F.lit(-1)))
-              .withColumn("currency_id", F.coalesce(F.col("currency_id"), F.lit(-1)))
-              .dropna(subset=list(FEATURE_ORDER)))
+    """Every row, with missing features (unknown currency, method or time) set to a value below
+    every real one, which a tree can split off; a missing deviation is none (0)."""
+    below = {c: -1.0 for c in ("amount_eur", "log_amount")} | {"amount_z": 0.0}
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(below.get(c, -1))) for c in FEATURE_ORDER})
 
 
 def train_model(train_features: DataFrame, valid_features: DataFrame | None = None,
                 max_iter: int = 300, max_depth: int = 5, step_size: float = 0.05,
                 seed: int = 42) -> PipelineModel:
     """Boosted trees: depth 5 (up to 32 leaves), learning rate 0.05, up to 300
-    rounds; with a validation frame, boosting stops early when validation loss
-    stops improving. No class weights."""
+    rounds; with a validation frame, boosting stops early in the first round in which the
+    validation loss does not improve at all. No row is left out. No class weights."""
     check_no_label_leak(FEATURE_ORDER, allowed=())
     cols = list(FEATURE_ORDER) + [LABEL]
     data = _complete(train_features).select(*cols).withColumn("_valid", F.lit(False))
@@ -47,7 +44,7 @@ def train_model(train_features: DataFrame, valid_features: DataFrame | None = No
     if valid_features is not None:
         data = data.unionByName(_complete(valid_features).select(*cols)
                                 .withColumn("_valid", F.lit(True)))
-        gbt_args.update(validationIndicatorCol="_valid", validationTol=0.001)
+        gbt_args.update(validationIndicatorCol="_valid", validationTol=0.0)
     data = data.withColumn(LABEL, F.col(LABEL).cast("double"))
     pipeline = Pipeline(stages=[
         VectorAssembler(inputCols=list(FEATURE_ORDER), outputCol="features",
@@ -65,19 +62,15 @@ def check_feature_order(model: PipelineModel) -> None:
 
 
 def add_p_fraud(features: DataFrame, model: PipelineModel) -> DataFrame:
-    """Score rows (batch or stream): `p_fraud` = probability of class 1, NULL
-    when a numeric feature is missing. Every input row is kept (the assembler
-    keeps invalid values, and their score is then blanked)."""
+    """Score rows (batch or stream): `p_fraud` = probability of class 1. Every input row is
+    kept and scored; missing features are filled for the model only."""
     check_feature_order(model)
-    complete = F.lit(True)
-    for c in ("amount_eur", "log_amount", "amount_z", "hour", "dayofweek"):
-        complete = complete & F.col(c).isNotNull()
-    filled = (features.withColumn("method_id", F.coalesce(F.col("method_id"), F.lit(-1)))
-                      .withColumn("currency_id", F.coalesce(F.col("currency_id"), F.lit(-1))))
+    own = {c: f"_own_{c}" for c in FEATURE_ORDER}
+    filled = _complete(features.withColumns({name: F.col(c) for c, name in own.items()}))
     scored = model.transform(filled)
-    p = F.when(complete, vector_to_array(F.col("probability")).getItem(1))
-    return scored.withColumn("p_fraud", p).drop("features", "rawPrediction", "probability",
-                                                 "prediction")
+    p = vector_to_array(F.col("probability")).getItem(1)
+    return scored.select(*[F.col(own[c]).alias(c) if c in own else F.col(c) for c in features.columns],
+                         p.alias("p_fraud"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -107,32 +100,50 @@ def load_artifacts(spark: SparkSession, path: str) -> tuple[PipelineModel, DataF
 
 def score_histogram(scored: DataFrame, score_col: str = "p_fraud",
                     label_col: str = LABEL) -> DataFrame:
-    """(score rounded to 4 decimals, positives, negatives)."""
-    s = F.round(F.col(score_col), SCORE_DIGITS)
+    """(distinct score, positives, negatives), scores as they are."""
     return (scored.filter(F.col(score_col).isNotNull())
-            .groupBy(s.alias("threshold"))
+            .groupBy(F.col(score_col).alias("threshold"))
             .agg(F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).cast("long").alias("pos"),
                  F.sum(F.when(F.col(label_col) == 1, 0).otherwise(1)).cast("long").alias("neg")))
 
 
 def threshold_curve(scored: DataFrame, score_col: str = "p_fraud",
                     label_col: str = LABEL) -> DataFrame:
-    """Per threshold (descending): tp, fp (score >= threshold), precision,
-    recall, f1 (0 when precision + recall = 0)."""
-    hist = score_histogram(scored, score_col, label_col)
-    down = Window.orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding,
-                                                                 Window.currentRow)
-    everything = Window.partitionBy()
-    c = (hist.withColumn("tp", F.sum("pos").over(down))
-             .withColumn("fp", F.sum("neg").over(down))
-             .withColumn("P", F.sum("pos").over(everything)))
+    """Per distinct score: tp, fp (score >= threshold), precision, recall, f1
+    (0 when precision + recall = 0), and the previous (next higher) threshold's recall.
+
+    The running sums are taken in two levels, so that no task orders all scores: score ranges
+    cut at approximate quantiles (as many as there are shuffle partitions), one row of totals
+    per range, and a running sum inside each range."""
+    spark = scored.sparkSession
+    checkpoint_root(spark)
+    hist = score_histogram(scored, score_col, label_col).checkpoint(eager=True)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    probs = [k / parts for k in range(1, parts)]
+    cuts = sorted(set((hist.agg(F.percentile_approx("threshold", probs, 10_000)).first()[0] or []) if probs else []))
+    # Position in the sorted cuts: ranges are numbered from the lowest score up.
+    part = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: F.col("threshold") > c)) \
+        if cuts else F.lit(0)
+    hist = hist.withColumn("part", part)
+    higher = Window.orderBy(F.col("part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = hist.groupBy("part").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn"))
+    ranges = ranges.select("part", F.coalesce(F.sum("rp").over(higher), F.lit(0)).alias("tp0"),
+                           F.coalesce(F.sum("rn").over(higher), F.lit(0)).alias("fp0"),
+                           F.sum("rp").over(Window.partitionBy()).alias("P"))
+    down = Window.partitionBy("part").orderBy(F.col("threshold").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    c = (hist.join(ranges, "part")
+             .withColumn("tp", (F.col("tp0") + F.sum("pos").over(down)).cast("long"))
+             .withColumn("fp", (F.col("fp0") + F.sum("neg").over(down)).cast("long")))
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    recall = F.when(F.col("P") > 0, F.col("tp") / F.col("P")).otherwise(F.lit(0.0))
-    c = c.withColumn("precision", precision).withColumn("recall", recall)
+    def recall(tp):
+        return F.when(F.col("P") > 0, tp / F.col("P")).otherwise(F.lit(0.0))
+    c = (c.withColumn("precision", precision).withColumn("recall", recall(F.col("tp")))
+          .withColumn("prev_recall", recall(F.col("tp") - F.col("pos"))))
     f1 = F.when(F.col("precision") + F.col("recall") > 0,
                 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))
                 ).otherwise(F.lit(0.0))
-    return c.withColumn("f1", f1).select("threshold", "tp", "fp", "precision", "recall", "f1")
+    return c.withColumn("f1", f1).select("threshold", "tp", "fp", "precision", "recall", "f1", "prev_recall")
 
 
 def pick_tau(curve: DataFrame) -> DataFrame:
@@ -145,9 +156,7 @@ def pick_tau(curve: DataFrame) -> DataFrame:
 def average_precision(curve: DataFrame) -> DataFrame:
     """One row: step-wise area under the precision-recall curve,
     sum of (recall_k - recall_{k-1}) * precision_k over descending thresholds."""
-    down = Window.orderBy(F.col("threshold").desc())
-    steps = curve.withColumn("prev_recall", F.coalesce(F.lag("recall").over(down), F.lit(0.0)))
-    return steps.agg(F.sum((F.col("recall") - F.col("prev_recall")) * F.col("precision"))
+    return curve.agg(F.sum((F.col("recall") - F.col("prev_recall")) * F.col("precision"))
                      .alias("average_precision"))
 
 

@@ -31,7 +31,7 @@ from tripwire.config import (
     VELOCITY_WINDOW,
     WATERMARK,
 )
-from tripwire.functions.columns import alert_key, clock, iso
+from tripwire.functions.columns import alert_key, clock, iso, width_seconds
 
 def null_double() -> Column:
     return F.lit(None).cast("double")
@@ -230,6 +230,48 @@ def geo_hop_rule(enriched: DataFrame, width: str = GEO_WINDOW,
                                clock_mode)
 
 
+def window_alerts(enriched: DataFrame, fine: str = VELOCITY_WINDOW, wide: str = GEO_WINDOW,
+                  min_count: int = VELOCITY_MIN_COUNT, min_countries: int = GEO_MIN_COUNTRIES,
+                  watermark: str | None = WATERMARK) -> DataFrame:
+    """R2 on `fine` windows and R3 on `wide` ones (a whole multiple) from one scan, event clock,
+    batch. One partial aggregate per (user, fine window) holds count, country set and latest row;
+    the wide window rolls its few fine windows up. The set makes it an object-hash aggregate."""
+    if width_seconds(wide) % width_seconds(fine):
+        raise ValueError(f"{wide} is not a whole multiple of {fine}")
+    stats = window_groups(enriched, fine, None, F.count(F.lit(1)).alias("tx_count"),
+                          F.collect_set("country").alias("seen"), latest_transaction().alias("last_tx"))
+    parts = F.struct("window", "tx_count", "last_tx", "seen")
+    rolled = stats.groupBy(F.window(F.col("window.start"), wide).alias("over"), "user_id").agg(
+        F.collect_list(parts).alias("parts"))
+    fired = F.filter("parts", lambda p: p["tx_count"] >= min_count)
+    countries = F.array_sort(F.array_distinct(F.flatten(F.transform("parts", lambda p: p["seen"]))))
+    newest = F.array_max(F.transform("parts", lambda p: F.struct(
+        p["last_tx"][TS].alias("t"), p["last_tx"]["transaction_id"].alias("id"), p["last_tx"].alias("row"))))
+    rolled = rolled.select("user_id", "over", fired.alias("fired"), countries.alias("countries"),
+                           newest["row"].alias("newest"))
+    none = F.array().cast("array<string>")
+    r2 = F.transform("fired", lambda p: F.struct(
+        F.lit(RULE_VELOCITY).alias("rule"), p["window"].alias("window"), p["tx_count"].alias("tx_count"),
+        p["last_tx"].alias("last_tx"), none.alias("countries")))
+    r3 = F.when(F.size("countries") >= min_countries, F.array(F.struct(
+        F.lit(RULE_GEO_HOP).alias("rule"), F.col("over").alias("window"), F.lit(0).cast("long").alias("tx_count"),
+        F.col("newest").alias("last_tx"), F.col("countries")))).otherwise(F.slice(r2, 1, 0))
+    hits = rolled.select("user_id", F.explode(F.concat(r2, r3)).alias("hit")).select(
+        "user_id", "hit.*", F.size("hit.countries").alias("n_countries"))
+    is_r2 = F.col("rule") == RULE_VELOCITY
+    last, start, end = F.col("last_tx"), F.col("window.start"), F.col("window.end")
+    alert_ts = end + _interval(watermark) if watermark else end
+    return hits.select(
+        alert_key(F.col("rule"), F.col("user_id"), iso(start), iso(end)).alias("alert_id"),
+        last["transaction_id"].alias("transaction_id"), "user_id",
+        iso(last[TS]).alias("event_time"), iso(alert_ts).alias("alert_time"), "rule",
+        F.when(is_r2, SEVERITY[RULE_VELOCITY]).otherwise(SEVERITY[RULE_GEO_HOP]).alias("severity"),
+        *[last[c].alias(c) for c in ("amount", "currency", "amount_eur", "location", "country")],
+        null_double().alias("p_fraud"),
+        F.when(is_r2, velocity_detail()).otherwise(geo_hop_detail()).alias("detail"),
+        last[LABEL].alias(LABEL), start.alias("window_start"))
+
+
 def approx_distinct(df: DataFrame, keys: list[str], col: str, rsd: float = 0.05,
                     alias: str = "approx_distinct") -> DataFrame:
     """Approximate distinct count per key (HyperLogLog++), for high-cardinality

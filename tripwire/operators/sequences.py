@@ -2,10 +2,13 @@
 suppression with a time-to-live."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tripwire.config import LABEL, SUPPRESS_TTL_SECONDS, TS
+from tripwire.config import LABEL, SUPPRESS_TTL_SECONDS, TS, WATERMARK
 from tripwire.functions.columns import iso
 from tripwire.operators.analytics import width_seconds
 from tripwire.session import checkpoint_root
@@ -55,66 +58,115 @@ def label_runs(enriched: DataFrame, chunk: str = "1 hour") -> DataFrame:
          .otherwise("other").alias("pattern"))
 
 
-def _chunk_of(t_us: Column, chunk: str) -> Column:
-    c_us = width_seconds(chunk) * 1_000_000
-    return F.floor(t_us / F.lit(c_us)).cast("long")
+def _steps(ttl_us: int, chunk_us: int):
+    """Per (key, chunk) of distinct times: where a walk that enters the chunk leaves it, as steps
+    (eligible time up to `entry`, last kept time `leave`). A walk enters before chunk start + ttl
+    or at the first time after that, and walks soon meet, so few steps remain."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = np.sort(pdf["_t"].to_numpy())
+        n = len(t)
+        after = np.searchsorted(t, t + ttl_us, side="left")
+        last = np.where(after < n, after, np.arange(n))
+        while not np.array_equal(last, last[last]):
+            last = last[last]
+        border = pdf["_c"].iloc[0] * chunk_us + ttl_us
+        reach = min(n, int(np.searchsorted(t, border, side="left")) + 1)
+        leave = t[last[:reach]]
+        step = np.append(leave[1:] != leave[:-1], True)
+        return pd.DataFrame({"_k": pdf["_k"].iloc[0], "_c": pdf["_c"].iloc[0],
+                             "entry": t[:reach][step], "leave": leave[step]})
+    return fn
+
+
+def _walk_chunks(ttl_us: int):
+    """Per key: the time from which a row may be kept, for every chunk where one is."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_c", "entry"])
+        chunks, entry, leave = (pdf[c].to_numpy() for c in ("_c", "entry", "leave"))
+        starts = np.flatnonzero(np.append(True, chunks[1:] != chunks[:-1]))
+        ends = np.append(starts[1:], len(chunks))
+        eligible, out = -2**62, []      # before any time
+        for lo, hi in zip(starts, ends):
+            at = lo + int(np.searchsorted(entry[lo:hi], eligible, side="left"))
+            if at < hi:
+                out.append((chunks[lo], eligible))
+                eligible = int(leave[at]) + ttl_us
+        return pd.DataFrame({"_k": pdf["_k"].iloc[0], "_c": [c for c, _ in out],
+                             "eligible": [e for _, e in out]})
+    return fn
+
+
+def _walk_times(ttl_us: int):
+    """Per (key, chunk): the kept times, from the chunk's eligible time on."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = np.sort(pdf["_t"].to_numpy())
+        at, kept = int(np.searchsorted(t, pdf["eligible"].iloc[0], side="left")), []
+        while at < len(t):
+            kept.append(t[at])
+            at = int(np.searchsorted(t, t[at] + ttl_us, side="left"))
+        return pd.DataFrame({"_k": pdf["_k"].iloc[0], "_t": kept})
+    return fn
 
 
 def suppress_repeats(df: DataFrame, keys: list[str], time_col: str = TS,
                      ttl_seconds: int = SUPPRESS_TTL_SECONDS,
-                     order_cols: tuple[str, ...] = (), chunk: str = "1 hour") -> DataFrame:
+                     order_cols: tuple[str, ...] = (), chunk: str = "1 day") -> DataFrame:
     """Keep the first row of each key, then the next row at least `ttl_seconds`
     (event time) after the last *kept* row; repeats in between are dropped and
-    do not extend the suppression. Rows are ordered by time, then
-    `order_cols`; rows without a time are dropped. Batch operator.
-
-    The rule is sequential, but only inside an *activity cluster*: a row at
-    least `ttl` after the previous row of its key is always kept and starts a
-    new cluster. Clusters are found without giving a key to one task (the gap
-    to the previous row is taken inside (key, time chunk) windows, and across
-    chunk borders from one summary row per chunk). The greedy walk then runs
-    per (key, cluster), JVM-side, as a fold over the cluster's sorted rows.
-    Only a key that is never idle for `ttl` forms one large cluster."""
+    do not extend the suppression. Rows of one time are ordered by `order_cols`, then by a
+    hash of the row; rows without a time are dropped; NULL keys are a key. Batch operator.
+
+    Which rows are kept depends on the distinct times of a key alone. They are cut into chunks
+    of time; each chunk is reduced to the few ways through it, a key's chunks are walked in
+    order over these, and then every chunk marks its kept times by itself. So no task holds a
+    key's rows: a chunk's task has its distinct times, and a key's walk one short entry per chunk."""
     ttl_us = int(ttl_seconds * 1_000_000)
+    chunk_us = width_seconds(chunk) * 1_000_000
     cols = df.columns
-    base = (df.withColumn("_t", F.unix_micros(F.col(time_col)))
-              .filter(F.col("_t").isNotNull())
-              .withColumn("_c", _chunk_of(F.col("_t"), chunk)))
-    # The input is read by several passes below: write it once to the shared
+    base = (df.withColumn("_t", F.unix_micros(F.col(time_col))).filter(F.col("_t").isNotNull())
+              .withColumn("_k", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})))
+    # The input is read twice below: write it once to the shared
     # checkpoint folder (reliable checkpoint; survives lost executors).
     checkpoint_root(df.sparkSession)
     base = base.checkpoint(eager=True)
-    order = [F.col("_t"), *[F.col(c) for c in order_cols]]
-    in_chunk = Window.partitionBy(*keys, "_c").orderBy(*order)
-    by_chunk = Window.partitionBy(*keys).orderBy("_c")
-
-    # Last time of the previous non-empty chunk of the key.
-    last_of_prev = (base.groupBy(*keys, "_c").agg(F.max("_t").alias("_cmax"))
-                        .select(*keys, "_c", F.lag("_cmax").over(by_chunk).alias("_prev_chunk_t")))
-    gaps = (base.join(last_of_prev, [*keys, "_c"])
-                .withColumn("_prev", F.coalesce(F.lag("_t").over(in_chunk), F.col("_prev_chunk_t")))
-                .withColumn("_start", F.when(F.col("_prev").isNull()
-                                             | (F.col("_t") - F.col("_prev") >= ttl_us), F.col("_t"))))
-    # Cluster id = time of the cluster's first row (unique per key: a start
-    # is never at the same time as the row before it when ttl > 0).
-    upto = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    start_before = (gaps.groupBy(*keys, "_c").agg(F.max("_start").alias("_cstart"))
-                        .select(*keys, "_c", F.max("_cstart").over(
-                            by_chunk.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry")))
-    clustered = (gaps.join(start_before, [*keys, "_c"])
-                     .withColumn("_cluster", F.coalesce(F.max("_start").over(upto), F.col("_carry"))))
-    # Greedy walk inside each cluster.
-    sort_key = [F.col("_t").alias("t"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)]]
-    packed = F.struct(*sort_key, F.struct(*[F.col(c) for c in cols]).alias("row"))
-    groups = clustered.groupBy(*keys, "_cluster").agg(F.array_sort(F.collect_list(packed)).alias("evs"))
-    init = F.struct(F.lit(None).cast("long").alias("last"),
-                    F.array().cast(groups.schema["evs"].dataType).alias("kept"))
-
-    def step(acc, ev):
-        take = acc["last"].isNull() | (ev["t"] - acc["last"] >= F.lit(ttl_us))
-        return F.when(take, F.struct(ev["t"].alias("last"),
-                                     F.concat(acc["kept"], F.array(ev)).alias("kept"))
-                      ).otherwise(acc)
-
-    kept = groups.select(F.explode(F.aggregate("evs", init, step)["kept"]).alias("ev"))
-    return kept.select(*[F.col("ev.row")[c].alias(c) for c in cols])
+    times = base.select("_k", F.floor(F.col("_t") / F.lit(chunk_us)).cast("long").alias("_c"), "_t").distinct()
+    steps = times.groupBy("_k", "_c").applyInPandas(
+        _steps(ttl_us, chunk_us), "_k string, _c long, entry long, leave long")
+    eligible = steps.groupBy("_k").applyInPandas(_walk_chunks(ttl_us), "_k string, _c long, eligible long")
+    kept = (times.join(eligible, ["_k", "_c"]).groupBy("_k", "_c")
+            .applyInPandas(_walk_times(ttl_us), "_k string, _t long"))
+    row = F.struct(*[F.col(c) for c in cols])
+    first = F.struct(*[F.col(c) for c in order_cols], F.xxhash64(*[F.col(c) for c in cols]))
+    return (base.join(kept, ["_k", "_t"]).groupBy("_k", "_t").agg(F.min_by(row, first).alias("row"))
+            .select(*[F.col("row")[c].alias(c) for c in cols]))
+
+
+def suppress_repeats_stream(df: DataFrame, keys: list[str], time_col: str = TS,
+                            ttl_seconds: int = SUPPRESS_TTL_SECONDS, delay: str = WATERMARK) -> DataFrame:
+    """The same rule on a stream: per key the state holds the last kept time and leaves when the
+    watermark has passed it by the time-to-live. Rows are judged batch by batch, in time order
+    within a batch; a row before the last kept one is a repeat. Needs complete, non-null keys."""
+    cols = df.columns
+
+    def fn(key, batches, state):
+        last = state.get[0] if state.exists and not state.hasTimedOut else None
+        if state.hasTimedOut:
+            state.remove()
+            return
+        # A key's rows of one micro-batch; their number is bounded by the source's trigger limits.
+        pdf = pd.concat(list(batches)).sort_values(time_col, kind="stable")
+        t = pdf[time_col].astype("datetime64[us]").astype("int64").to_numpy()
+        at = 0 if last is None else int(np.searchsorted(t, last + ttl_us, side="left"))
+        kept = []
+        while at < len(t):
+            kept.append(at)
+            last = int(t[at])
+            at = int(np.searchsorted(t, last + ttl_us, side="left"))
+        if last is not None:
+            state.update((last,))
+            state.setTimeoutTimestamp(max((last + ttl_us) // 1000, state.getCurrentWatermarkMs() + 1))
+        yield pdf.iloc[kept][cols]
+
+    ttl_us = int(ttl_seconds * 1_000_000)
+    return (df.filter(F.col(time_col).isNotNull()).withWatermark(time_col, delay).groupBy(*keys)
+            .applyInPandasWithState(fn, df.schema, "last long", "append", GroupStateTimeout.EventTimeTimeout))

@@ -14,8 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.config import ALERT_COLUMNS, FEATURE_ORDER, LABEL, TS
-from tripwire.functions.columns import iso
+from tripwire.config import ALERT_COLUMNS, CITY_COUNTRY, FEATURE_ORDER, LABEL, TS
+from tripwire.functions.columns import iso, literal_map
 from tripwire.operators.analytics import (
     alert_rate,
     confusion_by_tau,
@@ -28,8 +28,9 @@ from tripwire.operators.analytics import (
     silent_rules,
     starvation_episodes,
     unique_alerts,
+    window_start_of,
 )
-from tripwire.operators.contract import check_messages, quality_checks, reject_summary
+from tripwire.operators.contract import check_messages, quality_checks, reject_summary, split_messages
 from tripwire.operators.enrich import enrich
 from tripwire.operators.features import (
     add_features,
@@ -40,8 +41,10 @@ from tripwire.operators.features import (
 )
 from tripwire.operators.model import (
     add_p_fraud,
+    average_precision,
     evaluate,
     load_model,
+    pick_tau,
     save_model,
     threshold_curve,
     train_model,
@@ -52,16 +55,21 @@ from tripwire.operators.rules import (
     geo_hop_rule,
     high_value_rule,
     velocity_rule,
+    window_alerts,
+    approx_distinct,
+    row_alerts,
 )
 from tripwire.operators.sequences import label_runs, suppress_repeats
 from tripwire.session import scratch_path
 from tripwire.streaming.jobs import JobSettings, alert_streams
 from tripwire.streaming.sinks import parquet_file_sink
+from tripwire.sources.dimensions import city_dimension
 from tripwire.sources.streams import to_messages, transaction_file_stream
 from tripwire.sources.tables import (
     load_places,
     load_transactions,
     table,
+    transactions_from_events,
     transactions_from_orders,
 )
 
@@ -95,17 +103,15 @@ def _geo_hop(width: str, min_countries: int) -> Query:
     return run
 
 
+def alerts_of(e: DataFrame) -> DataFrame:
+    """R1, R2 and R3 at their default settings: two scans of the input."""
+    return alert_projection(high_value_rule(e, clock_mode="event")).unionByName(
+        alert_projection(window_alerts(e)))
+
+
 def q_all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every rule at its default setting over one enriched input (R4 needs a
-    trained model and is served by `ml_alerts`)."""
-    e = enriched_tx(spark, sf_dir)
-    parts = [high_value_rule(e, clock_mode="event"),
-             velocity_rule(e, clock_mode="event"),
-             geo_hop_rule(e, clock_mode="event")]
-    out = alert_projection(parts[0])
-    for p in parts[1:]:
-        out = out.unionByName(alert_projection(p))
-    return out
+    """R1, R2 and R3 over one enriched input (R4 needs scores: `ml_alerts`, `row_alerts_r1_r4`)."""
+    return alerts_of(enriched_tx(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -306,7 +312,7 @@ def q_model_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_tau_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return threshold_curve(trained(spark, sf_dir)["scored_valid"])
+    return threshold_curve(trained(spark, sf_dir)["scored_valid"]).drop("prev_recall")
 
 
 def scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,6 +339,183 @@ QUERIES.update({
 })
 
 
+# ------------------------------------- inputs on which every rule and check has work
+
+#: Times run this many times faster, so that default windows hold several transactions.
+DENSITY = 1440
+
+
+def dense_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All transactions with times compressed: a day becomes a minute."""
+    faster = F.timestamp_micros(F.floor(F.unix_micros(F.col(TS)) / F.lit(DENSITY)).cast("long"))
+    return enriched_tx(spark, sf_dir).withColumn(TS, faster)
+
+
+def q_alerts_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerts_of(dense_tx(spark, sf_dir))
+
+
+def q_velocity_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alert_projection(velocity_rule(dense_tx(spark, sf_dir), clock_mode="event"))
+
+
+def q_geo_hop_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alert_projection(geo_hop_rule(dense_tx(spark, sf_dir), clock_mode="event"))
+
+
+def q_duplicate_audit_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windowed alerts of which some were delivered twice (a replay at a higher threshold)."""
+    e = dense_tx(spark, sf_dir)
+    return duplicate_window_audit(window_alerts(e).unionByName(window_alerts(e, min_count=6, min_countries=5)))
+
+
+def q_latency_p95_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latency_p95(window_alerts(dense_tx(spark, sf_dir)))
+
+
+def q_window_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions per rebuilt 5-minute window start."""
+    start = window_start_of(F.col(TS), "5 minutes")
+    return (load_transactions(spark, sf_dir).groupBy(iso(start).alias("window_start"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_alert_dedup_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Velocity alerts of two widths, delivered twice: equal starts are different alerts."""
+    e = enriched_tx(spark, sf_dir)
+    both = [velocity_rule(e, width=w, min_count=2, clock_mode="event") for w in ("1 hour", "1 day")]
+    alerts = alert_projection(both[0]).unionByName(alert_projection(both[1]))
+    return unique_alerts(alerts.unionByName(alerts))
+
+
+def q_large_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 alerts, one per id, with event ids beyond seven digits."""
+    events = table(spark, sf_dir, "events").withColumn("event_id", F.col("event_id") + F.lit(10 ** 10))
+    e = enrich(transactions_from_events(events), load_places(spark, sf_dir))
+    return unique_alerts(alert_projection(high_value_rule(e, clock_mode="event")))
+
+
+def q_enrich_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions at named cities, enriched from the fixed dimension; two of 43 places are unknown."""
+    names = dict(enumerate(CITY_COUNTRY)) | {41: "Atlantis", 42: None}
+    city = literal_map({k: v for k, v in names.items() if v})[F.substring("transaction_id", 3, 20).cast("long") % 43]
+    tx = load_transactions(spark, sf_dir).withColumn("location", city)
+    return enrich(tx, city_dimension(spark)).select("transaction_id", "location", "country")
+
+
+def bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of all transactions, some spoiled by a rule on the id: not JSON, an array, a
+    missing key, a null key, an amount or a time that cannot be read."""
+    value = F.col("value")
+    return (to_messages(load_transactions(spark, sf_dir)).withColumn("kind", F.get_json_object("value", "$.transaction_id"))
+            .withColumn("kind", F.substring("kind", 3, 20).cast("long") % 20)
+            .select("key", F.when(F.col("kind") == 0, F.lit("{not json"))
+                    .when(F.col("kind") == 1, F.concat(F.lit("["), value, F.lit("]")))
+                    .when(F.col("kind") == 2, F.regexp_replace(value, '"currency":"[A-Z]+",', ""))
+                    .when(F.col("kind") == 3, F.regexp_replace(value, '"currency":"[A-Z]+"', '"currency":null'))
+                    .when(F.col("kind") == 4, F.regexp_replace(value, '"amount":[0-9.E]+', '"amount":1e19'))
+                    .when(F.col("kind") == 5, F.regexp_replace(value, '"timestamp":"[^"]*"', '"timestamp":"soon"'))
+                    .otherwise(value).alias("value")))
+
+
+def q_message_check_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (check_messages(bad_messages(spark, sf_dir)).groupBy("status", "reason")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_reject_gate_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(reject_summary(check_messages(bad_messages(spark, sf_dir))), {"reject_rate"})
+
+
+def q_parse_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed columns of every good message, enriched: whole seconds, as the wire format has."""
+    good, _ = split_messages(bad_messages(spark, sf_dir))
+    e = enrich(good, load_places(spark, sf_dir))
+    return e.select(*[c for c in e.columns if c != TS], iso(F.col(TS)).alias("event_time"))
+
+
+def q_suppress_repeats_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All R1 alerts under one key."""
+    alerts = q_high_value(spark, sf_dir).withColumn("t", parse_iso(F.col("event_time")))
+    return alert_projection(suppress_repeats(alerts, ["rule"], time_col="t", order_cols=("alert_id",)))
+
+
+def q_approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct transactions per method: the estimate within four standard errors of the exact count."""
+    tx = load_transactions(spark, sf_dir)
+    exact = tx.groupBy("method").agg(F.count_distinct("transaction_id").alias("n_exact"))
+    return approx_distinct(tx, ["method"], "transaction_id").join(exact, "method").select(
+        "method", "n_exact",
+        (F.abs(F.col("approx_distinct") - F.col("n_exact")) <= 0.2 * F.col("n_exact")).cast("int").alias("within"))
+
+
+def formula_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transaction with its features and a score that SQL can state: a logistic formula."""
+    e = enriched_tx(spark, sf_dir)
+    f = add_features(e, user_profiles(e))
+    x = (0.8 * F.round("amount_z", 6) + 0.5 * F.round("log_amount", 6) - 0.02 * F.col("hour")
+         + 0.1 * F.col("dayofweek") + 0.4 * F.col("is_night") + 0.2 * F.col("method_id")
+         - 0.3 * F.col("currency_id") + 0.001 * F.col("amount_eur") + F.col("is_new_user") - 4.0)
+    return f.withColumn("p_fraud", F.round(1 / (1 + F.exp(-x)), 8))
+
+
+def q_tau_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(threshold_curve(formula_scores(spark, sf_dir)),
+                  {"precision", "recall", "f1", "prev_recall"})
+
+
+def q_pick_tau(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best threshold, and how many rows score at least it and above it (R4 is strict)."""
+    scored = formula_scores(spark, sf_dir)
+    best = pick_tau(threshold_curve(scored))
+    tau = F.lit(best.first()["tau"])
+    hits = scored.agg(F.count_if(F.col("p_fraud") >= tau).alias("at_least"),
+                      F.count_if(F.col("p_fraud") > tau).alias("above"))
+    return _round(hits.select(tau.alias("tau"), "at_least", "above"), {"tau"}, 8)
+
+
+def q_average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(average_precision(threshold_curve(formula_scores(spark, sf_dir))), {"average_precision"})
+
+
+def q_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = [round(0.05 * i, 2) for i in range(1, 20)]
+    return _round(confusion_by_tau(formula_scores(spark, sf_dir), grid), {"precision", "recall"})
+
+
+def q_row_alerts_r1_r4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 and R4 from one pass; the scores are printed to four digits in the detail."""
+    return alert_projection(row_alerts(formula_scores(spark, sf_dir), tau=0.7, clock_mode="event")).drop("detail")
+
+
+def q_ml_alerts_formula(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alert_projection(ml_score_rule(formula_scores(spark, sf_dir), 0.5, clock_mode="event")).drop("detail")
+
+
+QUERIES.update({
+    "alerts_dense": q_alerts_dense,
+    "velocity_dense": q_velocity_dense,
+    "geo_hop_dense": q_geo_hop_dense,
+    "duplicate_audit_dense": q_duplicate_audit_dense,
+    "latency_p95_dense": q_latency_p95_dense,
+    "window_starts": q_window_starts,
+    "alert_dedup_widths": q_alert_dedup_widths,
+    "large_ids": q_large_ids,
+    "enrich_cities": q_enrich_cities,
+    "message_check_mixed": q_message_check_mixed,
+    "reject_gate_mixed": q_reject_gate_mixed,
+    "parse_messages": q_parse_messages,
+    "suppress_repeats_hot": q_suppress_repeats_hot,
+    "approx_distinct": q_approx_distinct,
+    "tau_curve": q_tau_curve,
+    "pick_tau": q_pick_tau,
+    "average_precision": q_average_precision,
+    "confusion": q_confusion,
+    "row_alerts_r1_r4": q_row_alerts_r1_r4,
+    "ml_alerts_formula": q_ml_alerts_formula,
+})
+
+
 # ------------------------------------------------------- second input: orders
 
 def enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

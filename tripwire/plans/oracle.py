@@ -6,6 +6,8 @@ prefixed to every statement.
 """
 from __future__ import annotations
 
+from tripwire.config import CITY_COUNTRY
+
 ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 CLOCK = "'%H:%M:%S'"
 
@@ -340,6 +342,147 @@ ORACLES.update({
 })
 
 
+# ------------------------------------- inputs on which every rule and check has work
+
+def _dense(sql: str) -> str:
+    """The statement over transactions with times 1440 times denser."""
+    prefix = "WITH " + ",".join((TX, ETX))
+    assert prefix in sql
+    faster = ETX.replace("etx AS (", "etx0 AS (") + """,
+etx AS (SELECT * REPLACE (make_timestamp(epoch_us(ts) // 1440) AS ts) FROM etx0)"""
+    return sql.replace(prefix, "WITH " + ",".join((TX, faster)))
+
+
+_DENSE_WINDOWED = _dense(_union(velocity("1 minute", 4), geo_hop("5 minutes", 2)))
+_ONE_MORE = _dense(_union(velocity("1 minute", 6), geo_hop("5 minutes", 5)))
+_AUDIT, _P95 = (sql.removeprefix(over_alerts("")) for sql in (DUPLICATE_AUDIT, LATENCY_P95))
+
+_LARGE = HIGH_VALUE.replace(
+    "FROM events)", "FROM (SELECT * REPLACE (event_id + 10000000000 AS event_id) FROM events))")
+
+_CITIES = ", ".join(f"({i}, '{c}', '{n}')" for i, (c, n) in enumerate(CITY_COUNTRY.items()))
+ENRICH_CITIES = with_tx(f"""
+SELECT transaction_id, CASE WHEN place = 41 THEN 'Atlantis' ELSE city END AS location, c.country
+FROM (SELECT *, CAST(substr(transaction_id, 3) AS BIGINT) % 43 AS place FROM tx) t
+LEFT JOIN (VALUES {_CITIES}) c(i, city, country) ON c.i = t.place""")
+
+_KIND = "CAST(substr(transaction_id, 3) AS BIGINT) % 20"
+MESSAGE_CHECK_MIXED = with_tx(f"""
+SELECT CASE WHEN kind <= 2 THEN 'rejected' ELSE 'ok' END AS status,
+       CASE WHEN kind <= 1 THEN 'not_json_object' WHEN kind = 2 THEN 'missing:currency' END AS reason,
+       count(*) AS n
+FROM (SELECT {_KIND} AS kind FROM tx) GROUP BY 1, 2""")
+REJECT_GATE_MIXED = with_tx(f"""
+SELECT count(*) AS total, count(*) FILTER (WHERE {_KIND} <= 2) AS rejected,
+       round(count(*) FILTER (WHERE {_KIND} <= 2) / count(*), 6) AS reject_rate,
+       CAST(count(*) FILTER (WHERE {_KIND} <= 2) / count(*) <= 0.01 AS INTEGER) AS passed
+FROM tx""")
+PARSE_MESSAGES = with_tx(f"""
+SELECT user_id, transaction_id, amount, currency, location, method, is_fraud, n.n_name AS country,
+       CAST(round(TRY_CAST(amount AS DECIMAL(26,8)) *
+            CAST(CASE currency WHEN 'EUR' THEN 1.0 WHEN 'USD' THEN 0.92
+                               WHEN 'GBP' THEN 1.17 END AS DECIMAL(6,4)), 2) AS DOUBLE) AS amount_eur,
+       {_iso('ts')} AS event_time
+FROM (SELECT * REPLACE (CASE WHEN {_KIND} = 4 THEN 1e19 ELSE amount END AS amount,
+                        CASE WHEN {_KIND} <> 3 THEN currency END AS currency,
+                        CASE WHEN {_KIND} <> 5 THEN ts END AS ts)
+      FROM tx WHERE {_KIND} > 2) g LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = g.location""")
+
+WINDOW_STARTS = with_tx(f"""
+SELECT {_iso("time_bucket(INTERVAL 5 MINUTE, ts, TIMESTAMP '1970-01-01')")} AS window_start, count(*) AS n
+FROM tx GROUP BY 1""")
+
+# The walk of SUPPRESS_REPEATS with all alerts of the rule under one key.
+SUPPRESS_HOT = f"""
+WITH RECURSIVE a AS (
+  SELECT *, {_TS.format(c='event_time')} AS t,
+         row_number() OVER (ORDER BY {_TS.format(c='event_time')}, alert_id) AS rn
+  FROM ({HIGH_VALUE})),
+nx AS (
+  SELECT a.rn, (SELECT min(b.rn) FROM a b WHERE b.t >= a.t + INTERVAL 600 SECOND) AS next_rn FROM a),
+walk(rn) AS (
+  SELECT rn FROM a WHERE rn = 1
+  UNION ALL
+  SELECT nx.next_rn FROM walk JOIN nx ON nx.rn = walk.rn WHERE nx.next_rn IS NOT NULL)
+SELECT alert_id, transaction_id, user_id, event_time, alert_time, rule, severity, amount,
+       currency, amount_eur, location, country, p_fraud, detail, is_fraud
+FROM a JOIN walk USING (rn)"""
+
+# A logistic formula over the nine features.
+_SCORED = ("\nprof AS (" + _PROFILE.format(src="etx") + ")", """
+sc AS (
+  SELECT *, round(1 / (1 + exp(-(0.8 * z + 0.5 * l - 0.02 * h + 0.1 * d + 0.4 * night + 0.2 * mid
+                                 - 0.3 * cid + 0.001 * amount_eur + fresh - 4.0))), 8) AS score
+  FROM (SELECT etx.*, round(ln(1 + amount_eur), 6) AS l, hour(ts) AS h, dayofweek(ts) + 1 AS d,
+               CAST(hour(ts) >= 22 OR hour(ts) < 6 AS INTEGER) AS night,
+               CASE method WHEN 'credit_card' THEN 0 WHEN 'debit_card' THEN 1 WHEN 'paypal' THEN 2
+                           WHEN 'crypto' THEN 3 END AS mid,
+               CASE currency WHEN 'EUR' THEN 0 WHEN 'USD' THEN 1 WHEN 'GBP' THEN 2 END AS cid,
+               round(CASE WHEN p.amt_mean IS NULL THEN 0.0
+                          ELSE (amount_eur - p.amt_mean) / p.amt_std END, 6) AS z,
+               CAST(p.amt_mean IS NULL AS INTEGER) AS fresh
+        FROM etx LEFT JOIN prof p USING (user_id)))""")
+_CURVE = _SCORED + ("""
+h AS (SELECT score AS threshold, sum(is_fraud) AS pos, count(*) - sum(is_fraud) AS neg FROM sc GROUP BY 1),
+c0 AS (SELECT threshold, pos, CAST(sum(pos) OVER d AS BIGINT) AS tp, CAST(sum(neg) OVER d AS BIGINT) AS fp,
+              sum(pos) OVER () AS total FROM h WINDOW d AS (ORDER BY threshold DESC)),
+c1 AS (SELECT *, tp / (tp + fp) AS precision, CASE WHEN total > 0 THEN tp / total ELSE 0.0 END AS recall,
+              CASE WHEN total > 0 THEN (tp - pos) / total ELSE 0.0 END AS prev_recall FROM c0),
+curve AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+                         ELSE 0.0 END AS f1 FROM c1)""",)
+
+TAU_CURVE = with_tx("""
+SELECT threshold, tp, fp, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, round(prev_recall, 6) AS prev_recall FROM curve""", *_CURVE)
+PICK_TAU = with_tx("""
+SELECT tau, (SELECT count(*) FROM sc WHERE score >= tau) AS at_least,
+       (SELECT count(*) FROM sc WHERE score > tau) AS above
+FROM (SELECT threshold AS tau FROM curve ORDER BY f1 DESC, threshold LIMIT 1)""", *_CURVE)
+AVERAGE_PRECISION = with_tx("""
+SELECT round(sum((recall - prev_recall) * precision), 6) AS average_precision FROM curve""", *_CURVE)
+CONFUSION = with_tx("""
+SELECT tau, tp, fp, fn, tn, round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END, 6) AS precision,
+       round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END, 6) AS recall
+FROM (SELECT tau, count(*) FILTER (WHERE score >= tau AND is_fraud = 1) AS tp,
+             count(*) FILTER (WHERE score >= tau AND is_fraud <> 1) AS fp,
+             count(*) FILTER (WHERE score < tau AND is_fraud = 1) AS fn,
+             count(*) FILTER (WHERE score < tau AND is_fraud <> 1) AS tn
+      FROM sc, (SELECT CAST(round(0.05 * i, 2) AS DOUBLE) AS tau FROM range(1, 20) r(i)) GROUP BY tau)""", *_SCORED)
+
+
+def _score_alerts(tau: float) -> str:
+    return with_tx("""
+SELECT sha256('8:ml_score' || """ + _part("transaction_id") + """ || '-') AS alert_id, transaction_id, user_id,
+       """ + _iso("ts") + """ AS event_time, """ + _iso("ts") + """ AS alert_time, 'ml_score' AS rule,
+       'high' AS severity, amount, currency, amount_eur, location, country, score AS p_fraud, is_fraud
+FROM sc WHERE score > """ + str(tau), *_SCORED)
+
+
+ORACLES.update({
+    "alerts_dense": _dense(ALL_ALERTS),
+    "velocity_dense": _dense(velocity("1 minute", 4)),
+    "geo_hop_dense": _dense(geo_hop("5 minutes", 2)),
+    "duplicate_audit_dense": over_alerts(_AUDIT, f"{_DENSE_WINDOWED} UNION ALL {_ONE_MORE}"),
+    "latency_p95_dense": over_alerts(_P95, _DENSE_WINDOWED),
+    "window_starts": WINDOW_STARTS,
+    "alert_dedup_widths": _union(velocity("1 hour", 2), velocity("1 day", 2)),
+    "large_ids": _LARGE,
+    "enrich_cities": ENRICH_CITIES,
+    "message_check_mixed": MESSAGE_CHECK_MIXED,
+    "reject_gate_mixed": REJECT_GATE_MIXED,
+    "parse_messages": PARSE_MESSAGES,
+    "suppress_repeats_hot": SUPPRESS_HOT,
+    "approx_distinct": with_tx(
+        "SELECT method, count(DISTINCT transaction_id) AS n_exact, 1 AS within FROM tx GROUP BY method"),
+    "tau_curve": TAU_CURVE,
+    "pick_tau": PICK_TAU,
+    "average_precision": AVERAGE_PRECISION,
+    "confusion": CONFUSION,
+    "row_alerts_r1_r4": f"SELECT * EXCLUDE (detail) FROM ({HIGH_VALUE}) UNION ALL SELECT * FROM ({_score_alerts(0.7)})",
+    "ml_alerts_formula": _score_alerts(0.5),
+})
+
+
 # ------------------------------------------------------- second input: orders
 
 OTX = """

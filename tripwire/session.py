@@ -13,6 +13,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Small buffers (a window's count, countries, latest row): hash far more than 128 groups
+    # before falling back to sorting the input.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
@@ -41,7 +44,8 @@ def build_session(app_name: str = "tripwire", master: str | None = None,
 def apply_session_conf(spark: SparkSession) -> None:
     """Runtime-settable part of BASE_CONF, for sessions built elsewhere."""
     for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-                "spark.sql.adaptive.skewJoin.enabled"):
+                "spark.sql.adaptive.skewJoin.enabled",
+                "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"):
         spark.conf.set(key, BASE_CONF[key])
 
 
