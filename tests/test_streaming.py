@@ -196,3 +196,52 @@ def test_final_mode_restart_loses_and_repeats_nothing(spark, scratch):
     single = [r["alert_id"] for r in spark.read.parquet(b_out).collect()]
     assert len(restarted) == len(set(restarted))            # nothing repeated
     assert sorted(restarted) == sorted(single) and single   # nothing lost
+
+
+def test_early_mode_with_uneven_windows_null_ids_and_restart(spark, scratch):
+    """Windows of which the delay is no multiple; equal times, null ids and names with commas; the
+    job stops between batches. Early mode alerts what final mode does, once, and no late row's window."""
+    src = os.path.join(scratch, "in")
+    rows = [tx(1, "2026-01-01T10:00:00Z"), tx(2, "2026-01-01T10:00:00Z") | {"transaction_id": None},
+            tx(3, "2026-01-01T10:00:00Z") | {"transaction_id": None, "location": "London"}]
+    batches = [rows, [tx(4, "2026-01-01T10:06:00Z"), tx(5, "2026-01-01T10:20:00Z", user="u2000")],
+               [tx(6, "2026-01-01T10:06:30Z"), tx(7, "2026-01-01T10:20:30Z", user="u2000")],   # late
+               [tx(8, "2026-01-01T12:00:00Z", user="u3000")], [tx(9, "2026-01-01T12:00:01Z", user="u3000")],
+               [tx(10, "2026-01-01T14:00:00Z", user="u4000")]]                                     # closes all
+    found = {}
+    for mode in ("final", "early"):
+        folder = os.path.join(scratch, mode)
+        for k, batch in enumerate(batches):
+            write_json(os.path.join(folder, "in"), batch)
+            run_job(spark, os.path.join(folder, "in"), folder, mode, velocity_window="7 minutes",
+                    velocity_min=2, geo_window="7 minutes")
+        got = [(r["rule"], r["user_id"], r["alert_id"]) for r in alerts(spark, folder)]
+        assert len(got) == len(set(got))
+        found[mode] = set(got)
+    assert found["early"] == found["final"]
+    assert {(r, u) for r, u, _ in found["early"]} == {("velocity", "u1000"), ("geo_hop", "u1000"),
+                                                       ("velocity", "u2000"), ("velocity", "u3000")}
+
+
+def test_a_retried_batch_fires_the_same_alerts_again(spark, scratch):
+    from datetime import datetime
+    from tripwire.streaming.early import FirstFiring
+    t = datetime(2026, 1, 1, 10)
+    first = FirstFiring(os.path.join(scratch, "raised"), "1 minute", "5 minutes")
+
+    def batch(*rows):
+        return spark.createDataFrame(list(rows), "alert_id string, window_start timestamp")
+
+    def fire(df, batch_id):
+        fresh = first.fresh(df, batch_id)
+        got = sorted(r["alert_id"] for r in fresh.collect())
+        first.note(fresh, batch_id)
+        return got
+
+    assert fire(batch(("a", t)), 0) == ["a"]
+    assert fire(batch(("a", t), ("b", t)), 3) == ["b"]
+    assert fire(batch(("a", t), ("b", t)), 3) == ["b"]                       # retry
+    assert fire(batch(("b", t), ("c", t.replace(hour=11))), 4) == ["c"]
+    assert sorted(os.listdir(os.path.join(scratch, "raised"))) == ["batch=3", "batch=4"]
+    kept = spark.read.parquet(os.path.join(scratch, "raised", "batch=4")).collect()
+    assert [r["alert_id"] for r in kept] == ["c"]                            # closed windows leave

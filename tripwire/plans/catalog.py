@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.config import ALERT_COLUMNS, CITY_COUNTRY, FEATURE_ORDER, LABEL, TS
+from tripwire.config import ALERT_COLUMNS, ALERT_SCHEMA, CITY_COUNTRY, FEATURE_ORDER, LABEL, TS
 from tripwire.functions.columns import iso, literal_map
 from tripwire.operators.analytics import (
     alert_rate,
@@ -61,8 +61,9 @@ from tripwire.operators.rules import (
 )
 from tripwire.operators.sequences import label_runs, suppress_repeats
 from tripwire.session import scratch_path
-from tripwire.streaming.jobs import JobSettings, alert_streams
-from tripwire.streaming.sinks import parquet_file_sink
+from tripwire.streaming.folders import Folder
+from tripwire.streaming.jobs import JobSettings, alert_streams, start_alert_query
+from tripwire.streaming.sinks import ParquetSink
 from tripwire.sources.dimensions import city_dimension
 from tripwire.sources.streams import to_messages, transaction_file_stream
 from tripwire.sources.tables import (
@@ -575,36 +576,29 @@ REPLAY_SLICES = 4
 
 def replay_stream_alerts(spark: SparkSession, sf_dir: str, width: str = "1 day",
                          min_count: int = 4, mode: str = "final") -> DataFrame:
-    """Replay the transactions as a file stream, oldest slice first (one file
-    per micro-batch), through the final-mode velocity query, and read back
-    what the stream wrote. Each call uses a fresh folder below the shared
-    checkpoint folder (staging, checkpoint and output)."""
+    """Replay the transactions as a file stream through the velocity query and read back what
+    its sink wrote. The time span is cut into equal slices, oldest first; a slice is one
+    micro-batch of as many files as its rows need: it is added to the source folder, and the
+    query is started again from its checkpoint until it has read all there is. Each call uses
+    a fresh folder below the shared checkpoint folder."""
     run = scratch_path(spark, "replay", uuid.uuid4().hex)
     tx = load_transactions(spark, sf_dir).filter(F.col(TS).isNotNull())
-    # Time-ordered slices from approximate quantile cuts (one distributed
-    # aggregate; slices need to be in time order, not of equal size).
     t_us = F.unix_micros(F.col(TS))
-    probs = [k / REPLAY_SLICES for k in range(1, REPLAY_SLICES)]
-    cuts = tx.agg(F.percentile_approx(t_us, probs, 10_000).alias("c")).first()["c"] or []
-    slice_no = sum((t_us > F.lit(int(c))).cast("int") for c in cuts) if cuts else F.lit(0)
-    sliced = tx.withColumn("_slice", slice_no)
-    staged = os.path.join(run, "staged")
-    sliced.write.partitionBy("_slice").parquet(staged)
-    src = os.path.join(run, "in")
-    staged_df = spark.read.parquet(staged)
-    for k in range(REPLAY_SLICES):
-        # Written one after another, so file times follow event time.
-        (staged_df.filter(F.col("_slice") == k).drop("_slice").coalesce(1)
-         .write.mode("append").parquet(src))
-    stream = transaction_file_stream(spark, src, "parquet", max_files_per_trigger=1)
-    settings = JobSettings(checkpoint_root=os.path.join(run, "ckpt"), mode=mode,
-                           velocity_window=width, velocity_min=min_count)
-    out = os.path.join(run, "out")
-    frame = alert_streams(stream, settings, load_places(spark, sf_dir))["velocity"]
-    q = parquet_file_sink(frame, out, os.path.join(run, "ckpt_sink"),
-                          trigger={"availableNow": True})
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    lo, hi = tx.agg(F.min(t_us), F.max(t_us)).first()
+    src, out = os.path.join(run, "in"), os.path.join(run, "out")
+    settings = JobSettings(checkpoint_root=os.path.join(run, "ckpt"), mode=mode, velocity_window=width,
+                           velocity_min=min_count, trigger={"availableNow": True})
+    for k in range(REPLAY_SLICES if lo is not None else 0):
+        since, until = ((hi - lo + 1) * i // REPLAY_SLICES + lo for i in (k, k + 1))
+        # Bounds on the plain column, so that they reach the scan.
+        tx.filter((F.col(TS) >= F.timestamp_micros(F.lit(since))) & (F.col(TS) < F.timestamp_micros(F.lit(until)))
+                  ).write.mode("append").parquet(src)
+        frame = alert_streams(transaction_file_stream(spark, src, "parquet"), settings,
+                              load_places(spark, sf_dir))["velocity"]
+        start_alert_query("velocity", frame, settings, [ParquetSink(out)]).awaitTermination()
+    shape = spark.createDataFrame([], ALERT_SCHEMA)
+    # Without any alert the sink has written no folder.
+    return spark.read.schema(shape.schema).parquet(out) if Folder(spark, out).names() else shape
 
 
 def q_stream_velocity_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -613,15 +607,22 @@ def q_stream_velocity_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_velocity_early(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Early mode over a time-ordered replay: every window that reaches the
-    threshold fires once, open or closed. Identity columns only - the detail
-    and representative row are those at firing time."""
+    """Early mode over a time-ordered replay: every window that reaches the threshold fires once,
+    open or closed, with the count and the latest row of its firing time. All columns but the
+    wall-clock `alert_time`."""
     alerts = replay_stream_alerts(spark, sf_dir, "1 day", 4, mode="early")
-    return alerts.select("alert_id", "rule", "severity", "user_id")
+    return alerts.select(*[c for c in ALERT_COLUMNS if c != "alert_time"])
+
+
+def q_stream_velocity_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Early mode with windows (7 hours) of which the delay is no multiple."""
+    alerts = replay_stream_alerts(spark, sf_dir, "7 hours", 3, mode="early")
+    return alerts.select(*[c for c in ALERT_COLUMNS if c != "alert_time"])
 
 
 QUERIES["stream_velocity_day"] = q_stream_velocity_day
 QUERIES["stream_velocity_early"] = q_stream_velocity_early
+QUERIES["stream_velocity_uneven"] = q_stream_velocity_uneven
 
 
 def queries() -> dict[str, Query]:

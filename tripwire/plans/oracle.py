@@ -535,8 +535,27 @@ def _closed_velocity(width: str, min_count: int) -> str:
 
 ORACLES["stream_velocity_day"] = _closed_velocity("1 day", 4)
 
-ORACLES["stream_velocity_early"] = (
-    "SELECT alert_id, rule, severity, user_id FROM (" + velocity("1 day", 4) + ")")
+def _early_velocity(width: str, min_count: int, slices: int = 4) -> str:
+    """Windows at the end of the first of `slices` equal parts of the time span in which they have
+    `min_count` rows: rows of later parts are left out of the window."""
+    base = velocity(width, min_count)
+    bucket = f"time_bucket(INTERVAL '{width}', ts, TIMESTAMP '1970-01-01')"
+    cut = f"""
+span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM tx WHERE ts IS NOT NULL),
+sliced AS (SELECT etx.*, {bucket} AS ws, (SELECT count(*) FROM range(1, {slices}) r(k), span
+             WHERE epoch_us(ts) >= (hi - lo + 1) * k // {slices} + lo) AS slice FROM etx),
+first AS (SELECT user_id AS fu, ws AS fw, min(slice) AS fired FROM (
+            SELECT user_id, ws, slice, count(*) OVER (PARTITION BY user_id, ws ORDER BY slice) AS n FROM sliced)
+          WHERE n >= {min_count} GROUP BY 1, 2),
+w AS (SELECT sliced.* FROM sliced JOIN first ON fu = user_id AND fw = ws WHERE slice <= fired)"""
+    old = f"""
+w AS (SELECT *, {bucket} AS ws FROM etx)"""
+    assert old in base
+    return "SELECT * EXCLUDE (alert_time) FROM (" + base.replace(old, cut) + ")"
+
+
+ORACLES["stream_velocity_early"] = _early_velocity("1 day", 4)
+ORACLES["stream_velocity_uneven"] = _early_velocity("7 hours", 3)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,154 +1,62 @@
-"""Early emission of windowed alerts (R2 / R3): one alert per (rule, user,
-window), in the first micro-batch in which the window passes its rule, while
-the window is still open. Restart-safe: the "already fired" flag lives in the
-checkpointed state store, not in driver memory. State is keyed by user and
-holds the user's open windows, so one call per active user and batch (not one
-per window) reaches Python, and one timeout per user.
+"""Early emission of windowed alerts (R2 / R3): one alert per (rule, user, window), in the first
+micro-batch in which the window passes its rule, while the window is still open.
 
-Keyed state via `applyInPandasWithState` (event-time timeout). The window
-aggregate drops a row when its *window end* is at or before max(ts) - delay.
-Here the watermark is put on the window's last microsecond with delay + width:
-for a delay that is a whole multiple of the width (as for R2 and R3) that
-drops exactly the same rows. State for a window is dropped once no further row
-of it can pass.
+The rule is Spark's own window aggregate in update mode: a batch brings the windows that it
+changed and that pass. `FirstFiring` holds them against the alerts that earlier batches raised,
+and lets the new ones through. Late rows are the aggregate's matter, so early and final mode
+count the same rows for every width and delay.
 """
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import (
-    DoubleType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-)
 
-from tripwire.config import (
-    GEO_MIN_COUNTRIES,
-    GEO_WINDOW,
-    LABEL,
-    RULE_GEO_HOP,
-    RULE_VELOCITY,
-    TS,
-    VELOCITY_MIN_COUNT,
-    VELOCITY_WINDOW,
-    WATERMARK,
-)
-from tripwire.operators.analytics import width_seconds
-from tripwire.operators.rules import geo_hop_detail, shape_window_alerts, velocity_detail
-
-_LAST = [("transaction_id", StringType()), ("event_us", LongType()), ("amount", DoubleType()),
-         ("currency", StringType()), ("amount_eur", DoubleType()), ("location", StringType()),
-         ("country", StringType()), (LABEL, IntegerType())]
-
-# Keyed by user: the open windows of the user, as JSON
-# {window_us: [n, fired, [countries], [last row fields]]}.
-STATE_SCHEMA = StructType([StructField("windows", StringType())])
-
-OUT_SCHEMA = StructType(
-    [StructField("user_id", StringType()), StructField("window_us", LongType()),
-     StructField("tx_count", LongType()), StructField("countries_text", StringType())]
-    + [StructField(name, t) for name, t in _LAST])
-
-
-def _py(v):
-    """numpy / pandas scalar -> plain Python value (NULL stays None)."""
-    if v is None or (not isinstance(v, str) and pd.isna(v)):
-        return None
-    return v.item() if hasattr(v, "item") else v
-
-
-def _fold(rule: str, threshold: int, width_us: int):
-    """The per-user state function. A user has at most
-    (delay + width) / width + 1 open windows, so its state stays small."""
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState):
-        (user_id,) = key
-        wins = json.loads(state.get[0]) if state.exists else {}
-        if not state.hasTimedOut:
-            for pdf in batches:
-                wus = pdf["window_us"].to_numpy()
-                ev = pdf["event_us"].to_numpy()
-                tid = pdf["transaction_id"].to_numpy()
-                country = pdf["country"].to_numpy()
-                cols = {name: pdf[name].to_numpy() for name, _ in _LAST}
-                for w in set(wus.tolist()):
-                    idx = np.flatnonzero(wus == w)
-                    rec = wins.setdefault(str(w), [0, False, [], None])
-                    rec[0] += len(idx)
-                    rec[2] = sorted(set(rec[2]) | {c for c in country[idx] if isinstance(c, str)})
-                    i = max(idx.tolist(), key=lambda j: (ev[j], tid[j]))
-                    last = rec[3]
-                    if last is None or (int(ev[i]), str(tid[i])) > (int(last[1]), str(last[0])):
-                        rec[3] = [_py(cols[name][i]) for name, _ in _LAST]
-        fired_rows = []
-        for w, rec in wins.items():
-            measure = rec[0] if rule == RULE_VELOCITY else len(rec[2])
-            if not rec[1] and measure >= threshold:
-                rec[1] = True
-                row = {"user_id": user_id, "window_us": int(w), "tx_count": int(rec[0]),
-                       "countries_text": ",".join(rec[2])}
-                row.update({name: rec[3][k] for k, (name, _) in enumerate(_LAST)})
-                fired_rows.append(row)
-        # Rows reaching here passed Spark's late-row filter (previous batch's
-        # watermark), so they count even if this batch's watermark has already
-        # passed their window; after that no row of the window can arrive and
-        # the window leaves the state.
-        wm = state.getCurrentWatermarkMs()
-        open_wins = {w: r for w, r in wins.items() if (int(w) + width_us) // 1000 - 1 > wm}
-        if open_wins:
-            state.update((json.dumps(open_wins),))
-            state.setTimeoutTimestamp(min((int(w) + width_us) // 1000 - 1 for w in open_wins))
-        elif state.exists:
-            state.remove()
-        if fired_rows:
-            yield pd.DataFrame(fired_rows, columns=OUT_SCHEMA.fieldNames())
-    return fn
-
-
-def early_window_alerts(enriched: DataFrame, rule: str, width: str, threshold: int,
-                        watermark: str = WATERMARK) -> DataFrame:
-    """Alerts of one windowed rule, emitted at the first batch that passes.
-    Output: the alert columns plus `window_start` (append mode)."""
-    w_us = width_seconds(width) * 1_000_000
-    t_us = F.unix_micros(F.col(TS))
-    start_us = F.floor(t_us / F.lit(w_us)).cast("long") * F.lit(w_us)
-    rows = enriched.filter(F.col(TS).isNotNull()).select(
-        "user_id", start_us.alias("window_us"),
-        F.timestamp_micros(start_us + F.lit(w_us - 1)).alias("window_last"),
-        "transaction_id", t_us.alias("event_us"), "amount", "currency", "amount_eur",
-        "location", "country", F.col(LABEL).cast("int").alias(LABEL))
-    delay_s = width_seconds(watermark) + width_seconds(width)
-    fired = (rows.withWatermark("window_last", f"{delay_s} seconds")
-             .groupBy("user_id")
-             .applyInPandasWithState(_fold(rule, threshold, w_us), OUT_SCHEMA, STATE_SCHEMA,
-                                     "append", GroupStateTimeout.EventTimeTimeout))
-    start = F.timestamp_micros(F.col("window_us"))
-    shaped_in = fired.select(
-        "user_id", "tx_count",
-        F.struct(start.alias("start"), (start + F.expr(f"INTERVAL {width}")).alias("end"))
-         .alias("window"),
-        F.struct(*[F.col(n) if n != "event_us" else F.timestamp_micros("event_us").alias(TS)
-                   for n, _ in _LAST]).alias("last_tx"),
-        F.when(F.col("countries_text") == "", F.array().cast("array<string>"))
-         .otherwise(F.split("countries_text", ",")).alias("countries"))
-    shaped_in = shaped_in.withColumn("n_countries", F.size("countries"))
-    detail = velocity_detail() if rule == RULE_VELOCITY else geo_hop_detail()
-    return shape_window_alerts(shaped_in, rule, detail, width, watermark, "wall")
-
-
-def early_velocity(enriched: DataFrame, width: str = VELOCITY_WINDOW,
-                   min_count: int = VELOCITY_MIN_COUNT, watermark: str = WATERMARK) -> DataFrame:
-    return early_window_alerts(enriched, RULE_VELOCITY, width, min_count, watermark)
-
-
-def early_geo_hop(enriched: DataFrame, width: str = GEO_WINDOW,
-                  min_countries: int = GEO_MIN_COUNTRIES, watermark: str = WATERMARK) -> DataFrame:
-    return early_window_alerts(enriched, RULE_GEO_HOP, width, min_countries, watermark)
+from tripwire.functions.columns import width_seconds
+from tripwire.streaming.folders import Folder
+
+_RAISED = "alert_id string, window_start timestamp"
+
+
+@dataclass(frozen=True)
+class FirstFiring:
+    """The alerts raised for windows that can still change, one snapshot per micro-batch below
+    `folder`. A batch reads the newest snapshot of an earlier batch and writes its own before
+    any sink is reached; a retried batch therefore sees what it saw the first time, and fires the
+    same alerts. A snapshot is as large as the passing open windows are many; older ones
+    than the last are removed."""
+    folder: str
+    width: str
+    delay: str
+
+    def fresh(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The alerts of `batch` (with `window_start`) that no earlier batch raised."""
+        spark = batch.sparkSession
+        before = self._before(spark, batch_id)
+        if before is None:
+            return batch
+        raised = spark.read.schema(_RAISED).parquet(f"{self.folder}/batch={before}")
+        return batch.join(raised.select("alert_id"), "alert_id", "left_anti").select(*batch.columns)
+
+    def note(self, fresh: DataFrame, batch_id: int) -> None:
+        """Write the snapshot after `fresh`. A window has closed for the next batch when the
+        delay before the newest window's start, which the watermark has then passed, is its end or later."""
+        spark = fresh.sparkSession
+        raised = fresh.select("alert_id", "window_start")
+        before = self._before(spark, batch_id)
+        if before is not None:
+            raised = raised.unionByName(spark.read.schema(_RAISED).parquet(f"{self.folder}/batch={before}"))
+        newest = raised.agg(F.max("window_start")).first()[0]
+        open_for = F.make_interval(secs=F.lit(width_seconds(self.width) + width_seconds(self.delay)))
+        still_open = raised.where(F.col("window_start") + open_for > F.lit(newest).cast("timestamp"))
+        still_open.write.mode("overwrite").parquet(f"{self.folder}/batch={batch_id}")
+        for old in self._batches(spark):
+            if before is not None and old < before:
+                Folder(spark, self.folder).remove(f"batch={old}")
+
+    def _batches(self, spark: SparkSession) -> list[int]:
+        return [int(n.removeprefix("batch=")) for n in Folder(spark, self.folder).names()]
+
+    def _before(self, spark: SparkSession, batch_id: int) -> int | None:
+        return max((b for b in self._batches(spark) if b < batch_id), default=None)
