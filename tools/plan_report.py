@@ -1,4 +1,5 @@
-"""Physical-plan summary of every registered query (from `explain`).
+"""Physical-plan summary of every registered query over transactions (from `explain`). Streaming
+replays and queries that cut their lineage show the plan after the last written table.
 
     python tools/plan_report.py [sf_dir] > PLANS.md
 
@@ -21,14 +22,16 @@ OPERATORS = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchang
              "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
              "BroadcastNestedLoopJoin", "CartesianProduct", "HashAggregate",
              "ObjectHashAggregate", "SortAggregate", "Window", "TakeOrderedAndProject",
-             "FlatMapGroupsInPandas", "ArrowEvalPython", "BatchEvalPython", "Generate"]
+             "Generate"]
+PYTHON = ["FlatMapGroupsInPandas", "FlatMapGroupsInPandasWithState", "MapInPandas", "MapInArrow",
+          "ArrowEvalPython", "BatchEvalPython"]
 
 
 def summarize(text: str) -> dict:
-    out = {op: len(re.findall(r"\b" + re.escape(op) + r"\b", text)) for op in OPERATORS}
+    out = {op: len(re.findall(r"\b" + re.escape(op) + r"\b", text)) for op in OPERATORS + PYTHON}
     out["Exchange hashpartitioning"] = len(re.findall(r"Exchange hashpartitioning", text))
     scans = re.findall(r"FileScan parquet \[[^\]]*\].*?Location: [^\[]*\[([^\]]*)\].*?"
-                       r"(?:PushedFilters: \[([^\]]*)\])?.*?ReadSchema: (struct<[^>]*>)", text)
+                       r"PushedFilters: \[(.*?)\], ReadSchema: (struct<[^>]*>)", text)
     out["scans"] = [(os.path.basename(loc), pf, rs) for loc, pf, rs in scans]
     return out
 
@@ -37,23 +40,23 @@ def main() -> None:
     from tripwire.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session(master="local[8]", shuffle_partitions=16,
-                          extra={"spark.ui.showConsoleProgress": "false"})
+                          extra={"spark.ui.showConsoleProgress": "false", "spark.sql.maxMetadataStringLength": "2000"})
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as entry
-    print("# Physical plans of the registered queries\n")
+    from tripwire.plans import catalog
+    print("# Physical plans of the queries over transactions\n")
     print(f"Generated by `tools/plan_report.py` on `{sf}` (initial adaptive plans; "
           "AQE may still turn a sort-merge join into a broadcast join at run time).\n")
     print("| query | hash exch. | broadcast | BHJ | SMJ | hash agg | object agg | sort agg "
           "| window | top-k | python | cartesian/BNLJ |")
     print("|---|---|---|---|---|---|---|---|---|---|---|---|")
     details = []
-    for name, fn in entry.queries().items():
+    for name, fn in catalog.queries().items():
         df = fn(spark, sf)
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             df.explain()
         s = summarize(buf.getvalue())
-        py = s["FlatMapGroupsInPandas"] + s["ArrowEvalPython"] + s["BatchEvalPython"]
+        py = sum(s[op] for op in PYTHON)
         print(f"| {name} | {s['Exchange hashpartitioning']} | {s['BroadcastExchange']} "
               f"| {s['BroadcastHashJoin']} | {s['SortMergeJoin']} | {s['HashAggregate']} "
               f"| {s['ObjectHashAggregate']} | {s['SortAggregate']} | {s['Window']} "
