@@ -1,10 +1,10 @@
 """Toxicity scores: misspelled lexicon terms in context.
 
 1. Lexicon. Words and word stems (prefixes of at least four characters) are counted by
-   labelled documents, toxic and clean. Terms that are far more frequent in toxic ones
+   labelled documents, toxic and clean. All terms that are far more frequent in toxic ones
    than chance allows are candidates; going from the most frequent down, a candidate
-   is kept if it explains toxic documents in which fewer than two kept terms occur.
-   (Copies of one document make all its words look toxic; they explain nothing new.)
+   is kept if it explains LEAST_NEW distinct toxic texts in which fewer than two kept terms
+   occur. (Copies of one document make all its words look toxic; they explain nothing new.)
 2. Matching. The lexicon is a trie; its intersection with the Levenshtein automata
    of all its terms is walked as one deterministic automaton, whose states (sets of
    trie node and number of edits) are made when first met. Terms of five or more
@@ -33,15 +33,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripwire.llm.common import broadcast_if_small, stored
+from tripwire.llm.common import batches_of, broadcast_if_small, stored
 
 MIN_STEM = 4
 MAX_STEM = 10
-CANDIDATES = 4000          # strongest candidates handed to the selection
-COVER_ROWS = 20_000        # toxic documents (by hash) that the selection explains
+LEAST_NEW = 3              # distinct toxic texts that a term has to explain anew
+TERMS_HELD = 200_000       # candidates that tasks hold as a set; more are joined
+PAIRS_HELD = 2_000_000     # (text, term) pairs that the driver selects from; more in rounds
+ORDINARY_CAP = 4000
 FIT_ROWS = 20_000          # labelled rows (by hash) that the curve is fitted on
 CHANCE = 1e-6              # of a term to be as toxic as it is by luck
 WINDOW = 8
@@ -56,6 +58,7 @@ _QUOTES = frozenset("\"“”„«»‹›")
 WHOLE = "$"                # marks a term that is a whole word; others are stems
 
 _TERM = pa.schema([("term", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
+_PAIR = pa.schema([("doc", pa.int64()), ("term", pa.string())])
 _MASS = pa.schema([("doc_id", pa.int64()), ("mass", pa.float64())])
 
 
@@ -221,7 +224,8 @@ def _terms_of(text: str | None) -> set[str]:
     return stems | {w + WHOLE for w in words}
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], found_in) -> Iterator[pa.RecordBatch]:
+    """(text, label) -> partial counts of texts by what `found_in` finds in them."""
     counts: tuple[Counter, Counter] = (Counter(), Counter())
     def flush():
         rows = [(t, counts[1][t], counts[0][t]) for t in counts[0].keys() | counts[1].keys()]
@@ -232,12 +236,16 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts[1].clear()
     for b in batches:
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            counts[toxic].update(_terms_of(text))
+            counts[toxic].update(found_in(text))
             if len(counts[0]) + len(counts[1]) > 400_000:
                 yield from flush()
     yield from flush()
 
 
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _counted(batches, _terms_of)
+
+
 def _log_tail(k: int, n: int, p: float) -> float:
     """log P(at least k of n) for chance p, bounded by the Chernoff bound."""
     q = k / n
@@ -246,52 +254,117 @@ def _log_tail(k: int, n: int, p: float) -> float:
     return -n * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0))
 
 
-def _select(candidates: list[tuple[str, int, int]], documents: Iterable[list[str]]) -> list[str]:
-    """Kept terms: from the most frequent down, if they explain documents anew."""
-    where: dict[str, list[int]] = {t: [] for t, _, _ in candidates}
-    covered: list[int] = []
-    for k, terms in enumerate(documents):
-        covered.append(0)
-        for t in terms:
-            where[t].append(k)
+def _rank(term: str, toxic: int, clean: int) -> tuple:
+    """The order of the selection; ORDER is the same as a column."""
+    return -toxic, clean, -len(term), term
+
+
+ORDER = "struct(-toxic, clean, -length(term), term)"
+
+
+def _select(candidates: list[tuple], where: dict[str, list]) -> list[str]:
+    """Kept terms: from the most frequent down, if they explain documents anew. `where` has
+    the documents of each candidate (term, toxic, clean, and True if it is kept already)."""
     kept: list[str] = []
-    order = sorted(candidates, key=lambda c: (-c[1], c[2], -len(c[0]), c[0]))
-    for term, _, _ in order:
+    wholes: set[str] = set()
+    starts: set[str] = set()
+    covered: Counter = Counter()
+    for term, _, _, sure in sorted(candidates, key=lambda c: _rank(*c[:3])):
         plain = term.rstrip(WHOLE)
-        if any(plain.startswith(x) or x.startswith(plain) for x in (y.rstrip(WHOLE) for y in kept)):
+        at = where.get(term, ())
+        if not sure and (plain in starts or any(plain[:k] in wholes for k in range(1, len(plain) + 1))
+                         or sum(covered[k] < 2 for k in at) < LEAST_NEW):
             continue
-        if sum(covered[k] < 2 for k in where[term]) >= 3:
-            kept.append(term)
-            for k in where[term]:
-                covered[k] += 1
+        kept.append(term)
+        wholes.add(plain)
+        starts.update(plain[:k] for k in range(1, len(plain) + 1))
+        covered.update(at)
     return kept
 
 
-def _present(terms: frozenset):
+def _without_equal_stems(terms: DataFrame) -> DataFrame:
+    """Without stems that are in the same texts as a longer term that they begin: the selection
+    would come to the longer one first and decide on both alike."""
+    plain = F.rtrim("term", F.lit(WHOLE))
+    size = F.length(plain)
+    shorter = terms.select(plain.substr(F.lit(1), F.least(size - 1, F.lit(MAX_STEM))).alias("term"), "toxic", "clean")
+    return terms.join(shorter.where(F.length("term") >= MIN_STEM).distinct(), ["term", "toxic", "clean"], "left_anti")
+
+
+def _present(terms: frozenset | None):
+    """(text, key) -> (doc, term) of the given terms, or of all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [sorted(terms & _terms_of(x)) for x in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], names=["terms"])
+        def rows():
+            for b in batches:
+                for text, key in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    found = _terms_of(text)
+                    yield from ((key, t) for t in (found if terms is None else found & terms))
+        return batches_of(rows(), _PAIR, max_rows=20_000)
     return run
 
 
+def _cover(candidates: DataFrame, pairs: DataFrame) -> list[str]:
+    """What `_select` keeps of (term, toxic, clean), with the documents of (doc, term).
+
+    Rounds decide every term whose fate does not hang on undecided ones before it: it is
+    kept if LEAST_NEW documents stay open to it even if all of those are kept, and goes
+    if fewer are open though none is. Each round decides the first open term at least. What
+    is left goes to the driver once its count proves it small; the result is the same."""
+    terms = candidates.withColumn("kept", F.lit(None).cast("boolean"))
+    related = None
+    while True:
+        open_docs = pairs.join(terms.where("kept IS NULL"), "term", "left_semi").select("doc").distinct()
+        live = stored(pairs.join(terms.where("kept IS NULL OR kept").select("term"), "term", "left_semi")
+                      .join(open_docs, "doc", "left_semi"), "toxic-live")
+        left = terms.where("kept IS NULL OR kept")
+        if live.count() <= PAIRS_HELD:
+            where: dict[str, list] = {}
+            for r in live.toLocalIterator():
+                where.setdefault(r["term"], []).append(r["doc"])
+            return _select([(r.term, r.toxic, r.clean, bool(r.kept)) for r in left.toLocalIterator()], where)
+        if related is None:
+            related = stored(_related(candidates), "toxic-related")
+        terms, pairs = stored(_decided(terms, live, related), "toxic-terms"), live
+
+
+def _related(candidates: DataFrame) -> DataFrame:
+    """(earlier, later) terms of which one begins the other."""
+    t = candidates.select("term", F.rtrim("term", F.lit(WHOLE)).alias("plain"), F.expr(ORDER).alias("at"))
+    starts = t.select(F.col("term").alias("long"), F.col("at").alias("long_at"), F.explode(F.transform(
+        F.sequence(F.lit(1), F.length("plain")), lambda k: F.col("plain").substr(F.lit(1), k))).alias("plain"))
+    both = starts.join(t, "plain").where("term <> long")
+    first = F.col("at") < F.col("long_at")
+    return both.select(F.when(first, F.col("term")).otherwise(F.col("long")).alias("earlier"),
+                       F.when(first, F.col("long")).otherwise(F.col("term")).alias("later")).distinct()
+
+
+def _decided(terms: DataFrame, live: DataFrame, related: DataFrame) -> DataFrame:
+    before = Window.partitionBy("doc").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    seen = live.join(terms.withColumn("at", F.expr(ORDER)), "term").select(
+        "term", "kept", F.count("kept").over(before).alias("least"), F.count("*").over(before).alias("most"))
+    news = seen.where("kept IS NULL").groupBy("term").agg(
+        F.count_if(F.col("most") < 2).alias("sure"), F.count_if(F.col("least") < 2).alias("may"))
+    met = related.join(terms.select(F.col("term").alias("earlier"), "kept"), "earlier").groupBy(
+        F.col("later").alias("term")).agg(F.count_if("kept").alias("blocked"),
+                                          F.count_if(F.col("kept").isNull()).alias("unsure"))
+    blocked, unsure, sure, may = (F.coalesce(c, F.lit(0)) for c in ("blocked", "unsure", "sure", "may"))
+    fate = F.when(F.col("kept").isNotNull(), F.col("kept")).when((blocked > 0) | (may < LEAST_NEW), False) \
+        .when((unsure == 0) & (sure >= LEAST_NEW), True)
+    return terms.join(news, "term", "left").join(met, "term", "left").select("term", "toxic", "clean", fate.alias("kept"))
+
+
 def _spellings(terms: list[str]):
     """Labelled documents by misspelling (the word itself and the matched part)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, counts = Matcher(terms), (Counter(), Counter())
-        for b in batches:
-            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = {x for w, h in matcher.hits(text).items() if h[1] for x in (w, h[2])}
-                counts[toxic].update(found)
-        rows = [(t, counts[1][t], counts[0][t]) for t in counts[0].keys() | counts[1].keys()]
-        if rows:
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _TERM)], schema=_TERM)
+        matcher = Matcher(terms)
+        return _counted(batches, lambda text: {x for w, h in matcher.hits(text).items() if h[1] for x in (w, h[2])})
     return run
 
 
 def learn_lexicon(labelled: DataFrame) -> tuple[list[str], list[str]]:
-    """(terms, ordinary spellings) from (text, label 0 or 1, key). What reaches the driver is
-    bounded: CANDIDATES terms, COVER_ROWS lists of them, and spellings in CANDIDATES."""
+    """(terms, ordinary spellings) from (text, label 0 or 1). All terms that are no chance are
+    candidates, in a written table; the selection counts equal toxic texts once. The
+    lexicon reaches the driver; counts and texts do not."""
     rows = labelled.select("text", "label")
     total = dict(rows.groupBy("label").count().collect())
     n1, n0 = total.get(1, 0), total.get(0, 0)
@@ -304,20 +377,24 @@ def learn_lexicon(labelled: DataFrame) -> tuple[list[str], list[str]]:
     # Strength: Chernoff exponent of the term's share of toxic documents.
     n, q = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean"))
     rest = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - base))).otherwise(0.0)
-    strong = terms.withColumn("strength", n * (q * F.log(q / base) + rest)) \
-        .where(F.col("strength") > -math.log(CHANCE))
-    candidates = [(r.term, r.toxic, r.clean) for r in
-                  strong.orderBy(F.desc("strength"), "term").limit(CANDIDATES).collect()]
-    if not candidates:
+    strong = stored(terms.where(n * (q * F.log(q / base) + rest) > -math.log(CHANCE)), "toxic-strong")
+    candidates = stored(_without_equal_stems(strong), "toxic-candidates")
+    held = candidates.select("term").limit(TERMS_HELD + 1).collect()
+    if not held:
+        return [], []
+    toxic = rows.where("label = 1").groupBy(F.sha2("text", 256).alias("digest")) \
+        .agg(F.first("text").alias("text")).select("text", F.xxhash64("digest").alias("key"))
+    if len(held) <= TERMS_HELD:
+        pairs = toxic.mapInArrow(_present(frozenset(r.term for r in held)), "doc long, term string")
+    else:
+        pairs = toxic.mapInArrow(_present(None), "doc long, term string").join(candidates, "term", "left_semi")
+    kept = _cover(candidates, stored(pairs, "toxic-pairs"))
+    if not kept:
         return [], []
-    toxic = labelled.where("label = 1").orderBy("key").limit(COVER_ROWS).select("text")
-    documents = toxic.mapInArrow(_present(frozenset(t for t, _, _ in candidates)),
-                                 "terms array<string>").collect()
-    kept = _select(candidates, (d.terms for d in documents))
     ordinary = (rows.mapInArrow(_spellings(kept), "term string, toxic long, clean long")
                 .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
                 .where("clean > 0 AND 9 * clean > toxic")
-                .orderBy(F.desc("clean"), "term").limit(CANDIDATES).collect())
+                .orderBy(F.desc("clean"), "term").limit(ORDINARY_CAP).collect())
     return kept, [r.term for r in ordinary]
 
 
@@ -359,9 +436,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
              .where("label IN (0, 1) AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("label").alias("label")))
     marks = broadcast_if_small(marks, 32)
-    labelled = docs.join(marks, "doc_id").withColumn(
-        "key", F.xxhash64("doc_id"))
-    terms, ordinary = learn_lexicon(labelled)
+    terms, ordinary = learn_lexicon(docs.join(marks, "doc_id").select("text", "label"))
     masses = stored(docs.mapInArrow(_masses(terms, ordinary), "doc_id long, mass double"), "toxic-mass")
     sample = (masses.join(marks, "doc_id").withColumn("key", F.xxhash64("doc_id"))
               .orderBy("key").limit(FIT_ROWS).select("mass", "label").collect())
