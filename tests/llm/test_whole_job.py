@@ -17,7 +17,7 @@ def test_many_near_copies_do_not_push_terms_out_of_the_lexicon(spark):
 
 def test_copies_of_a_text_explain_it_once(spark):
     rows = [("alphaword betaword gammaword", 1)] * 50 + [(f"kind letter{k}", 0) for k in range(300)]
-    assert toxicity.learn_lexicon(spark.createDataFrame(rows, LABELLED)) == ([], [])
+    assert toxicity.learn_lexicon(spark.createDataFrame(rows, LABELLED))[0] == []
 
 
 def test_lexicon_from_joined_rounds_is_that_of_the_driver(spark, monkeypatch):
@@ -31,3 +31,30 @@ def test_lexicon_from_joined_rounds_is_that_of_the_driver(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "PAIRS_HELD", 0)
     monkeypatch.setattr(toxicity, "TERMS_HELD", 1)
     assert sorted(toxicity.learn_lexicon(labelled)[0]) == sorted(want[0])
+
+
+def test_every_ordinary_spelling_is_kept(spark):
+    letters = "bcefhjkpqrstuvwxyz"
+    near = [f"m{a}l{b}gnoid" for a in letters for b in letters] + [f"ma{a}i{b}noid" for a in letters for b in letters] \
+        + [f"mali{a}n{b}id" for a in letters for b in letters] + [f"malig{a}o{b}d" for a in letters for b in letters] \
+        + [f"{a}a{b}ignoid" for a in letters for b in letters] + [f"mal{a}g{b}oid" for a in letters for b in letters] \
+        + [f"{a}aligno{b}d" for a in letters for b in letters] + [f"m{a}ligno{b}d" for a in letters for b in letters] \
+        + [f"ma{a}igno{b}d" for a in letters for b in letters] + [f"mal{a}gno{b}d" for a in letters for b in letters] \
+        + [f"{a}ali{b}noid" for a in letters for b in letters] + [f"m{a}lig{b}oid" for a in letters for b in letters] \
+        + [f"ma{a}ig{b}oid" for a in letters for b in letters] + [f"{a}alig{b}oid" for a in letters for b in letters]
+    rows = [(f"you malignoid {k}", 1) for k in range(40)] + [(f"you kind {w}", 0) for w in near]
+    terms, ordinary = toxicity.learn_lexicon(spark.createDataFrame(rows, LABELLED))
+    assert len(toxicity.Matcher(terms).hits(" ".join(near))) > 4000
+    assert not toxicity.Matcher(terms, [r.term for r in ordinary.collect()]).hits(" ".join(near))
+
+
+def test_joined_ordinary_spellings_give_the_same_masses(spark, monkeypatch):
+    texts = ["you idiot, an id1ot and an idixt", 'he wrote "you idiot" and idixt', "idixt", None, "", "moron moran idixts"]
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (0, texts[1])], "doc_id long, text string")
+    ordinary = spark.createDataFrame([("idixt",), ("moran",)], "term string")
+    def masses():
+        return sorted((r.doc_id is None, r.doc_id or 0, r.mass)
+                      for r in toxicity.masses_of(docs, ["idiot", "moron$"], ordinary).collect())
+    want = masses()
+    monkeypatch.setattr(toxicity, "ORDINARY_HELD", 1)
+    assert masses() == want and any(m for _, _, m in want)

@@ -43,7 +43,7 @@ MAX_STEM = 10
 LEAST_NEW = 3              # distinct toxic texts that a term has to explain anew
 TERMS_HELD = 200_000       # candidates that tasks hold as a set; more are joined
 PAIRS_HELD = 2_000_000     # (text, term) pairs that the driver selects from; more in rounds
-ORDINARY_CAP = 4000
+ORDINARY_HELD = 200_000    # ordinary spellings that tasks hold as a set; more are joined
 FIT_ROWS = 20_000          # labelled rows (by hash) that the curve is fitted on
 CHANCE = 1e-6              # of a term to be as toxic as it is by luck
 WINDOW = 8
@@ -171,20 +171,24 @@ class Matcher:
             return self.hits(text)
         return {w: self.found[w] for w in words & self.found.keys()}
 
-    def mass(self, text: str | None) -> float:
+    def places(self, text: str | None) -> tuple[list[tuple[int, str, str | None]], list[tuple[int, int]]]:
+        """(word position, word, matched part of a misspelling) of the hits, and the quotations."""
         hits = self.hits(text)
         if not hits:
-            return 0.0
+            return [], []
         place, at, marks = 0, [], []
         for token in _WORD_OR_QUOTE.findall(text.lower()):
             if token in _QUOTES:
                 marks.append(place)
             else:
                 if token in hits:
-                    at.append((place, token))
+                    at.append((place, token, hits[token][2] if hits[token][1] else None))
                 place += 1
-        return context_mass([(k, MISSPELLED if hits[w][1] else 1.0) for k, w in at],
-                            quotations(marks))
+        return at, quotations(marks)
+
+    def mass(self, text: str | None) -> float:
+        at, spans = self.places(text)
+        return context_mass([(k, 1.0 if part is None else MISSPELLED) for k, _, part in at], spans)
 
 
 def quotations(marks: list[int]) -> list[tuple[int, int]]:
@@ -361,15 +365,15 @@ def _spellings(terms: list[str]):
     return run
 
 
-def learn_lexicon(labelled: DataFrame) -> tuple[list[str], list[str]]:
-    """(terms, ordinary spellings) from (text, label 0 or 1). All terms that are no chance are
+def learn_lexicon(labelled: DataFrame) -> tuple[list[str], DataFrame | None]:
+    """(terms, all ordinary spellings as a table) from (text, label 0 or 1). All terms that are no chance are
     candidates, in a written table; the selection counts equal toxic texts once. The
     lexicon reaches the driver; counts and texts do not."""
     rows = labelled.select("text", "label")
     total = dict(rows.groupBy("label").count().collect())
     n1, n0 = total.get(1, 0), total.get(0, 0)
     if not n1 or not n0:
-        return [], []
+        return [], None
     base = n1 / (n1 + n0)
     terms = (rows.mapInArrow(_count_terms, "term string, toxic long, clean long")
              .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -381,7 +385,7 @@ def learn_lexicon(labelled: DataFrame) -> tuple[list[str], list[str]]:
     candidates = stored(_without_equal_stems(strong), "toxic-candidates")
     held = candidates.select("term").limit(TERMS_HELD + 1).collect()
     if not held:
-        return [], []
+        return [], None
     toxic = rows.where("label = 1").groupBy(F.sha2("text", 256).alias("digest")) \
         .agg(F.first("text").alias("text")).select("text", F.xxhash64("digest").alias("key"))
     if len(held) <= TERMS_HELD:
@@ -390,12 +394,11 @@ def learn_lexicon(labelled: DataFrame) -> tuple[list[str], list[str]]:
         pairs = toxic.mapInArrow(_present(None), "doc long, term string").join(candidates, "term", "left_semi")
     kept = _cover(candidates, stored(pairs, "toxic-pairs"))
     if not kept:
-        return [], []
+        return [], None
     ordinary = (rows.mapInArrow(_spellings(kept), "term string, toxic long, clean long")
                 .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-                .where("clean > 0 AND 9 * clean > toxic")
-                .orderBy(F.desc("clean"), "term").limit(ORDINARY_CAP).collect())
-    return kept, [r.term for r in ordinary]
+                .where("clean > 0 AND 9 * clean > toxic").select("term"))
+    return kept, stored(ordinary, "toxic-ordinary")
 
 
 def _masses(terms: list[str], ordinary: list[str]):
@@ -407,6 +410,50 @@ def _masses(terms: list[str], ordinary: list[str]):
     return run
 
 
+_HITS = pa.schema([("doc_id", pa.int64()),
+                   ("hits", pa.list_(pa.struct([("place", pa.int32()), ("word", pa.string()), ("part", pa.string())]))),
+                   ("spans", pa.list_(pa.list_(pa.int32())))])
+_HITS_DDL = "doc_id long, hits array<struct<place: int, word: string, part: string>>, spans array<array<int>>"
+
+
+def _all_hits(terms: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(terms)
+        def rows():
+            for b in batches:
+                for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    at, spans = matcher.places(text)
+                    yield doc_id, [dict(zip(("place", "word", "part"), h)) for h in at], [list(x) for x in spans]
+        return batches_of(rows(), _HITS)
+    return run
+
+
+def _rest_masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        mass = []
+        for hits, spans, gone in zip(*(b.column(k).to_pylist() for k in (1, 2, 3))):
+            left = [(h["place"], 1.0 if h["part"] is None else MISSPELLED) for h in hits
+                    if h["place"] not in (gone or ())]
+            mass.append(context_mass(left, [tuple(x) for x in spans]))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(mass, pa.float64())], schema=_MASS)
+
+
+def masses_of(docs: DataFrame, terms: list[str], ordinary: DataFrame | None) -> DataFrame:
+    """doc_id, mass of every row. Ordinary spellings are held by the tasks when their count
+    proves them small; otherwise hits are written and the ordinary ones found by joins."""
+    held = [] if ordinary is None else ordinary.limit(ORDINARY_HELD + 1).collect()
+    if len(held) <= ORDINARY_HELD:
+        return docs.mapInArrow(_masses(terms, [r.term for r in held]), "doc_id long, mass double")
+    hits = stored(docs.mapInArrow(_all_hits(terms), _HITS_DDL)
+                  .withColumn("row", F.monotonically_increasing_id()), "toxic-hits")
+    misspelt = hits.select("row", F.inline("hits")).where("part IS NOT NULL")
+    gone = misspelt.join(ordinary.withColumnRenamed("term", "word"), "word", "left_semi").select("row", "place").union(
+        misspelt.join(ordinary.withColumnRenamed("term", "part"), "part", "left_semi").select("row", "place"))
+    gone = gone.groupBy("row").agg(F.collect_set("place").alias("gone"))
+    return hits.join(gone, "row", "left").select("doc_id", "hits", "spans", "gone") \
+        .mapInArrow(_rest_masses, "doc_id long, mass double")
+
+
 def fit_curve(mass: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """Logistic regression of the label on log(1 + mass), by Newton steps with a small
     ridge; intercept and slope."""
@@ -437,7 +484,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
              .groupBy("doc_id").agg(F.max("label").alias("label")))
     marks = broadcast_if_small(marks, 32)
     terms, ordinary = learn_lexicon(docs.join(marks, "doc_id").select("text", "label"))
-    masses = stored(docs.mapInArrow(_masses(terms, ordinary), "doc_id long, mass double"), "toxic-mass")
+    masses = stored(masses_of(docs, terms, ordinary), "toxic-mass")
     sample = (masses.join(marks, "doc_id").withColumn("key", F.xxhash64("doc_id"))
               .orderBy("key").limit(FIT_ROWS).select("mass", "label").collect())
     a, b = fit_curve(np.array([r.mass for r in sample]), np.array([r.label for r in sample], float))
