@@ -58,3 +58,11 @@ def test_joined_ordinary_spellings_give_the_same_masses(spark, monkeypatch):
     want = masses()
     monkeypatch.setattr(toxicity, "ORDINARY_HELD", 1)
     assert masses() == want and any(m for _, _, m in want)
+
+
+def test_cover_reads_all_toxic_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "COVER_ROWS", 10, raising=False)
+    rows = [(f"you filthmonger {k}" if k % 10 == 0 else f"you rotface {k}", 1) for k in range(200)] \
+        + [(f"you kind letter {k}", 0) for k in range(800)]
+    terms, _ = toxicity.learn_lexicon(spark.createDataFrame(rows, LABELLED))
+    assert {"filthmonger$", "rotface$"} <= set(terms)
