@@ -1,7 +1,10 @@
 """Results that do not depend on how much of the input a bound lets through."""
 import random
 
-from tripwire.llm import toxicity
+import numpy as np
+
+from tripwire.llm import quality, toxicity
+from tripwire.llm.common import load
 
 LABELLED = "text string, label int"
 
@@ -66,3 +69,27 @@ def test_cover_reads_all_toxic_texts(spark, monkeypatch):
         + [(f"you kind letter {k}", 0) for k in range(800)]
     terms, _ = toxicity.learn_lexicon(spark.createDataFrame(rows, LABELLED))
     assert {"filthmonger$", "rotface$"} <= set(terms)
+
+
+def test_co_training_reads_all_unlabelled_rows(spark, monkeypatch):
+    docs, labels = (load(spark, "/root/testdata/sf0.01", x) for x in ("documents", "labels"))
+    def scores():
+        return [r.score for r in quality.score_quality(docs, labels).orderBy("doc_id").collect()]
+    want = scores()
+    monkeypatch.setattr(quality, "POOL_ROWS", 5, raising=False)
+    assert np.allclose(scores(), want, atol=1e-9)
+
+
+def test_pool_sums_are_those_of_all_rows(spark):
+    rng = np.random.default_rng(3)
+    x = [rng.normal(size=(500, 2)).round(3), rng.normal(size=(500, 3)).round(3)]
+    pool = quality.Pool(spark.createDataFrame([(a.tolist(), b.tolist()) for a, b in zip(*x)],
+                                              "a array<double>, b array<double>").repartition(7))
+    assert np.allclose(pool.sum(quality._moments, 11), quality._moments(x))
+    done = [([(0.0, [4.0, 0.0]), (0.0, [0.0, 4.0, 0.0])], [(3.5, 4.0), (3.5, 4.0)])]
+    got = quality.handed_over(done, x)
+    assert (got[1] == 1).sum() == (4 * x[0][:, 0] >= 3.5).sum() and (got[0] == 0).sum() == (4 * x[1][:, 1] <= -4).sum()
+    model = quality.Logistic().fit(x[0], (x[0][:, 0] > 0).astype(float), np.ones(500))
+    other = quality.Logistic().fit(x[1], (x[1][:, 1] > 0).astype(float), np.ones(500))
+    of = quality._steps(done, [model, other], [0.5, 0.5])
+    assert np.allclose(pool.sum(of, 9 + 3 + 16 + 4), of(x))

@@ -7,9 +7,10 @@ and hands them to the other one; the classifiers are fitted again. On labelled r
 aside, each view is calibrated (Platt) and the two calibrated log odds are combined by
 a logistic regression; every document gets the combined score.
 
-Fitting uses at most FIT_ROWS labelled rows and POOL_ROWS unlabelled ones, both chosen
-by a hash of the id (bounded samples, the only ones). Features and scores cover every document
-and its whole text.
+Fitting uses at most FIT_ROWS labelled rows, chosen by a hash of the id (a bounded
+sample, the only one), and all unlabelled rows: each round reads them for the confidence
+limits and once per Newton step, and sums over partitions reach the driver. Features and scores
+cover every document and its whole text.
 
 Defined results: null or empty text has all text features 0. Null language, source and length
 are values of their own. Null ids score as others. Repeated rows score alike. Without labels of
@@ -30,11 +31,12 @@ from pyspark.sql import functions as F
 from tripwire.llm.common import broadcast_if_small, stored
 
 FIT_ROWS = 20_000
-POOL_ROWS = 20_000
 ROUNDS = 4
-TAKEN = 0.05               # share of the pool handed over by a view and round
+TAKEN = 0.05               # share of the unlabelled rows handed over by a view and round
 SURE = 0.95                # least probability of a pseudo-label
 BUCKETS = 16               # hashed sources
+STEPS = 10                 # most Newton steps of a round
+BINS, BIN = 600, 0.1       # of the log odds above SURE, for the confidence limits
 
 TEXT_FEATURES = ("symbols", "capitals", "digits", "exclamations", "bars", "word_variety",
                  "word_length", "line_variety", "empty", "rare_letters")
@@ -89,20 +91,29 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Logistic:
     """Ridge logistic regression on standardised columns, by Newton steps."""
 
-    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Logistic:
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-3
-        z = np.column_stack([np.ones(len(x)), (x - self.mean) / self.scale])
-        self.w, ridge = np.zeros(z.shape[1]), np.full(z.shape[1], 1.0)
-        ridge[0] = 1e-3
+    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, mean=None, scale=None) -> Logistic:
+        self.mean, self.scale = (x.mean(0), x.std(0) + 1e-3) if mean is None else (mean, scale)
+        self.w = np.zeros(x.shape[1] + 1)
         for _ in range(30):
-            p = 1 / (1 + np.exp(-np.clip(z @ self.w, -30, 30)))
-            h = (z * (weight * p * (1 - p))[:, None]).T @ z + np.diag(ridge)
-            step = np.linalg.solve(h, z.T @ (weight * (y - p)) - ridge * self.w)
-            self.w += step
-            if np.abs(step).max() < 1e-6:
+            if self.step(self.sums(x, y, weight)) < 1e-6:
                 break
         return self
 
+    def sums(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Gradient and Hessian of some rows, in one array: sums of parts are those of the whole."""
+        z = np.column_stack([np.ones(len(x)), (x - self.mean) / self.scale])
+        p = 1 / (1 + np.exp(-np.clip(z @ self.w, -30, 30)))
+        return np.r_[z.T @ (weight * (y - p)), ((z * (weight * p * (1 - p))[:, None]).T @ z).ravel()]
+
+    def step(self, sums: np.ndarray) -> float:
+        """One Newton step; its size."""
+        n = len(self.w)
+        ridge = np.full(n, 1.0)
+        ridge[0] = 1e-3
+        step = np.linalg.solve(sums[n:].reshape(n, n) + np.diag(ridge), sums[:n] - ridge * self.w)
+        self.w = self.w + step
+        return float(np.abs(step).max())
+
     def logit(self, x: np.ndarray) -> np.ndarray:
         return self.w[0] + (x - self.mean) / self.scale @ self.w[1:]
 
@@ -112,37 +123,120 @@ class Logistic:
         return float(self.w[0] - c @ self.mean), [float(v) for v in c]
 
 
-def co_train(views: list[np.ndarray], label: np.ndarray, pool: list[np.ndarray],
-             rounds: int = ROUNDS) -> list[Logistic]:
-    """Two classifiers that exchange their surest pseudo-labels. A pseudo-label
-    weighs half as much as a true one; an unlabelled row is handed over once to each view."""
-    models = [Logistic().fit(v, label, np.ones(len(label))) for v in views]
-    got: list[dict[int, float]] = [{}, {}]
-    n = max(1, int(TAKEN * len(pool[0])))
-    for _ in range(rounds):
-        fresh = 0
+class Pool:
+    """All unlabelled rows: two columns of features."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def sum(self, of, size: int) -> np.ndarray:
+        """The sum of of(views) over batches of rows, added up in the tasks."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(size)
+            for b in batches:
+                if b.num_rows:
+                    total += of([b.column(k).flatten().to_numpy(zero_copy_only=False).astype(float)
+                                 .reshape(b.num_rows, -1) for k in (0, 1)])
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+        total = np.zeros(size)
+        for r in self.rows.mapInArrow(run, "sums binary").toLocalIterator():
+            total += np.frombuffer(r["sums"])
+        return total
+
+
+def _moments(views: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([[len(views[0])], *(m for v in views for m in (v.sum(0), (v ** 2).sum(0)))])
+
+
+def handed_over(rounds: list[tuple], views: list[np.ndarray]) -> list[np.ndarray]:
+    """The pseudo-labels that each view has got in the rounds so far, nan for none. A round is the
+    lines of both classifiers and, for each, the least log odds for 1 and for 0."""
+    got = [np.full(len(views[0]), np.nan) for _ in views]
+    for lines, limits in rounds:
         for k in (0, 1):
-            if not len(pool[0]):
-                break
-            p = 1 / (1 + np.exp(-np.clip(models[k].logit(pool[k]), -30, 30)))
-            for want, chance in ((1.0, p), (0.0, 1 - p)):
-                share = label.mean() if want else 1 - label.mean()
-                order = np.argsort(-chance, kind="stable")
-                sure = [int(i) for i in order[chance[order] >= SURE] if int(i) not in got[1 - k]]
-                for i in sure[:max(1, int(n * share))]:
-                    got[1 - k][i] = want
-                    fresh += 1
+            z, g = lines[k][0] + views[k] @ np.array(lines[k][1]), got[1 - k]
+            free = np.isnan(g)
+            g[free & (z >= limits[k][0])] = 1.0
+            g[free & (z <= -limits[k][1])] = 0.0
+    return got
+
+
+_LEAST = math.log(SURE / (1 - SURE))
+
+
+def _confident(rounds: list[tuple], lines: list[tuple]):
+    """Unlabelled rows by log odds above SURE: for each view those for 1, then those for 0."""
+    def of(views: list[np.ndarray]) -> np.ndarray:
+        got, parts = handed_over(rounds, views), []
+        for k in (0, 1):
+            z = (lines[k][0] + views[k] @ np.array(lines[k][1]))[np.isnan(got[1 - k])]
+            for odds in (z, -z):
+                at = np.minimum((odds[odds >= _LEAST] - _LEAST) / BIN, BINS - 1).astype(int)
+                parts.append(np.bincount(at, minlength=BINS))
+        return np.concatenate(parts).astype(float)
+    return of
+
+
+def _limit(counts: np.ndarray, want: float) -> tuple[float, float]:
+    """(log odds, rows): the surest rows, up to `want`; at least the surest bin that has any."""
+    above = np.cumsum(counts[::-1])[::-1]
+    if not above[0]:
+        return math.inf, 0.0
+    bins = np.flatnonzero(above <= want)
+    first = int(bins[0]) if len(bins) and above[bins[0]] else int(np.flatnonzero(counts)[-1])
+    return _LEAST + BIN * first, float(above[first])
+
+
+def _steps(rounds: list[tuple], models: list[Logistic], weights: list[float]):
+    def of(views: list[np.ndarray]) -> np.ndarray:
+        got, parts = handed_over(rounds, views), []
+        for model, v, g, weight in zip(models, views, got, weights):
+            has = ~np.isnan(g)
+            parts.append(model.sums(v[has], g[has], np.full(int(has.sum()), weight)))
+        return np.concatenate(parts)
+    return of
+
+
+def co_train(views: list[np.ndarray], label: np.ndarray, pool: Pool, rounds: int = ROUNDS) -> list[Logistic]:
+    """Two classifiers that exchange their surest pseudo-labels over all unlabelled rows, each
+    row handed over once to each view. A pseudo-label weighs half as much as a true
+    one, or less: together they weigh at most half as much as the true ones."""
+    known = _moments(views)
+    every = pool.sum(_moments, len(known))
+    n, total, at, models = every[0], known + every, 1, []
+    for v in views:
+        d = v.shape[1]
+        mean, square = total[at:at + d] / total[0], total[at + d:at + 2 * d] / total[0]
+        scale = np.sqrt(np.maximum(square - mean ** 2, 0)) + 1e-3
+        models.append(Logistic().fit(v, label, np.ones(len(label)), mean, scale))
+        at += 2 * d
+    done: list[tuple] = []
+    has = [0.0, 0.0]
+    for _ in range(rounds if n else 0):
+        lines = [m.line() for m in models]
+        counts = pool.sum(_confident(done, lines), 4 * BINS).reshape(2, 2, BINS)
+        limits, fresh = [], 0.0
+        for k in (0, 1):
+            found = [_limit(counts[k][j], max(1.0, TAKEN * n * share))
+                     for j, share in enumerate((label.mean(), 1 - label.mean()))]
+            limits.append((found[0][0], found[1][0]))
+            has[1 - k] += found[0][1] + found[1][1]
+            fresh += found[0][1] + found[1][1]
         if not fresh:
             break
-        for k in (0, 1):
-            rows = sorted(got[k])
-            x = np.concatenate([views[k], pool[k][rows]])
-            y = np.concatenate([label, [got[k][i] for i in rows]])
-            models[k] = Logistic().fit(x, y, np.r_[np.ones(len(label)), np.full(len(rows), 0.5)])
+        done.append((lines, limits))
+        weights = [0.5 * min(1.0, len(label) / h) if h else 0.0 for h in has]
+        sizes = [len(m.w) + len(m.w) ** 2 for m in models]
+        for _ in range(STEPS):
+            parts = np.split(pool.sum(_steps(done, models, weights), sum(sizes)), [sizes[0]])
+            moved = [m.step(part + m.sums(v, label, np.ones(len(label))))
+                     for m, v, part in zip(models, views, parts)]
+            if max(moved) < 1e-3:
+                break
     return models
 
 
-def fit_model(views: list[np.ndarray], label: np.ndarray, pool: list[np.ndarray]) -> dict | None:
+def fit_model(views: list[np.ndarray], label: np.ndarray, pool: Pool) -> dict | None:
     """Calibrated and combined model as plain numbers, or None without both labels."""
     aside = np.arange(len(label)) % 4 == 0
     if min((label[~aside] == v).sum() for v in (0, 1)) < 2 or min((label[aside] == v).sum() for v in (0, 1)) < 2:
@@ -173,7 +267,7 @@ def score_quality(documents: DataFrame, labels: DataFrame, holdout: bool = False
     every document. With `holdout`, labels of rows with crc32(doc_id) mod 5 = 0 are left out.
 
     One map pass makes the features of all documents (about 40 numbers a row, written);
-    the model is fitted on bounded samples; scores are column expressions."""
+    the model is fitted on a sample of labelled and all unlabelled rows; scores are column expressions."""
     d = documents
     features = stored(d.select(
         d["doc_id"].cast("long").alias("doc_id"), d["text"], d["lang"].cast("string").alias("lang"),
@@ -188,13 +282,14 @@ def score_quality(documents: DataFrame, labels: DataFrame, holdout: bool = False
     by_hash = F.xxhash64("doc_id")
     known = (features.join(marks, "doc_id").withColumn("key", by_hash)
              .orderBy("key", "doc_id").limit(FIT_ROWS).collect())
-    pool = (features.where("doc_id IS NOT NULL").join(marks, "doc_id", "left_anti").withColumn("key", by_hash)
-            .orderBy("key", "doc_id").limit(POOL_ROWS).collect())
     def matrices(rows):
         return [np.array([r[v] for r in rows], float).reshape(len(rows), len(names))
                 for v, names in (("text_view", TEXT_FEATURES), ("meta_view", META_FEATURES))]
-    model = fit_model(matrices(known), np.array([r.label for r in known], float), matrices(pool)) \
-        if known else None
+    model = None
+    if known:
+        pool = features.where("doc_id IS NOT NULL").join(marks, "doc_id", "left_anti").select("text_view", "meta_view") \
+            .union(features.where("doc_id IS NULL").select("text_view", "meta_view"))
+        model = fit_model(matrices(known), np.array([r.label for r in known], float), Pool(stored(pool, "quality-pool")))
     if model is None:
         one = F.lit(1.0)
         return features.select("doc_id", one.alias("score"), F.lit(1).alias("predicted"),
