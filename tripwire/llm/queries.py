@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.llm import balltree, mixing
+from tripwire.llm import balltree, maxsketch, mixing, phrases
 from tripwire.llm.common import load
 
 #: Rules of the URL filter query: (verdict, host, path).
@@ -68,10 +68,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxsketch.ranked_search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(load(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_html_extraction, op2_document_fingerprints, op3_ball_tree_top_k, op4_warc_revisits, op5_source_mixing,
-        op6_minhash_near_dedup, op7_sentencepiece, op8_url_filter, op9_toxicity, op10_quality_classifier)}
+        op6_minhash_near_dedup, op7_sentencepiece, op8_url_filter, op9_toxicity, op10_quality_classifier,
+        op11_ranked_search, op13_phrase_collocations)}
 
 
 _OP4_SQL = """
@@ -102,4 +111,5 @@ FROM p LEFT JOIN (SELECT * FROM m WHERE k = 1) b ON b.page_id = p.page_id
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_ball_tree_top_k": balltree.ORACLE_SQL, "op4_warc_revisits": _OP4_SQL,
-            "op5_source_mixing": mixing.ORACLE_SQL, "op8_url_filter": _OP8_SQL}
+            "op5_source_mixing": mixing.ORACLE_SQL, "op8_url_filter": _OP8_SQL,
+            "op11_ranked_search": maxsketch.ORACLE_SQL, "op13_phrase_collocations": phrases.ORACLE_SQL}
