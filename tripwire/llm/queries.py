@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.llm import balltree, maxsketch, mixing, phrases
+from tripwire.llm import balltree, bytecnn, maxsketch, mixing, phrases
 from tripwire.llm.common import load
 
 #: Rules of the URL filter query: (verdict, host, path).
@@ -72,6 +72,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxsketch.ranked_search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=50)
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytecnn.identify_languages(load(spark, sf_dir, "documents"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(load(spark, sf_dir, "documents"))
 
@@ -80,7 +84,7 @@ def queries() -> dict:
     return {f.__name__: f for f in (
         op1_html_extraction, op2_document_fingerprints, op3_ball_tree_top_k, op4_warc_revisits, op5_source_mixing,
         op6_minhash_near_dedup, op7_sentencepiece, op8_url_filter, op9_toxicity, op10_quality_classifier,
-        op11_ranked_search, op13_phrase_collocations)}
+        op11_ranked_search, op12_language_id, op13_phrase_collocations)}
 
 
 _OP4_SQL = """
