@@ -25,7 +25,7 @@ P0 = datetime(2026, 1, 1, 12, 0, 0)
 
 
 def progress(spark, counts, query="q", step=10):
-    rows = [(query, P0 + timedelta(seconds=step * i), n) for i, n in enumerate(counts)]
+    rows = [(query, i, P0 + timedelta(seconds=step * i), n, 0, None) for i, n in enumerate(counts)]
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)
 
 
@@ -48,6 +48,28 @@ def test_starvation_from_first_poll(spark):
     assert len(out) == 1 and out[0]["idle_since"] == "2026-01-01T12:00:00Z"
 
 
+def test_starvation_over_chunks_and_queries_is_the_same(spark):
+    """Chunks shorter and longer than a stretch, several queries, polls at one time."""
+    import random
+    rng = random.Random(4)
+    frames = [progress(spark, [rng.choice([0, 0, 0, 0, 0, 0, 0, 3]) for _ in range(120)], q, step) for q, step in (("a", 10), ("b", 7))]
+    both = frames[0].union(frames[1]).union(frames[1].limit(5))
+    want = set()
+    for query in ("a", "b"):
+        rows = sorted((r["at"], r["num_input_rows"]) for r in both.collect() if r["query"] == query)
+        since, told = rows[0][0], None
+        for at, n in rows:
+            if n:
+                since = at
+            elif (at - since).total_seconds() >= 60 and told != since:
+                told = since
+                want.add((query, iso(at), iso(since), (at - since).total_seconds()))
+    for chunk in ("30 seconds", "2 minutes", "1 day"):
+        got = starvation_episodes(both, chunk=chunk).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert len(want) > 4
+
+
 def alerts_frame(spark, rows):
     cols = ("alert_id string, transaction_id string, user_id string, event_time string, "
             "alert_time string, rule string, severity string, amount double, currency string, "
@@ -156,7 +178,7 @@ def test_label_runs_brute_force(spark):
                         location=rnd.choice(["Paris", "London", "Atlantis"]),
                         is_fraud=1 if rnd.random() < 0.5 else 0))
     got = sorted((r["user_id"], r["first_transaction_id"], r["run_length"], r["n_countries"])
-                 for r in label_runs(enrich(frame(spark, rows)), chunk="1 hour").collect())
+                 for r in label_runs(enrich(frame(spark, rows))).collect())
     want = []
     country = {"Paris": "FR", "London": "GB"}
     for u in ("u1", "u2", "u3"):
@@ -210,7 +232,7 @@ def test_suppress_repeats_on_a_stream(spark, scratch):
                               [("k", T0 + seconds(1250), 7), ("k", T0 + seconds(1199), 8), ("j", T0 + seconds(700), 9)]]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    q = (suppress_repeats_stream(stream, ["key"]).writeStream.format("memory").queryName("suppressed")
+    q = (suppress_repeats_stream(stream, ["key"], order_cols=("id",)).writeStream.format("memory").queryName("suppressed")
          .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
     q.awaitTermination(180)
     assert sorted(r["id"] for r in spark.table("suppressed").collect()) == [1, 3, 5, 7, 9]

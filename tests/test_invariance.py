@@ -30,7 +30,7 @@ def test_row_order_and_partitioning_do_not_matter(spark):
     for rule in (lambda e: high_value_rule(e, clock_mode="event"),
                  lambda e: velocity_rule(e, width="1 hour", min_count=2, clock_mode="event"),
                  lambda e: geo_hop_rule(e, width="1 hour", clock_mode="event"),
-                 lambda e: label_runs(e, chunk="1 day")):
+                 lambda e: label_runs(e)):
         assert _rows(rule(enrich(tx, places))) == _rows(rule(enrich(shuffled, places)))
 
 
@@ -91,16 +91,14 @@ def test_progress_feeds_starvation(spark, scratch):
     _write(src, 0, [{"user_id": "u1", "transaction_id": "t-0000001", "amount": 10.0,
                      "currency": "EUR", "method": "paypal", "is_fraud": 0, "location": "Paris",
                      "timestamp": "2026-01-01T10:00:00Z"}])
-    rec = record_progress(spark)
+    rec = record_progress(spark, os.path.join(scratch, "progress"), names=["progress_probe"])
     try:
         q = (transaction_file_stream(spark, src, "json").writeStream.format("noop")
              .queryName("progress_probe")
              .option("checkpointLocation", os.path.join(scratch, "ck"))
              .trigger(availableNow=True).start())
         q.awaitTermination(120)
-        deadline = time.time() + 20
-        while not rec.records and time.time() < deadline:
-            time.sleep(0.5)
+        rec.wait([q])
     finally:
         spark.streams.removeListener(rec)
     prog = rec.frame(spark)

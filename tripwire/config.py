@@ -72,7 +72,6 @@ LATEST_DEFAULT = 200
 # Alert-rate window and starvation threshold, seconds.
 RATE_WINDOW_SECONDS = 60
 STARVATION_SECONDS = 60
-POLL_SECONDS = 5
 
 # Micro-batch trigger of the streaming alert queries.
 TRIGGER_INTERVAL = "5 seconds"
@@ -174,6 +173,9 @@ PROFILE_SCHEMA = StructType([
 # Stream progress records (one per query and poll).
 PROGRESS_SCHEMA = StructType([
     StructField("query", StringType()),
+    StructField("batch", LongType()),
     StructField("at", TimestampType()),
     StructField("num_input_rows", LongType()),
+    StructField("rows_dropped", LongType()),
+    StructField("watermark", TimestampType()),
 ])

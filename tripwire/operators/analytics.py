@@ -5,6 +5,8 @@ timestamps here.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -12,7 +14,6 @@ from pyspark.sql.types import DoubleType
 from tripwire.config import (
     GEO_WINDOW,
     LATEST_DEFAULT,
-    POLL_SECONDS,
     RATE_WINDOW_SECONDS,
     RULE_GEO_HOP,
     RULE_VELOCITY,
@@ -23,6 +24,7 @@ from tripwire.config import (
     VELOCITY_WINDOW,
 )
 from tripwire.functions.columns import iso, literal_map, width_seconds
+from tripwire.operators.selection import value_at_rank
 
 
 def parse_iso(col: Column) -> Column:
@@ -109,19 +111,12 @@ def unique_alerts_stream(alerts: DataFrame, delay: str = "10 minutes") -> DataFr
 
 def latency_p95(alerts: DataFrame, q: float = 0.95) -> DataFrame:
     """One row: n and the q-quantile of alert_time - event_time in seconds,
-    taken as element int(q * (n - 1)) of the sorted deltas. Deltas are whole
-    seconds, so a histogram (one row per distinct delta, bounded by the
-    latency range) replaces the sort; the running sum and the total are
-    windows over that histogram, computed once."""
+    taken as element int(q * (n - 1)) of the sorted deltas; both NULL without a delta. Found by a
+    sketch's bracket and a count: two reads of the alerts, no sort, no global window over them."""
     delta = (F.unix_timestamp(F.col("alert_time"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
              - F.unix_timestamp(F.col("event_time"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    hist = (alerts.select(delta.alias("delta")).filter(F.col("delta").isNotNull())
-                  .groupBy("delta").agg(F.count(F.lit(1)).alias("c")))
-    running = Window.orderBy("delta").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = (hist.withColumn("cum", F.sum("c").over(running))
-             .withColumn("n", F.sum("c").over(Window.partitionBy())))
-    return (h.filter(F.col("cum") > F.floor(F.lit(q) * (F.col("n") - 1)))
-             .agg(F.min("n").alias("n"), F.min("delta").alias("p95_seconds")))
+    value, n = value_at_rank(alerts, delta, q, lambda n: math.floor(q * (n - 1)) + 1)
+    return alerts.sparkSession.createDataFrame([(n or None, value)], "n long, p95_seconds long")
 
 
 def window_start_of(event_time: Column, width: str) -> Column:
@@ -159,48 +154,30 @@ def silent_rules(alerts: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------- starvation
 
-def starvation_episodes(progress: DataFrame, threshold_seconds: int = STARVATION_SECONDS) -> DataFrame:
+def starvation_episodes(progress: DataFrame, threshold_seconds: int = STARVATION_SECONDS,
+                        chunk: str = "1 day") -> DataFrame:
     """One row per starvation episode of a stream query: the first poll of an
     idle stretch at which the query has reported zero input rows for at least
     `threshold_seconds` since its last non-empty poll (or since its first poll).
-    After a non-empty poll a new episode can start.
-
-    `progress` has (query, at, num_input_rows). The window is per query: one
-    row per poll, bounded by run time / poll interval."""
-    by_query = Window.partitionBy("query").orderBy("at")
-    upto = by_query.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    nonzero = F.col("num_input_rows") > 0
-    p = (progress
-         .withColumn("last_active", F.last(F.when(nonzero, F.col("at")), ignorenulls=True).over(upto))
-         .withColumn("first_at", F.min("at").over(upto))
-         .withColumn("stretch", F.sum(nonzero.cast("int")).over(upto)))
-    idle_since = F.coalesce(F.col("last_active"), F.col("first_at"))
-    idle_for = (F.unix_micros(F.col("at")) - F.unix_micros(idle_since)) / F.lit(1_000_000.0)
-    due = p.filter(~nonzero & (idle_for >= threshold_seconds)).select(
-        "query", "stretch", "at", idle_since.alias("idle_since"), idle_for.alias("idle_seconds"))
-    return (due.groupBy("query", "stretch")
-            .agg(F.min_by(F.struct("at", "idle_since", "idle_seconds"), F.col("at")).alias("e"))
-            .select("query", iso(F.col("e.at")).alias("at"),
-                    iso(F.col("e.idle_since")).alias("idle_since"),
-                    F.col("e.idle_seconds").alias("idle_seconds")))
-
-
-def replay_progress(tx: DataFrame, query: str = "transactions",
-                    poll_seconds: int = POLL_SECONDS) -> DataFrame:
-    """Progress records of a replay of `tx` as a stream polled every
-    `poll_seconds`: one row per poll from the first to the last event, with the
-    rows that arrived in (at - poll, at]. Empty polls are generated from a
-    range of poll numbers (bounded by the time span) and left-joined to the
-    per-poll counts (an equi-join on the poll number)."""
-    spark = tx.sparkSession
-    poll = F.ceil(F.unix_micros(F.col("ts")) / F.lit(poll_seconds * 1_000_000)).cast("long")
-    counts = tx.filter(F.col("ts").isNotNull()).groupBy(poll.alias("poll")) \
-               .agg(F.count(F.lit(1)).alias("num_input_rows"))
-    bounds = counts.agg(F.min("poll").alias("lo"), F.max("poll").alias("hi")).first()
-    if bounds["lo"] is None:
-        return spark.createDataFrame([], "query string, at timestamp, num_input_rows long")
-    polls = spark.range(bounds["lo"], bounds["hi"] + 1).withColumnRenamed("id", "poll")
-    return (polls.join(counts, "poll", "left")
-            .select(F.lit(query).alias("query"),
-                    F.timestamp_seconds(F.col("poll") * poll_seconds).alias("at"),
-                    F.coalesce(F.col("num_input_rows"), F.lit(0)).cast("long").alias("num_input_rows")))
+    After a non-empty poll a new episode can start. Polls of one query at one time count as one.
+
+    `progress` has (query, at, num_input_rows). Polls are cut into chunks of time. A chunk is summed up by its first poll and
+    its last non-empty one; these summaries, one row per chunk, are merged in order per query, and each
+    chunk then judges its own polls. So no task holds all polls of a query."""
+    polls = (progress.filter(F.col("at").isNotNull()).groupBy("query", "at").agg(F.sum("num_input_rows").alias("rows"))
+             .select("query", "at", (F.col("rows") > 0).alias("fed"), F.window("at", chunk).start.alias("chunk")))
+    fed_at = F.when(F.col("fed"), F.col("at"))
+    summary = polls.groupBy("query", "chunk").agg(F.min("at").alias("first_at"), F.max(fed_at).alias("last_fed"))
+    earlier = Window.partitionBy("query").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("query").orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    entry = summary.select(F.col("query").alias("_q"), F.col("chunk").alias("_c"),
+                           F.coalesce(F.max("last_fed").over(earlier), F.min("first_at").over(upto)).alias("since"))
+    inside = Window.partitionBy("query", "chunk").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    judged = (polls.join(entry, F.col("query").eqNullSafe(F.col("_q")) & (F.col("chunk") == F.col("_c")))
+              .select("query", "at", "fed", F.coalesce(F.max(fed_at).over(inside), F.col("since")).alias("idle_since")))
+    idle_for = (F.unix_micros("at") - F.unix_micros("idle_since")) / F.lit(1_000_000.0)
+    # A stretch is known by the poll that it counts from.
+    return (judged.filter(~F.col("fed") & (idle_for >= threshold_seconds))
+            .groupBy("query", "idle_since").agg(F.min("at").alias("at"))
+            .select("query", iso(F.col("at")).alias("at"), iso(F.col("idle_since")).alias("idle_since"),
+                    idle_for.alias("idle_seconds")))

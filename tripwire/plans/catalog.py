@@ -10,6 +10,7 @@ import hashlib
 import os
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,6 @@ from tripwire.operators.analytics import (
     latency_p95,
     latest_alerts,
     parse_iso,
-    replay_progress,
     silent_rules,
     starvation_episodes,
     unique_alerts,
@@ -59,10 +59,11 @@ from tripwire.operators.rules import (
     approx_distinct,
     row_alerts,
 )
-from tripwire.operators.sequences import label_runs, suppress_repeats
+from tripwire.operators.sequences import label_runs, suppress_repeats, suppress_repeats_stream
 from tripwire.session import scratch_path
 from tripwire.streaming.folders import Folder
 from tripwire.streaming.jobs import JobSettings, alert_streams, start_alert_query
+from tripwire.streaming.progress import record_progress
 from tripwire.streaming.sinks import ParquetSink
 from tripwire.sources.dimensions import city_dimension
 from tripwire.sources.streams import to_messages, transaction_file_stream
@@ -240,11 +241,6 @@ def q_silent_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silent_rules(event_alerts(spark, sf_dir))
 
 
-def q_starvation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(starvation_episodes(replay_progress(load_transactions(spark, sf_dir))),
-                  {"idle_seconds"})
-
-
 def q_label_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(label_runs(enriched_tx(spark, sf_dir)), {"span_seconds"})
 
@@ -264,7 +260,6 @@ QUERIES.update({
     "latency_p95": q_latency_p95,
     "duplicate_audit": q_duplicate_audit,
     "silent_rules": q_silent_rules,
-    "starvation": q_starvation,
     "label_runs": q_label_runs,
     "suppress_repeats": q_suppress_repeats,
 })
@@ -450,16 +445,20 @@ def q_approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.abs(F.col("approx_distinct") - F.col("n_exact")) <= 0.2 * F.col("n_exact")).cast("int").alias("within"))
 
 
-def formula_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every transaction with its features and a score that SQL can state: a logistic formula."""
-    e = enriched_tx(spark, sf_dir)
-    f = add_features(e, user_profiles(e))
+def formula_score(f: DataFrame) -> DataFrame:
+    """Add a score that SQL can state: a logistic formula of the features."""
     x = (0.8 * F.round("amount_z", 6) + 0.5 * F.round("log_amount", 6) - 0.02 * F.col("hour")
          + 0.1 * F.col("dayofweek") + 0.4 * F.col("is_night") + 0.2 * F.col("method_id")
          - 0.3 * F.col("currency_id") + 0.001 * F.col("amount_eur") + F.col("is_new_user") - 4.0)
     return f.withColumn("p_fraud", F.round(1 / (1 + F.exp(-x)), 8))
 
 
+def formula_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transaction with its features and the formula's score."""
+    e = enriched_tx(spark, sf_dir)
+    return formula_score(add_features(e, user_profiles(e)))
+
+
 def q_tau_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(threshold_curve(formula_scores(spark, sf_dir)),
                   {"precision", "recall", "f1", "prev_recall"})
@@ -557,7 +556,7 @@ def q_orders_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_orders_label_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of labelled orders per customer; same-day orders are ordered by id."""
-    return _round(label_runs(enriched_orders(spark, sf_dir), chunk="30 days"), {"span_seconds"})
+    return _round(label_runs(enriched_orders(spark, sf_dir)), {"span_seconds"})
 
 
 QUERIES.update({
@@ -574,31 +573,46 @@ QUERIES.update({
 REPLAY_SLICES = 4
 
 
+def time_slices(tx: DataFrame, count: int = REPLAY_SLICES) -> list[tuple[int, int]]:
+    """The span of `ts` as equal slices [since, until) in microseconds, oldest first; none without a time."""
+    lo, hi = tx.agg(F.min(F.unix_micros(TS)), F.max(F.unix_micros(TS))).first()
+    cuts = [] if lo is None else [(hi - lo + 1) * i // count + lo for i in range(count + 1)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def in_slice(tx: DataFrame, since: int, until: int) -> DataFrame:
+    # Bounds on the plain column, so that they reach the scan.
+    return tx.filter((F.col(TS) >= F.timestamp_micros(F.lit(since))) & (F.col(TS) < F.timestamp_micros(F.lit(until))))
+
+
+def replay(spark: SparkSession, tx: DataFrame, slices: list[tuple[int, int]], name: str, frame_of, settings: JobSettings,
+           run: str) -> DataFrame:
+    """Replay the transactions as a file stream through one alert query and read back what its sink
+    wrote. A slice is one micro-batch of as many files as its rows need: it is added to the source
+    folder, and the query is started again from its checkpoint until it has read all there is."""
+    src, out = os.path.join(run, "in"), os.path.join(run, "out")
+    for since, until in slices:
+        in_slice(tx, since, until).write.mode("append").parquet(src)
+        frame = frame_of(transaction_file_stream(spark, src, "parquet"))
+        start_alert_query(name, frame, settings, [ParquetSink(out)]).awaitTermination()
+    shape = spark.createDataFrame([], ALERT_SCHEMA)
+    # Without any alert the sink has written no folder.
+    return spark.read.schema(shape.schema).parquet(out) if Folder(spark, out).names() else shape
+
+
+def _replay_settings(run: str, **options) -> JobSettings:
+    return JobSettings(checkpoint_root=os.path.join(run, "ckpt"), trigger={"availableNow": True}, **options)
+
+
 def replay_stream_alerts(spark: SparkSession, sf_dir: str, width: str = "1 day",
                          min_count: int = 4, mode: str = "final") -> DataFrame:
-    """Replay the transactions as a file stream through the velocity query and read back what
-    its sink wrote. The time span is cut into equal slices, oldest first; a slice is one
-    micro-batch of as many files as its rows need: it is added to the source folder, and the
-    query is started again from its checkpoint until it has read all there is. Each call uses
+    """The velocity query over a replay in equal slices of time, oldest first. Each call uses
     a fresh folder below the shared checkpoint folder."""
     run = scratch_path(spark, "replay", uuid.uuid4().hex)
     tx = load_transactions(spark, sf_dir).filter(F.col(TS).isNotNull())
-    t_us = F.unix_micros(F.col(TS))
-    lo, hi = tx.agg(F.min(t_us), F.max(t_us)).first()
-    src, out = os.path.join(run, "in"), os.path.join(run, "out")
-    settings = JobSettings(checkpoint_root=os.path.join(run, "ckpt"), mode=mode, velocity_window=width,
-                           velocity_min=min_count, trigger={"availableNow": True})
-    for k in range(REPLAY_SLICES if lo is not None else 0):
-        since, until = ((hi - lo + 1) * i // REPLAY_SLICES + lo for i in (k, k + 1))
-        # Bounds on the plain column, so that they reach the scan.
-        tx.filter((F.col(TS) >= F.timestamp_micros(F.lit(since))) & (F.col(TS) < F.timestamp_micros(F.lit(until)))
-                  ).write.mode("append").parquet(src)
-        frame = alert_streams(transaction_file_stream(spark, src, "parquet"), settings,
-                              load_places(spark, sf_dir))["velocity"]
-        start_alert_query("velocity", frame, settings, [ParquetSink(out)]).awaitTermination()
-    shape = spark.createDataFrame([], ALERT_SCHEMA)
-    # Without any alert the sink has written no folder.
-    return spark.read.schema(shape.schema).parquet(out) if Folder(spark, out).names() else shape
+    settings = _replay_settings(run, mode=mode, velocity_window=width, velocity_min=min_count)
+    return replay(spark, tx, time_slices(tx), "velocity",
+                  lambda stream: alert_streams(stream, settings, load_places(spark, sf_dir))["velocity"], settings, run)
 
 
 def q_stream_velocity_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -620,6 +634,85 @@ def q_stream_velocity_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.select(*[c for c in ALERT_COLUMNS if c != "alert_time"])
 
 
+def q_stream_row_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 and R4 on a stream: each micro-batch is joined to the written profiles, gets its features and
+    score, and gives its alerts in one pass over the source. All columns but the wall-clock `alert_time`
+    and the detail (scores are printed there)."""
+    run = scratch_path(spark, "replay", uuid.uuid4().hex)
+    tx = load_transactions(spark, sf_dir).filter(F.col(TS).isNotNull())
+    user_profiles(enriched_tx(spark, sf_dir)).write.parquet(os.path.join(run, "profiles"))
+    profiles = spark.read.parquet(os.path.join(run, "profiles"))
+    settings = _replay_settings(run)
+    def rows(stream):
+        return alert_streams(stream, settings, load_places(spark, sf_dir),
+                             scorer=lambda e: formula_score(add_features(e, profiles)), tau=0.7)["row"]
+    alerts = replay(spark, tx, time_slices(tx), "row", rows, settings, run)
+    return alerts.select(*[c for c in ALERT_COLUMNS if c not in ("alert_time", "detail")])
+
+
+def q_stream_suppress_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 alerts of a replay, repeats within the time-to-live suppressed by state and timers per (rule, user):
+    what `suppress_repeats` keeps of the table."""
+    run = scratch_path(spark, "replay", uuid.uuid4().hex)
+    tx = load_transactions(spark, sf_dir).filter(F.col(TS).isNotNull())
+    def kept(stream):
+        alerts = alert_projection(high_value_rule(enrich(stream, load_places(spark, sf_dir)), clock_mode="event"))
+        return alert_projection(suppress_repeats_stream(alerts.withColumn("t", parse_iso(F.col("event_time"))), ["rule", "user_id"],
+                                                        time_col="t", order_cols=("alert_id",)))
+    return replay(spark, tx, time_slices(tx), "suppressed", kept, _replay_settings(run), run).select(*ALERT_COLUMNS)
+
+
+def week_parts(tx: DataFrame) -> list[tuple[str, int, int]]:
+    """The span of `ts` as working weeks and weekends in order: (feed, since, until) in microseconds."""
+    lo, hi = tx.agg(F.unix_micros(F.date_trunc("week", F.min(TS))), F.unix_micros(F.max(TS))).first()
+    first = tx.agg(F.unix_micros(F.min(TS))).first()[0]
+    day, parts = 86_400_000_000, []
+    while lo is not None and lo <= hi:
+        parts += [("weekday", lo, lo + 5 * day), ("weekend", lo + 5 * day, lo + 7 * day)]
+        lo += 7 * day
+    return [p for p in parts if p[2] > first and p[1] <= hi]
+
+
+def replay_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The progress log of two R1 queries over feeds of the transactions: one has those of working days, one those of
+    weekends. Both are polled at the end of every working week and every weekend, whether their feed has rows or not; the log
+    carries that time."""
+    run = scratch_path(spark, "feeds", uuid.uuid4().hex)
+    tx = load_transactions(spark, sf_dir).filter(F.col(TS).isNotNull())
+    parts = week_parts(tx)
+    def clock(name: str, batch: int) -> str:
+        return datetime.fromtimestamp(parts[batch][2] / 1e6, timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    feeds = ("weekday", "weekend")
+    log = record_progress(spark, os.path.join(run, "progress"), clock=clock, names=[f"alerts_{f}" for f in feeds])
+    try:
+        for feed, since, until in parts:
+            started = []
+            for name in feeds:
+                src = os.path.join(run, name, "in")
+                (in_slice(tx, since, until) if name == feed else tx.limit(0)).write.mode("append").parquet(src)
+                stream = enrich(transaction_file_stream(spark, src, "parquet"), load_places(spark, sf_dir))
+                started.append(start_alert_query(name, high_value_rule(stream, clock_mode="event"), _replay_settings(os.path.join(run, name)),
+                                                 [ParquetSink(os.path.join(run, name, "out"))]))
+            for q in started:
+                q.awaitTermination()
+            log.wait(started)
+        return log.frame(spark)
+    finally:
+        spark.streams.removeListener(log)
+
+
+#: A feed without a row for so long is starved: longer than a weekend, shorter than a working week.
+FEED_STARVED_SECONDS = 3 * 86_400
+
+
+def q_starvation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starved stretches of the replayed feeds, from their progress log."""
+    return _round(starvation_episodes(replay_log(spark, sf_dir), FEED_STARVED_SECONDS, chunk="7 days"), {"idle_seconds"})
+
+
+QUERIES["stream_row_alerts"] = q_stream_row_alerts
+QUERIES["stream_suppress_repeats"] = q_stream_suppress_repeats
+QUERIES["starvation"] = q_starvation
 QUERIES["stream_velocity_day"] = q_stream_velocity_day
 QUERIES["stream_velocity_early"] = q_stream_velocity_early
 QUERIES["stream_velocity_uneven"] = q_stream_velocity_uneven

@@ -280,15 +280,17 @@ FROM (
              sum(CASE WHEN num_input_rows > 0 THEN 1 ELSE 0 END) OVER w AS stretch
       FROM progress
       WINDOW w AS (PARTITION BY query ORDER BY "at" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))
-  WHERE num_input_rows = 0 AND idle_seconds >= 60)
+  WHERE num_input_rows = 0 AND idle_seconds >= 259200)
 WHERE rn = 1""", """
-pc AS (SELECT CAST(ceil(epoch_us(ts) / 5000000.0) AS BIGINT) AS poll, count(*) AS n
-       FROM tx WHERE ts IS NOT NULL GROUP BY 1),
+weeks AS (SELECT unnest(range((SELECT date_trunc('week', min(ts)) FROM tx)::TIMESTAMP,
+    (SELECT max(ts) FROM tx)::TIMESTAMP + INTERVAL 1 MICROSECOND, INTERVAL 7 DAY)) AS monday),
+parts AS (SELECT 'weekday' AS feed, monday AS since, monday + INTERVAL 5 DAY AS until FROM weeks
+  UNION ALL SELECT 'weekend', monday + INTERVAL 5 DAY, monday + INTERVAL 7 DAY FROM weeks),
+polled AS (SELECT * FROM parts WHERE until > (SELECT min(ts) FROM tx) AND since <= (SELECT max(ts) FROM tx)),
 progress AS (
-  SELECT 'transactions' AS query, make_timestamp(g.poll * 5000000) AS "at",
-         coalesce(pc.n, 0) AS num_input_rows
-  FROM (SELECT unnest(range((SELECT min(poll) FROM pc), (SELECT max(poll) FROM pc) + 1)) AS poll) g
-  LEFT JOIN pc ON pc.poll = g.poll)""")
+  SELECT 'alerts_' || f.feed AS query, until AS "at",
+         CASE WHEN f.feed = polled.feed THEN (SELECT count(*) FROM tx WHERE ts >= since AND ts < until) ELSE 0 END AS num_input_rows
+  FROM polled, (VALUES ('weekday'), ('weekend')) f(feed))""")
 
 LABEL_RUNS = with_tx(f"""
 SELECT user_id, arg_min(transaction_id, (ts, transaction_id)) AS first_transaction_id,
@@ -558,5 +560,9 @@ ORACLES["stream_velocity_early"] = _early_velocity("1 day", 4)
 ORACLES["stream_velocity_uneven"] = _early_velocity("7 hours", 3)
 
 
+ORACLES["stream_row_alerts"] = f"SELECT * EXCLUDE (alert_time) FROM ({ORACLES['row_alerts_r1_r4']})"
+ORACLES["stream_suppress_repeats"] = SUPPRESS_REPEATS
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -22,5 +22,12 @@ class Folder:
     def touch(self, name: str) -> None:
         self._fs.create(self._of(name), True).close()
 
+    def put(self, name: str, data: bytes) -> None:
+        """A whole file at once: it is written aside and then renamed."""
+        out = self._fs.create(self._of("_" + name), True)
+        out.write(data)
+        out.close()
+        self._fs.rename(self._of("_" + name), self._of(name))
+
     def remove(self, name: str) -> None:
         self._fs.delete(self._of(name), True)
