@@ -32,13 +32,15 @@ from pyspark.sql import functions as F
 from tripwire.llm.common import stored
 
 #: A task keeps about so many trie entries, and so many words and pairs per language (a group of texts more).
-MAX_ENTRIES = 1_000_000
+MAX_ENTRIES = 700_000
 MAX_UNITS = 400_000
 #: A container of more entries bursts.
 BURST = 16_384
 #: Texts are cut to word ids in groups of about so many bytes; runs go out in batches of so many rows.
 GROUP_BYTES = 6 * 2 ** 20
 RUN_ROWS = 50_000
+#: Shares in which a language's candidates are ranked first.
+SHARES = 16
 #: Bits of the Bloom filter per phrase, its probes, and its largest size in bits (32 MB).
 BITS_PER_PHRASE, PROBES, MAX_BITS = 16, 4, 2 ** 28
 
@@ -443,9 +445,12 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, absorb: int
               .groupBy("lang", part(F.col("start"), F.col("size")).alias("phrase")).agg(F.max("f").alias("longer")))
     kept = (lowest.join(inside, ["lang", "phrase"], "left")
             .where(F.expr(f"longer IS NULL OR 100 * cast(longer AS decimal(20, 0)) < {int(absorb)} * cast(a AS decimal(20, 0))")))
-    w = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return (kept.select("lang", "phrase", "a", "best.l", "best.r", "best.score")
-            .withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= top)
+    # First within SHARES shares of a language, so that at most SHARES * top rows of it meet in one task.
+    by = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    best = (kept.select("lang", "phrase", "a", "best.l", "best.r", "best.score")
+            .withColumn("rank", F.row_number().over(Window.partitionBy("lang", share).orderBy(*by))).where(F.col("rank") <= top))
+    return (best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by)).cast("long")).where(F.col("rank") <= top)
             .join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
 
 
