@@ -21,6 +21,7 @@ are ordered by id. Only the named columns are read.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripwire.llm.common import stored
+from tripwire.llm.common import broadcast_if_small, stored
 
 SCALE = 64
 SHARD_ROWS = 8192
@@ -43,10 +44,14 @@ _LIMIT = 2.0 ** 53
 
 def quantised(embedding: Column, scale: int = SCALE) -> Column:
     """floor(scale * x) of every component, as integers; null where a component is null
-    or not finite (or too large for an integer)."""
-    whole = F.transform(embedding.cast("array<double>"), lambda x: F.floor(x * scale).cast("double"))
-    fine = F.forall(whole, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 2.0 ** 62))
-    return F.when(embedding.isNotNull() & fine & (F.size(embedding) > 0), F.transform(whole, lambda x: x.cast("long")))
+    or not finite. Finite components beyond 64-bit integers are an error: no score of theirs could be told."""
+    parts = embedding.cast("array<double>")
+    fine = F.forall(parts, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < math.inf))
+    def whole(x):
+        scaled = x * scale
+        return F.when(F.abs(scaled) < 2.0 ** 62, F.floor(scaled).cast("long")).otherwise(
+            F.raise_error(F.lit("a vector component is too large for a 64-bit score")).cast("long"))
+    return F.when(embedding.isNotNull() & fine & (F.size(embedding) > 0), F.transform(parts, whole))
 
 
 def _pack(df: DataFrame, group: list[str]) -> DataFrame:
@@ -123,9 +128,11 @@ def search(tree: BallTree, query_ids: np.ndarray, queries: np.ndarray, k: int,
                     heapq.heappush(heap, (-b[keep].max(), child, rows[keep], b[keep]))
             continue
         lo, hi = tree.spans[node]
-        found = (left[rows] @ right[lo:hi].T).astype(np.int64)
+        found = left[rows] @ right[lo:hi].T
         names = np.broadcast_to(tree.ids[lo:hi], found.shape)
         own = names == query_ids[rows][:, None]
+        found[own] = 0              # no result, and its square may be too large
+        found = found.astype(np.int64)
         better = ((found > score[rows, -1:]) | (found == score[rows, -1:]) & (names < ids[rows, -1:])) & ~own
         changed = better.any(1)
         rows = rows[changed]
@@ -195,13 +202,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = SCALE,
     rows = stored(rows.withColumn("dim", F.size("v")), "balls")
     sizes = rows.groupBy("dim").agg(F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias("shards"),
                                     F.ceil(F.sum(F.col("q").cast("int")) / BLOCK_QUERIES).cast("int").alias("blocks"))
-    rows = rows.join(F.broadcast(sizes.limit(100_000)), "dim")    # one row per vector length
+    sizes = broadcast_if_small(sizes, 16)    # one row per vector length
+    rows = rows.join(sizes, "dim")
     def dealt(salt, n):
         return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.greatest(F.col(n), F.lit(1))).cast("int")
     shards = stored(_pack(rows.select("dim", dealt(1, "shards").alias("shard"), "vec_id", "v"), ["dim", "shard"]), "shards")
     blocks = _pack(rows.where("q").select("dim", dealt(2, "blocks").alias("shard"), "vec_id", "v"), ["dim", "shard"]) \
         .select("dim", F.col("shard").alias("block"), F.col("ids").alias("query_ids"), F.col("vectors").alias("queries")) \
-        .join(F.broadcast(sizes.limit(100_000)), "dim") \
+        .join(sizes, "dim") \
         .withColumn("home", F.pmod("block", "shards").cast("int"))
     blocks = stored(blocks, "blocks")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -217,7 +225,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = SCALE,
         first.join(places, "query_id").groupBy("dim", "block")).applyInPandas(
         _kth_of_blocks(k), "dim int, block int, home int, query_ids binary, queries binary, "
                            "kth_scores binary, kth_ids binary")
-    others = known.join(F.broadcast(sizes.limit(100_000)), "dim").select(
+    others = known.join(sizes, "dim").select(
         "dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "home", "query_ids", "queries",
         "kth_scores", "kth_ids").where("shard <> home")
     found = first.union(searched(others.repartition(parts, "dim", "shard")))

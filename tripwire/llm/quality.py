@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,7 @@ TAKEN = 0.05               # share of the unlabelled rows handed over by a view
 SURE = 0.95                # least probability of a pseudo-label
 BUCKETS = 16               # hashed sources
 STEPS = 10                 # most Newton steps of a round
+SUM_GROUPS = 32            # groups of partial sums that are added up first
 BINS, BIN = 600, 0.1       # of the log odds above SURE, for the confidence limits
 
 TEXT_FEATURES = ("symbols", "capitals", "digits", "exclamations", "bars", "word_variety",
@@ -49,7 +51,7 @@ _SYMBOLS = bytes(c for c in _ASCII if chr(c) in "*#$%&@^~=+<>{}[]\\/_")
 _CAPITALS = bytes(range(65, 91))
 _DIGITS = bytes(range(48, 58))
 _FEATURES = pa.schema([("doc_id", pa.int64()), ("text_view", pa.list_(pa.float32())),
-                       ("meta_view", pa.list_(pa.float32()))])
+                       ("meta_view", pa.list_(pa.float32())), ("row", pa.int64())])
 
 
 def text_view(text: str | None) -> list[float]:
@@ -81,10 +83,10 @@ def meta_view(text: str | None, lang: str | None, source: str | None, n_chars: i
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ids, texts, langs, sources, sizes = (b.column(i).to_pylist() for i in range(5))
+        ids, texts, langs, sources, sizes, rows = (b.column(i).to_pylist() for i in range(6))
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(map(text_view, texts), _FEATURES.field(1).type),
-             pa.array(map(meta_view, texts, langs, sources, sizes), _FEATURES.field(2).type)],
+             pa.array(map(meta_view, texts, langs, sources, sizes), _FEATURES.field(2).type), pa.array(rows, pa.int64())],
             schema=_FEATURES)
 
 
@@ -130,18 +132,26 @@ class Pool:
         self.rows = rows
 
     def sum(self, of, size: int) -> np.ndarray:
-        """The sum of of(views) over batches of rows, added up in the tasks."""
+        """The sum of of(views) over batches of rows: a partial sum per task, added up on the cluster in two
+        levels, always in the same order. One pass is one job, and one row reaches the driver."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(size)
             for b in batches:
                 if b.num_rows:
                     total += of([b.column(k).flatten().to_numpy(zero_copy_only=False).astype(float)
                                  .reshape(b.num_rows, -1) for k in (0, 1)])
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
-        total = np.zeros(size)
-        for r in self.rows.mapInArrow(run, "sums binary").toLocalIterator():
-            total += np.frombuffer(r["sums"])
-        return total
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts = sorted((p, s) for b in batches for p, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+            if parts:
+                total = np.sum([np.frombuffer(s) for _, s in parts], axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array([parts[0][0]]), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+        shape = "part long, sums binary"
+        sums = self.rows.mapInArrow(run, shape).repartition(SUM_GROUPS, "part").mapInArrow(add, shape) \
+            .repartition(1).mapInArrow(add, shape).first()
+        return np.zeros(size) if sums is None else np.frombuffer(sums["sums"]).copy()
 
 
 def _moments(views: list[np.ndarray]) -> np.ndarray:
@@ -262,17 +272,19 @@ def _linear(view: str, line: tuple[float, list[float]]) -> F.Column:
     return total
 
 
-def score_quality(documents: DataFrame, labels: DataFrame, holdout: bool = False) -> DataFrame:
+def score_quality(documents: DataFrame, labels: DataFrame, holdout: bool = False, row: str | None = None) -> DataFrame:
     """doc_id, score (1: good), predicted, and the calibrated probability of each view, for
-    every document. With `holdout`, labels of rows with crc32(doc_id) mod 5 = 0 are left out.
+    every document; with `row`, the name of a unique integer column, also that column. With `holdout`, labels of rows with crc32(doc_id) mod 5 = 0 are left out.
 
     One map pass makes the features of all documents (about 40 numbers a row, written);
     the model is fitted on a sample of labelled and all unlabelled rows; scores are column expressions."""
     d = documents
     features = stored(d.select(
         d["doc_id"].cast("long").alias("doc_id"), d["text"], d["lang"].cast("string").alias("lang"),
-        d["source"].cast("string").alias("source"), d["n_chars"].cast("long").alias("n_chars"))
-        .mapInArrow(_features, "doc_id long, text_view array<float>, meta_view array<float>"), "quality")
+        d["source"].cast("string").alias("source"), d["n_chars"].cast("long").alias("n_chars"),
+        (d[row] if row else F.lit(None)).cast("long").alias("row"))
+        .mapInArrow(_features, "doc_id long, text_view array<float>, meta_view array<float>, row long"), "quality")
+    carried = [F.col("row").alias(row)] if row else []
     marks = (labels.select(labels["doc_id"].cast("long").alias("doc_id"),
                            labels["quality"].cast("int").alias("label"))
              .where("label IN (0, 1) AND doc_id IS NOT NULL"))
@@ -293,12 +305,12 @@ def score_quality(documents: DataFrame, labels: DataFrame, holdout: bool = False
     if model is None:
         one = F.lit(1.0)
         return features.select("doc_id", one.alias("score"), F.lit(1).alias("predicted"),
-                               one.alias("p_text"), one.alias("p_meta"))
-    odds = features.select("doc_id", _linear("text_view", model["text"]).alias("t"),
+                               one.alias("p_text"), one.alias("p_meta"), *carried)
+    odds = features.select("doc_id", "row", _linear("text_view", model["text"]).alias("t"),
                            _linear("meta_view", model["meta"]).alias("m"))
     def sigmoid(c):
         return 1 / (1 + F.exp(-c))
     mix0, (wt, wm) = model["mix"]
     score = sigmoid(F.lit(mix0) + F.lit(wt) * F.col("t") + F.lit(wm) * F.col("m"))
     return odds.select("doc_id", score.alias("score"), (score >= 0.5).cast("int").alias("predicted"),
-                       sigmoid(F.col("t")).alias("p_text"), sigmoid(F.col("m")).alias("p_meta"))
+                       sigmoid(F.col("t")).alias("p_text"), sigmoid(F.col("m")).alias("p_meta"), *carried)

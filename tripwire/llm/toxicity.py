@@ -223,7 +223,6 @@ def context_mass(hits: list[tuple[int, float]], spans: list[tuple[int, int]]) ->
 
 def _terms_of(text: str | None) -> set[str]:
     words = set(_WORD.findall(text.lower())) if text else set()
-    words = {w for w in words if not w.isdigit() and len(w) < 40}
     stems = {w[:k] for w in words for k in range(MIN_STEM, min(len(w), MAX_STEM + 1))}
     return stems | {w + WHOLE for w in words}
 
@@ -471,8 +470,9 @@ def fit_curve(mass: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document.
+def score_toxicity(documents: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document; with `row`, the name of a unique integer column,
+    also that column, which tells rows apart that share an id or have none.
 
     The labels meet the documents in one join (broadcast when their row count proves
     them small). Masses of all documents are computed in one map pass and written, a
@@ -484,7 +484,12 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
              .groupBy("doc_id").agg(F.max("label").alias("label")))
     marks = broadcast_if_small(marks, 32)
     terms, ordinary = learn_lexicon(docs.join(marks, "doc_id").select("text", "label"))
-    masses = stored(masses_of(docs, terms, ordinary), "toxic-mass")
+    if row is None:
+        masses = stored(masses_of(docs, terms, ordinary), "toxic-mass")
+    else:
+        by_row = masses_of(documents.select(documents[row].alias("doc_id"), documents["text"]), terms, ordinary)
+        masses = stored(by_row.withColumnRenamed("doc_id", row).join(
+            documents.select(row, documents["doc_id"].cast("long").alias("doc_id")), row), "toxic-mass")
     sample = (masses.join(marks, "doc_id").withColumn("key", F.xxhash64("doc_id"))
               .orderBy("key").limit(FIT_ROWS).select("mass", "label").collect())
     a, b = fit_curve(np.array([r.mass for r in sample]), np.array([r.label for r in sample], float))
@@ -492,4 +497,4 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     if not terms:
         score = F.lit(0.0)
     return masses.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
-                         (score >= 0.5).cast("int").alias("predicted"))
+                         (score >= 0.5).cast("int").alias("predicted"), *([row] if row else []))
