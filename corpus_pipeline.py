@@ -2,17 +2,17 @@
 target weights, encode.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
-columns of `documents`. A stage judges rows by their own contents: rows with a null id
-cannot be told apart by id and are kept by the first three stages; rows that repeat an id are
-kept or rejected together, and near-duplicate removal leaves one of them. An empty table passes as
-an empty table.
+columns of `documents`. The first three write their rows with a key first, and their decisions are joined
+back by that key: every row is judged by its own contents, with or without an id, and rows that share
+an id but not the text are different documents. Near-duplicate removal leaves exactly one row of each group.
+An empty table passes as an empty table.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.llm.common import load, scratch
+from tripwire.llm.common import load, scratch, stored
 from tripwire.llm.cpsjoin import near_duplicates
 from tripwire.llm.mixing import mix_sources
 from tripwire.llm.piece_codec import encode_digests
@@ -24,27 +24,38 @@ from tripwire.llm.toxicity import score_toxicity
 MIX_SHARE = 0.8
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written with a unique key, and the key's name."""
+    name = next(n for n in ("row", "_row", "_row_key", "_row_key_of_stage") if n not in docs.columns)
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "keyed"), name
+
+
+def _kept(keyed: DataFrame, key: str, kept: DataFrame) -> DataFrame:
+    """The rows whose key is in `kept`, without the key."""
+    return keyed.join(kept.select(key), key, "left_semi").drop(key)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scores = score_toxicity(docs, load(spark, sf_dir, "labels"))
-    return _without(docs, scores.where("predicted = 1"))
+    keyed, key = _keyed(docs)
+    scores = score_toxicity(keyed, load(spark, sf_dir, "labels"), row=key)
+    return _kept(keyed, key, scores.where("predicted = 0")).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scores = score_quality(docs, load(spark, sf_dir, "labels"))
-    return _without(docs, scores.where("predicted = 0"))
+    keyed, key = _keyed(docs)
+    scores = score_quality(keyed, load(spark, sf_dir, "labels"), row=key)
+    return _kept(keyed, key, scores.where("predicted = 1")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Word shingles of five, similarity 0.8; the document with the group's smallest id stays."""
-    found = near_duplicates(docs, width=5, threshold=0.8)
-    kept = _without(docs, found.where("NOT kept"))
-    # Rows that repeat an id: one stays. Null ids are no repetition of each other.
-    w = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return kept.withColumn("_n", F.row_number().over(w)).where("_n = 1 OR doc_id IS NULL").select(*docs.columns)
+    """Word shingles of five, similarity 0.8; of each group the row with the smallest id stays (rows without
+    an id last, then by key)."""
+    keyed, key = _keyed(docs)
+    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), width=5, threshold=0.8)
+    members = found.select(F.col("doc_id").alias(key), "component_id").join(
+        keyed.select(key, F.col("doc_id").isNull().alias("no_id"), "doc_id"), key)
+    first = members.groupBy("component_id").agg(F.min(F.struct("no_id", "doc_id", key)).alias("first"))
+    return _kept(keyed, key, first.select(F.col(f"first.{key}").alias(key))).select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
