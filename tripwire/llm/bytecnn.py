@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripwire.llm.common import batches_of
+from tripwire.llm.common import batches_of, broadcast_if_small
 
 #: Bytes of a window; consecutive windows share the widest filter's reach, so no place is lost between two.
 WINDOW = 256
@@ -206,7 +206,8 @@ def training_sample(docs: DataFrame, texts_per_lang: int = TEXTS_PER_LANG) -> Da
     spread = [F.substring(F.col("text"), (F.lit(1) + F.floor(F.greatest(size - WINDOW, F.lit(0)) * (j + 0.5) / WINDOWS_PER_TEXT)).cast("int"), F.lit(WINDOW))
               for j in range(WINDOWS_PER_TEXT)]
     # First a share by hash from the number of distinct texts, about twice what is wanted, then the exact number.
-    counts = known.groupBy("lang").agg(F.approx_count_distinct("key").alias("texts"))
+    # The counts, a row per language, go to the texts: only drawn ones are shuffled.
+    counts = broadcast_if_small(known.groupBy("lang").agg(F.approx_count_distinct("key").alias("texts")), 64)
     share = F.least(F.lit(1.0), F.lit(2.0 * texts_per_lang + 100) / F.col("texts"))
     drawn = (known.join(counts, "lang").where(F.pmod("key", F.lit(1 << 30)) < share * (1 << 30))
              .select("lang", "key", F.array(*spread).alias("parts")).dropDuplicates(["lang", "key"]))
