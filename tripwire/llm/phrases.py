@@ -31,13 +31,14 @@ from pyspark.sql import functions as F
 
 from tripwire.llm.common import stored
 
-#: A task keeps about so many trie entries, and so many words and pairs per language (a group of texts more).
-MAX_ENTRIES = 700_000
-MAX_UNITS = 400_000
+#: A task keeps about so many trie entries, and per language so many words or pairs and so many that were held back (a
+#: group of texts more).
+MAX_ENTRIES = 500_000
+MAX_UNITS, MAX_MISSES = 300_000, 100_000
 #: A container of more entries bursts.
 BURST = 16_384
 #: Texts are cut to word ids in groups of about so many bytes; runs go out in batches of so many rows.
-GROUP_BYTES = 6 * 2 ** 20
+GROUP_BYTES = 2 * 2 ** 20
 RUN_ROWS = 50_000
 #: Shares in which a language's candidates are ranked first.
 SHARES = 16
@@ -206,7 +207,7 @@ class HatTrie:
 
 class _Units(dict):
     """Words or pairs of words of one language in one task -> ids from 1, or 0 for those that the filter
-    holds back. Of the latter at most MAX_UNITS are remembered, others are looked up again."""
+    holds back. Of the latter at most MAX_MISSES are remembered, others are looked up again."""
 
     def __init__(self, bloom: BloomFilter):
         super().__init__()
@@ -224,7 +225,7 @@ class _Units(dict):
             self.names.extend(keys[k] for k in new[held].tolist())
             self.hashes = np.concatenate((self.hashes, hashes[held]))
             self.update((keys[k], n) for k, n in zip(new[held].tolist(), ids[new[held]].tolist()))
-            room = max(MAX_UNITS - len(self), 0)
+            room = max(MAX_MISSES - (len(self) - len(self.names) + 1), 0)
             self.update((keys[k], 0) for k in new[~held][:room].tolist())
         return ids
 
