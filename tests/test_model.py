@@ -110,16 +110,83 @@ def test_registered_model_queries_score_every_transaction(spark):
 
 
 def test_training_goes_on_while_the_label_can_be_learned(spark):
-    """A label that the features explain: many trees, and a ranking far above the base rate."""
-    from pyspark.sql import functions as F
-    from tripwire.operators.model import evaluate
-    e = enriched_tx(spark, SF_SMALL)
-    signal = ((F.col("amount_eur") > 300) & (F.hour("ts") < 12)).cast("int")
-    e = e.withColumn("is_fraud", F.coalesce(signal, F.lit(0)))
+    """A label that the features explain in part: more trees than up to the first round without gain, a ranking no
+    worse than theirs and far above the base rate."""
+    from tripwire.operators.model import evaluate, prefix_precisions
+    from tripwire.plans.catalog import learnable
+    train, valid, _ = temporal_split(learnable(enriched_tx(spark, SF_SMALL)))
+    prof = user_profiles(train)
+    t, v = add_features(train, prof), add_features(valid, prof)
+    model = train_model(t, v, max_iter=40)
+    found = prefix_precisions(model, v)
+    first_dip = next((k for k in range(1, len(found)) if found[k] <= found[k - 1]), len(found))
+    assert model.stages[-1].getNumTrees == len(found) > first_dip
+    assert found[-1] == max(found) >= found[first_dip - 1]
+    scored = add_p_fraud(v, model)
+    base = scored.agg({"is_fraud": "avg"}).first()[0]
+    assert evaluate(scored)["average_precision"] > min(0.9, 1.5 * base)
+
+
+def test_patience_waits_for_a_later_better_round():
+    from tripwire.operators.model import best_prefix
+    assert best_prefix([0.1, 0.3, 0.2, 0.25, 0.4, 0.1], patience=3) == (5, False)
+    assert best_prefix([0.1, 0.3, 0.2, 0.25, 0.2, 0.9], patience=3) == (2, True)
+    assert best_prefix([0.5] * 31, patience=30) == (1, True) and best_prefix([0.5] * 30, patience=30) == (1, False)
+
+
+def test_prefix_precisions_are_those_of_the_first_trees(spark):
+    """Every prefix judged in one pass against a model of that many trees, scored and ranked whole."""
+    from tripwire.operators.model import prefix_precisions
+    from tripwire.plans.catalog import learnable
+    e = learnable(enriched_tx(spark, SF_SMALL))
     train, valid, _ = temporal_split(e)
     prof = user_profiles(train)
-    model = train_model(add_features(train, prof), add_features(valid, prof), max_iter=20)
-    assert model.stages[-1].getNumTrees > 5
-    scored = add_p_fraud(add_features(valid, prof), model)
-    base = scored.agg(F.avg("is_fraud")).first()[0]
-    assert evaluate(scored)["average_precision"] > min(0.9, 2 * base)
+    t, v = add_features(train, prof), add_features(valid, prof).persist()
+    whole = train_model(t, None, max_iter=6)
+    got = prefix_precisions(whole, v)
+    assert len(got) == 6
+    for k in (1, 4, 6):
+        rows = add_p_fraud(v, train_model(t, None, max_iter=k)).select("p_fraud", "is_fraud").collect()
+        cell = lambda p: min(int(p * 4096), 4095)
+        tp = fp = 0
+        ap, total = 0.0, sum(r.is_fraud for r in rows)
+        for c in sorted({cell(r.p_fraud) for r in rows}, reverse=True):
+            pos = sum(r.is_fraud for r in rows if cell(r.p_fraud) == c)
+            tp, fp = tp + pos, fp + sum(1 - r.is_fraud for r in rows if cell(r.p_fraud) == c)
+            ap += pos * tp / (tp + fp) / total
+        assert abs(ap - got[k - 1]) < 1e-9
+    v.unpersist()
+
+
+def test_areas_with_ties_and_missing_classes(spark):
+    from tripwire.operators.model import areas, score_points
+    import random
+    rng = random.Random(1)
+    rows = [(round(rng.random(), 1), int(rng.random() < 0.4)) for _ in range(200)]
+    got = areas(score_points(spark.createDataFrame(rows, "p_fraud double, is_fraud int"))).first()
+    pos, neg = ([s for s, y in rows if y == v] for v in (1, 0))
+    won = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg)
+    assert abs(got.roc_auc - won / (len(pos) * len(neg))) < 1e-12
+    points, tp, fp = [], 0, 0
+    for s in sorted({s for s, _ in rows}, reverse=True):
+        tp, fp = tp + pos.count(s), fp + neg.count(s)
+        points.append((tp / len(pos), tp / (tp + fp)))
+    points.insert(0, (0.0, points[0][1]))
+    want = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:]))
+    assert abs(got.pr_auc - want) < 1e-12
+    one = spark.createDataFrame([(0.5, 1), (None, 0)], "p_fraud double, is_fraud int")
+    assert areas(score_points(one)).first().roc_auc is None
+    assert tuple(areas(score_points(one.limit(0))).first()) == (None, None)
+
+
+def test_training_program_writes_what_the_job_loads(spark, scratch, monkeypatch):
+    from tripwire import train
+    from tripwire.operators.model import load_artifacts
+    from tripwire.plans.catalog import learnable
+    from tripwire.sources.tables import load_transactions
+    learnable(enriched_tx(spark, SF_SMALL)).select(*load_transactions(spark, SF_SMALL).columns).write.parquet(f"{scratch}/tx")
+    monkeypatch.setattr(train, "ship_package", lambda s: None)
+    metrics = train.main(["--transactions", f"{scratch}/tx", "--artifacts", f"{scratch}/model", "--rounds", "5"])
+    model, profiles, tau = load_artifacts(spark, f"{scratch}/model")
+    assert tau == metrics["tau"] and profiles.count() > 0 and metrics["average_precision"] > 0.5
+    assert 1 <= model.stages[-1].getNumTrees <= 5

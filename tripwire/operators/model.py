@@ -6,17 +6,20 @@ average precision work on the exact distinct scores, summed range by range.
 """
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripwire.config import FEATURE_ORDER, LABEL
 from tripwire.operators.enrich import check_no_label_leak
-from tripwire.session import checkpoint_root
 
 
 class FeatureOrderError(ValueError):
@@ -30,27 +33,93 @@ def _complete(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(below.get(c, -1))) for c in FEATURE_ORDER})
 
 
+#: Boosting rounds without a better validation result before training stops, and the sizes that are tried.
+PATIENCE, ROUNDS = 30, (50, 100, 200, 300)
+#: Bins of the score in which a prefix's average precision is taken.
+PREFIX_BINS = 4096
+
+
+def _boosted(data: DataFrame, rounds: int, max_depth: int, step_size: float, seed: int) -> PipelineModel:
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=list(FEATURE_ORDER), outputCol="features", handleInvalid="keep"),
+        GBTClassifier(featuresCol="features", labelCol=LABEL, maxIter=rounds, maxDepth=max_depth, stepSize=step_size,
+                      seed=seed, lossType="logistic")]).fit(data)
+
+
+def prefix_precisions(model: PipelineModel, valid: DataFrame) -> list[float]:
+    """Average precision on `valid` of the first 1, 2, ... trees, from one pass: each row's leaf in every tree
+    gives the running sums of all prefixes, which are counted into PREFIX_BINS bins of the probability (rows of one bin
+    tie). A row per prefix reaches the driver."""
+    boosted = model.stages[-1]
+    leaves = [np.array([float(v) for v in re.findall(r"Predict: (\S+)", t.toDebugString)]) for t in boosted.trees]
+    weights, trees = list(boosted.treeWeights), len(boosted.trees)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pos, neg = (np.zeros((trees, PREFIX_BINS), np.int64) for _ in range(2))
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            at = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, trees).astype(np.int64)
+            label, margin = b.column(1).to_numpy() == 1, np.zeros(b.num_rows)
+            for t in range(trees):
+                margin += weights[t] * leaves[t][at[:, t]]
+                cell = np.minimum(PREFIX_BINS / (1 + np.exp(-2 * margin)), PREFIX_BINS - 1).astype(np.int64)
+                pos[t] += np.bincount(cell[label], minlength=PREFIX_BINS)
+                neg[t] += np.bincount(cell[~label], minlength=PREFIX_BINS)
+        tree, cell = np.nonzero(pos + neg)
+        yield pa.record_batch([pa.array(tree, pa.int64()), pa.array(cell, pa.int64()), pa.array(pos[tree, cell]),
+                               pa.array(neg[tree, cell])], names=["tree", "cell", "pos", "neg"])
+
+    boosted = boosted.copy().setLeafCol("leaf")
+    placed = PipelineModel(model.stages[:-1] + [boosted]).transform(_complete(valid))
+    cells = (placed.select(vector_to_array("leaf").alias("leaf"), F.col(LABEL).cast("double").alias("y"))
+             .mapInArrow(count, "tree long, cell long, pos long, neg long")
+             .groupBy("tree", "cell").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    down = Window.partitionBy("tree").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tp = F.sum("pos").over(down)
+    part = cells.withColumn("gain", F.col("pos") * tp / (tp + F.sum("neg").over(down)))
+    found = part.groupBy("tree").agg((F.sum("gain") / F.sum("pos")).alias("ap")).collect()
+    by_tree = {r.tree: r.ap for r in found}
+    return [by_tree.get(t) or 0.0 for t in range(trees)]
+
+
+def best_prefix(precisions: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """How many trees to keep (the first best, as a run that stops after `patience` rounds without a better
+    one would find it), and whether such a run has stopped within the list."""
+    best, at = -1.0, 0
+    for k, ap in enumerate(precisions, 1):
+        if ap > best:
+            best, at = ap, k
+        elif k - at >= patience:
+            return at, True
+    return at, False
+
+
 def train_model(train_features: DataFrame, valid_features: DataFrame | None = None,
                 max_iter: int = 300, max_depth: int = 5, step_size: float = 0.05,
-                seed: int = 42) -> PipelineModel:
+                seed: int = 42, patience: int = PATIENCE) -> PipelineModel:
     """Boosted trees: depth 5 (up to 32 leaves), learning rate 0.05, up to 300
-    rounds; with a validation frame, boosting stops early in the first round in which the
-    validation loss does not improve at all. No row is left out. No class weights."""
+    rounds; with a validation frame, the rounds end when the validation rows' average precision has
+    not risen for `patience` rounds, and the trees up to the best round are kept. No row is left out. No class weights.
+
+    MLlib cannot go on with a fitted model, so growing numbers of rounds are fitted (ROUNDS) until one has waited long enough;
+    all prefixes of it are judged in one pass, and the best one is fitted anew: equal rows and seed give equal trees."""
     check_no_label_leak(FEATURE_ORDER, allowed=())
     cols = list(FEATURE_ORDER) + [LABEL]
-    data = _complete(train_features).select(*cols).withColumn("_valid", F.lit(False))
-    gbt_args = dict(featuresCol="features", labelCol=LABEL, maxIter=max_iter, maxDepth=max_depth,
-                    stepSize=step_size, seed=seed, lossType="logistic")
-    if valid_features is not None:
-        data = data.unionByName(_complete(valid_features).select(*cols)
-                                .withColumn("_valid", F.lit(True)))
-        gbt_args.update(validationIndicatorCol="_valid", validationTol=0.0)
-    data = data.withColumn(LABEL, F.col(LABEL).cast("double"))
-    pipeline = Pipeline(stages=[
-        VectorAssembler(inputCols=list(FEATURE_ORDER), outputCol="features",
-                        handleInvalid="keep"),
-        GBTClassifier(**gbt_args)])
-    return pipeline.fit(data)
+    data = _complete(train_features).select(*cols).withColumn(LABEL, F.col(LABEL).cast("double")).persist()
+    def fit(rounds):
+        return _boosted(data, rounds, max_depth, step_size, seed)
+    try:
+        if valid_features is None or valid_features.filter(F.col(LABEL) == 1).isEmpty():
+            return fit(max_iter)
+        for rounds in sorted({min(r, max_iter) for r in (*ROUNDS, max_iter)}):
+            model = fit(rounds)
+            keep, waited = best_prefix(prefix_precisions(model, valid_features), patience)
+            if waited:
+                break
+        return model if keep == len(model.stages[-1].trees) else fit(keep)
+    finally:
+        data.unpersist()
 
 
 def check_feature_order(model: PipelineModel) -> None:
@@ -107,34 +176,44 @@ def score_histogram(scored: DataFrame, score_col: str = "p_fraud",
                  F.sum(F.when(F.col(label_col) == 1, 0).otherwise(1)).cast("long").alias("neg")))
 
 
-def threshold_curve(scored: DataFrame, score_col: str = "p_fraud",
-                    label_col: str = LABEL) -> DataFrame:
-    """Per distinct score: tp, fp (score >= threshold), precision, recall, f1
-    (0 when precision + recall = 0), and the previous (next higher) threshold's recall.
+def _range_number(score: Column, cuts: list[float]) -> Column:
+    """How many of the sorted cuts lie below the score, by binary search in one expression."""
+    def between(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(score > F.lit(cuts[mid]), between(mid + 1, hi)).otherwise(between(lo, mid))
+    return between(0, len(cuts))
+
+
+def score_points(scored: DataFrame, score_col: str = "p_fraud", label_col: str = LABEL) -> DataFrame:
+    """Per distinct score (threshold): pos and neg of it, tp and fp at or above it, P and N in all.
 
     The running sums are taken in two levels, so that no task orders all scores: score ranges
     cut at approximate quantiles (as many as there are shuffle partitions), one row of totals
-    per range, and a running sum inside each range."""
+    per range, and a running sum inside each range. `scored` is read twice."""
     spark = scored.sparkSession
-    checkpoint_root(spark)
-    hist = score_histogram(scored, score_col, label_col).checkpoint(eager=True)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     probs = [k / parts for k in range(1, parts)]
-    cuts = sorted(set((hist.agg(F.percentile_approx("threshold", probs, 10_000)).first()[0] or []) if probs else []))
-    # Position in the sorted cuts: ranges are numbered from the lowest score up.
-    part = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: F.col("threshold") > c)) \
-        if cuts else F.lit(0)
-    hist = hist.withColumn("part", part)
+    cuts = sorted(set((scored.agg(F.percentile_approx(score_col, probs, 10_000)).first()[0] or []) if probs else []))
+    hist = score_histogram(scored, score_col, label_col).withColumn("part", _range_number(F.col("threshold"), [float(c) for c in cuts]))
     higher = Window.orderBy(F.col("part").desc()).rowsBetween(Window.unboundedPreceding, -1)
     ranges = hist.groupBy("part").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn"))
     ranges = ranges.select("part", F.coalesce(F.sum("rp").over(higher), F.lit(0)).alias("tp0"),
                            F.coalesce(F.sum("rn").over(higher), F.lit(0)).alias("fp0"),
-                           F.sum("rp").over(Window.partitionBy()).alias("P"))
+                           F.sum("rp").over(Window.partitionBy()).alias("P"), F.sum("rn").over(Window.partitionBy()).alias("N"))
     down = Window.partitionBy("part").orderBy(F.col("threshold").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    c = (hist.join(ranges, "part")
-             .withColumn("tp", (F.col("tp0") + F.sum("pos").over(down)).cast("long"))
-             .withColumn("fp", (F.col("fp0") + F.sum("neg").over(down)).cast("long")))
+    return (hist.join(ranges, "part")
+            .select("threshold", "pos", "neg", (F.col("tp0") + F.sum("pos").over(down)).cast("long").alias("tp"),
+                    (F.col("fp0") + F.sum("neg").over(down)).cast("long").alias("fp"), "P", "N"))
+
+
+def threshold_curve(scored: DataFrame, score_col: str = "p_fraud",
+                    label_col: str = LABEL) -> DataFrame:
+    """Per distinct score: tp, fp (score >= threshold), precision, recall, f1
+    (0 when precision + recall = 0), and the previous (next higher) threshold's recall."""
+    c = score_points(scored, score_col, label_col)
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
     def recall(tp):
         return F.when(F.col("P") > 0, tp / F.col("P")).otherwise(F.lit(0.0))
@@ -146,6 +225,23 @@ def threshold_curve(scored: DataFrame, score_col: str = "p_fraud",
     return c.withColumn("f1", f1).select("threshold", "tp", "fp", "precision", "recall", "f1", "prev_recall")
 
 
+def areas(points: DataFrame) -> DataFrame:
+    """One row: roc_auc and pr_auc from `score_points`; NULL where a class is missing.
+
+    ROC: the chance that a positive row scores above a negative one, ties half - a rank sum, exact in decimals. PR: trapezoids over
+    recall between neighbouring thresholds; left of the highest one its own precision holds. Both are sums over
+    rows that carry their running totals: no task orders the scores."""
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
+    won = F.sum((wide("neg") * (2 * wide("tp") - wide("pos"))).cast("decimal(38,0)"))
+    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
+    before_tp, before_all = F.col("tp") - F.col("pos"), F.col("tp") + F.col("fp") - F.col("pos") - F.col("neg")
+    left = F.when(before_all > 0, before_tp / F.when(before_all > 0, before_all)).otherwise(precision)
+    area = F.sum(F.col("pos") * (precision + left) / 2)
+    p, n = F.max("P"), F.max("N")
+    return points.agg(F.when((p > 0) & (n > 0), won.cast("double") / (2.0 * p * n)).alias("roc_auc"),
+                      F.when(p > 0, area / p).alias("pr_auc"))
+
+
 def pick_tau(curve: DataFrame) -> DataFrame:
     """One row: the threshold with the highest F1 (lowest threshold on ties)."""
     best = curve.agg(F.max_by(F.struct("threshold", "precision", "recall", "f1"),
@@ -161,20 +257,12 @@ def average_precision(curve: DataFrame) -> DataFrame:
 
 
 def evaluate(scored: DataFrame, score_col: str = "p_fraud", label_col: str = LABEL) -> dict:
-    """PR-AUC (trapezoid) and ROC-AUC from MLlib, plus step-wise average
+    """PR-AUC (trapezoid) and ROC-AUC, plus step-wise average
     precision and the F1-best threshold."""
-    data = (scored.filter(F.col(score_col).isNotNull())
-            .select(F.col(score_col).alias("score"), F.col(label_col).cast("double").alias("y")))
-    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="y")
-    curve = threshold_curve(scored, score_col, label_col).cache()
-    try:
-        out = {"pr_auc_trapezoid": ev.evaluate(data, {ev.metricName: "areaUnderPR"}),
-               "roc_auc": ev.evaluate(data, {ev.metricName: "areaUnderROC"}),
-               "average_precision": average_precision(curve).first()[0]}
-        out.update(pick_tau(curve).first().asDict())
-    finally:
-        curve.unpersist()
-    return out
+    curve = threshold_curve(scored, score_col, label_col)
+    area = areas(score_points(scored, score_col, label_col)).first()
+    return {"pr_auc_trapezoid": area.pr_auc, "roc_auc": area.roc_auc, "average_precision": average_precision(curve).first()[0],
+            **pick_tau(curve).first().asDict()}
 
 
 def model_scorer(model: PipelineModel, profiles: DataFrame):

@@ -6,7 +6,6 @@ so results compare one-to-one with the DuckDB oracles in `oracle.py`.
 """
 from __future__ import annotations
 
-import hashlib
 import os
 import uuid
 from collections.abc import Callable
@@ -41,13 +40,11 @@ from tripwire.operators.features import (
 )
 from tripwire.operators.model import (
     add_p_fraud,
+    areas,
     average_precision,
-    evaluate,
-    load_model,
     pick_tau,
-    save_model,
+    score_points,
     threshold_curve,
-    train_model,
 )
 from tripwire.operators.rules import (
     alert_projection,
@@ -65,6 +62,7 @@ from tripwire.streaming.folders import Folder
 from tripwire.streaming.jobs import JobSettings, alert_streams, start_alert_query
 from tripwire.streaming.progress import record_progress
 from tripwire.streaming.sinks import ParquetSink
+from tripwire.train import fit
 from tripwire.sources.dimensions import city_dimension
 from tripwire.sources.streams import to_messages, transaction_file_stream
 from tripwire.sources.tables import (
@@ -270,6 +268,14 @@ QUERIES.update({
 _MODELS: dict[str, dict] = {}
 
 
+def learnable(enriched: DataFrame) -> DataFrame:
+    """The transactions with a label that the features explain in part (the given label is random):
+    large amounts late in the day, blurred by a hash of the id."""
+    blur = F.pmod(F.xxhash64("transaction_id"), F.lit(1000)) / 500.0
+    signal = F.log1p("amount_eur") + F.hour(TS) / 12.0 + blur > 7.5
+    return enriched.withColumn(LABEL, F.coalesce(signal.cast("int"), F.lit(0)))
+
+
 def trained(spark: SparkSession, sf_dir: str) -> dict:
     """Train once per data set and session: temporal split, profiles from the
     train part only, boosted trees with early stopping on the valid part. The
@@ -278,22 +284,7 @@ def trained(spark: SparkSession, sf_dir: str) -> dict:
     key = f"{spark.sparkContext.applicationId}:{os.path.abspath(sf_dir)}"
     if key in _MODELS:
         return _MODELS[key]
-    e = enriched_tx(spark, sf_dir)
-    train, valid, cut = temporal_split(e, 0.8, times=load_transactions(spark, sf_dir))
-    tag = hashlib.sha1(key.encode()).hexdigest()[:12]
-    prof_path = scratch_path(spark, "profiles", tag)
-    user_profiles(train).write.mode("overwrite").parquet(prof_path)
-    profiles = spark.read.parquet(prof_path)
-    model = train_model(add_features(train, profiles), add_features(valid, profiles))
-    model_path = scratch_path(spark, "models", tag)
-    save_model(model, model_path)
-    model = load_model(model_path)
-    scored_path = scratch_path(spark, "scored_valid", tag)
-    add_p_fraud(add_features(valid, profiles), model).write.mode("overwrite").parquet(scored_path)
-    scored = spark.read.parquet(scored_path)
-    metrics = evaluate(scored)
-    _MODELS[key] = {"model": model, "profiles": profiles, "cut": cut, "scored_valid": scored,
-                    "metrics": metrics}
+    _MODELS[key] = fit(learnable(enriched_tx(spark, sf_dir)), times=load_transactions(spark, sf_dir))
     return _MODELS[key]
 
 
@@ -314,7 +305,7 @@ def q_tau_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every transaction with its features and `p_fraud`."""
     t = trained(spark, sf_dir)
-    return add_p_fraud(add_features(enriched_tx(spark, sf_dir), t["profiles"]), t["model"])
+    return add_p_fraud(add_features(learnable(enriched_tx(spark, sf_dir)), t["profiles"]), t["model"])
 
 
 def q_ml_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,6 +469,14 @@ def q_average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(average_precision(threshold_curve(formula_scores(spark, sf_dir))), {"average_precision"})
 
 
+def q_roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(areas(score_points(formula_scores(spark, sf_dir))).select("roc_auc"), {"roc_auc"})
+
+
+def q_pr_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(areas(score_points(formula_scores(spark, sf_dir))).select("pr_auc"), {"pr_auc"})
+
+
 def q_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = [round(0.05 * i, 2) for i in range(1, 20)]
     return _round(confusion_by_tau(formula_scores(spark, sf_dir), grid), {"precision", "recall"})
@@ -510,6 +509,8 @@ QUERIES.update({
     "tau_curve": q_tau_curve,
     "pick_tau": q_pick_tau,
     "average_precision": q_average_precision,
+    "roc_auc": q_roc_auc,
+    "pr_auc": q_pr_auc,
     "confusion": q_confusion,
     "row_alerts_r1_r4": q_row_alerts_r1_r4,
     "ml_alerts_formula": q_ml_alerts_formula,

@@ -442,6 +442,12 @@ SELECT tau, (SELECT count(*) FROM sc WHERE score >= tau) AS at_least,
 FROM (SELECT threshold AS tau FROM curve ORDER BY f1 DESC, threshold LIMIT 1)""", *_CURVE)
 AVERAGE_PRECISION = with_tx("""
 SELECT round(sum((recall - prev_recall) * precision), 6) AS average_precision FROM curve""", *_CURVE)
+# Pairs of a positive and a negative row that the scores order right, ties half.
+ROC_AUC = with_tx("""
+SELECT round(sum(neg * (tp - pos + pos / 2.0)) / (max(total) * sum(neg)), 6) AS roc_auc FROM c0""", *_CURVE)
+PR_AUC = with_tx("""
+SELECT round(sum((recall - prev_recall) * (precision + coalesce(higher, precision)) / 2), 6) AS pr_auc
+FROM (SELECT *, lag(precision) OVER (ORDER BY threshold DESC) AS higher FROM curve)""", *_CURVE)
 CONFUSION = with_tx("""
 SELECT tau, tp, fp, fn, tn, round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END, 6) AS precision,
        round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END, 6) AS recall
@@ -479,6 +485,8 @@ ORACLES.update({
     "tau_curve": TAU_CURVE,
     "pick_tau": PICK_TAU,
     "average_precision": AVERAGE_PRECISION,
+    "roc_auc": ROC_AUC,
+    "pr_auc": PR_AUC,
     "confusion": CONFUSION,
     "row_alerts_r1_r4": f"SELECT * EXCLUDE (detail) FROM ({HIGH_VALUE}) UNION ALL SELECT * FROM ({_score_alerts(0.7)})",
     "ml_alerts_formula": _score_alerts(0.5),
