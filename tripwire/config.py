@@ -62,7 +62,7 @@ MAX_REJECT_RATE = 0.01
 
 # Ids and time stamps as produced upstream.
 USER_ID_PATTERN = r"^u\d{4}$"
-TRANSACTION_ID_PATTERN = r"^t-\d{7}$"
+TRANSACTION_ID_PATTERN = r"^t-\d{7,}$"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 CLOCK_FORMAT = "HH:mm:ss"
 

@@ -34,7 +34,7 @@ def _complete(df: DataFrame) -> DataFrame:
 
 
 #: Boosting rounds without a better validation result before training stops, and the sizes that are tried.
-PATIENCE, ROUNDS = 30, (50, 100, 200, 300)
+PATIENCE, ROUNDS = 30, (120, 300)
 #: Bins of the score in which a prefix's average precision is taken.
 PREFIX_BINS = 4096
 

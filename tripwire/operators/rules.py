@@ -206,11 +206,13 @@ def geo_hop_detail() -> Column:
 def velocity_rule(enriched: DataFrame, width: str = VELOCITY_WINDOW,
                   min_count: int = VELOCITY_MIN_COUNT, watermark: str | None = WATERMARK,
                   clock_mode: str = "wall") -> DataFrame:
-    """R2: at least `min_count` transactions of one user in one window."""
+    """R2: at least `min_count` transactions of one user in one window. A set with one flag per group
+    makes Spark hash the groups; with the latest row alone it would sort the whole input."""
     grouped = (window_groups(enriched, width, watermark,
                              F.count(F.lit(1)).alias("tx_count"),
+                             F.collect_set(F.lit(True)).alias("any"),
                              latest_transaction().alias("last_tx"))
-               .filter(F.col("tx_count") >= min_count))
+               .filter((F.col("tx_count") >= min_count) & (F.size("any") == 1)))
     return shape_window_alerts(grouped, RULE_VELOCITY, velocity_detail(), width, watermark,
                                clock_mode)
 

@@ -66,6 +66,7 @@ from tripwire.train import fit
 from tripwire.sources.dimensions import city_dimension
 from tripwire.sources.streams import to_messages, transaction_file_stream
 from tripwire.sources.tables import (
+    data_key,
     load_places,
     load_transactions,
     table,
@@ -192,7 +193,7 @@ QUERIES.update({
 
 # ------------------------------------------------------------ alert analytics
 
-_ALERT_TABLES: dict[str, str] = {}
+_ALERT_TABLES: dict[tuple, str] = {}
 
 
 def event_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +202,7 @@ def event_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     partitioned by rule - as the alert sink lays it out - and read back. The
     write cuts the lineage, so each analytics query scans the table instead of
     recomputing the rules, and filters on `rule` prune partitions."""
-    key = f"{spark.sparkContext.applicationId}:{os.path.abspath(sf_dir)}"
+    key = data_key(spark, sf_dir, "events", "nation")
     if key not in _ALERT_TABLES:
         path = scratch_path(spark, "alert_table", uuid.uuid4().hex)
         q_all_alerts(spark, sf_dir).write.partitionBy("rule").parquet(path)
@@ -265,7 +266,7 @@ QUERIES.update({
 
 # ---------------------------------------------------------------------- model
 
-_MODELS: dict[str, dict] = {}
+_MODELS: dict[tuple, dict] = {}
 
 
 def learnable(enriched: DataFrame) -> DataFrame:
@@ -281,7 +282,7 @@ def trained(spark: SparkSession, sf_dir: str) -> dict:
     train part only, boosted trees with early stopping on the valid part. The
     model and profiles are written below the shared checkpoint folder and read
     back, so later queries do not recompute the training lineage."""
-    key = f"{spark.sparkContext.applicationId}:{os.path.abspath(sf_dir)}"
+    key = data_key(spark, sf_dir, "events", "nation")
     if key in _MODELS:
         return _MODELS[key]
     _MODELS[key] = fit(learnable(enriched_tx(spark, sf_dir)), times=load_transactions(spark, sf_dir))
@@ -392,9 +393,11 @@ def q_enrich_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of all transactions, some spoiled by a rule on the id: not JSON, an array, a
-    missing key, a null key, an amount or a time that cannot be read."""
+    missing key, a null key, an amount or a time that cannot be read. They are written, so that
+    their readers read messages."""
     value = F.col("value")
-    return (to_messages(load_transactions(spark, sf_dir)).withColumn("kind", F.get_json_object("value", "$.transaction_id"))
+    path = scratch_path(spark, "messages", uuid.uuid4().hex)
+    spoiled = (to_messages(load_transactions(spark, sf_dir)).withColumn("kind", F.get_json_object("value", "$.transaction_id"))
             .withColumn("kind", F.substring("kind", 3, 20).cast("long") % 20)
             .select("key", F.when(F.col("kind") == 0, F.lit("{not json"))
                     .when(F.col("kind") == 1, F.concat(F.lit("["), value, F.lit("]")))
@@ -403,6 +406,8 @@ def bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .when(F.col("kind") == 4, F.regexp_replace(value, '"amount":[0-9.E]+', '"amount":1e19'))
                     .when(F.col("kind") == 5, F.regexp_replace(value, '"timestamp":"[^"]*"', '"timestamp":"soon"'))
                     .otherwise(value).alias("value")))
+    spoiled.write.parquet(path)
+    return spark.read.schema(spoiled.schema).parquet(path)
 
 
 def q_message_check_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:

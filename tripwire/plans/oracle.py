@@ -152,7 +152,7 @@ SELECT check_name, violations FROM (
  UNPIVOT (
   SELECT CAST(count(*) - count(DISTINCT transaction_id) AS BIGINT) AS duplicate_transaction_id,
     CAST(sum(CASE WHEN coalesce(NOT regexp_matches(user_id, '^u\d{4}$'), true) THEN 1 ELSE 0 END) AS BIGINT) AS user_id_pattern,
-    CAST(sum(CASE WHEN coalesce(NOT regexp_matches(transaction_id, '^t-\d{7}$'), true) THEN 1 ELSE 0 END) AS BIGINT) AS transaction_id_pattern,
+    CAST(sum(CASE WHEN coalesce(NOT regexp_matches(transaction_id, '^t-\d{7,}$'), true) THEN 1 ELSE 0 END) AS BIGINT) AS transaction_id_pattern,
     CAST(sum(CASE WHEN coalesce(currency NOT IN ('EUR', 'USD', 'GBP'), true) THEN 1 ELSE 0 END) AS BIGINT) AS currency_domain,
     CAST(sum(CASE WHEN coalesce(method NOT IN ('credit_card', 'debit_card', 'paypal', 'crypto'), true) THEN 1 ELSE 0 END) AS BIGINT) AS method_domain,
     CAST(sum(CASE WHEN coalesce(amount < 5.0 OR (amount > 5000.0 AND is_fraud <> 1), true) THEN 1 ELSE 0 END) AS BIGINT) AS amount_range,
@@ -444,7 +444,8 @@ AVERAGE_PRECISION = with_tx("""
 SELECT round(sum((recall - prev_recall) * precision), 6) AS average_precision FROM curve""", *_CURVE)
 # Pairs of a positive and a negative row that the scores order right, ties half.
 ROC_AUC = with_tx("""
-SELECT round(sum(neg * (tp - pos + pos / 2.0)) / (max(total) * sum(neg)), 6) AS roc_auc FROM c0""", *_CURVE)
+SELECT round(sum(h.neg * (c0.tp - c0.pos + c0.pos / 2.0)) / (max(total) * sum(h.neg)), 6) AS roc_auc
+FROM c0 JOIN h ON h.threshold = c0.threshold""", *_CURVE)
 PR_AUC = with_tx("""
 SELECT round(sum((recall - prev_recall) * (precision + coalesce(higher, precision)) / 2), 6) AS pr_auc
 FROM (SELECT *, lag(precision) OVER (ORDER BY threshold DESC) AS higher FROM curve)""", *_CURVE)

@@ -22,14 +22,28 @@ LOCATION_KEYS = 30
 _TABLES: dict[tuple, DataFrame] = {}
 
 
+def files_state(spark: SparkSession, path: str) -> tuple:
+    """The files below a path with sizes and times: another state means other data."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return ()
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(hadoop)))
+
+
+def data_key(spark: SparkSession, sf_dir: str, *names: str) -> tuple:
+    """What results of this application over some tables may be kept by: it changes when a table is rewritten."""
+    paths = [os.path.join(sf_dir, f"{name}.parquet") for name in names]
+    return (spark.sparkContext.applicationId, *((p, files_state(spark, p)) for p in paths))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of the driver data set. The DataFrame (file listing
-    and footer schema) is reused within one application; DataFrames are
+    and footer schema) is reused within one application while the files stay the same; DataFrames are
     immutable, so sharing it between queries is safe."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, os.path.abspath(path))
+    key = data_key(spark, sf_dir, name)
     if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
+        _TABLES[key] = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return _TABLES[key]
 
 
