@@ -6,6 +6,7 @@ timestamps here.
 from __future__ import annotations
 
 import math
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -126,6 +127,12 @@ def window_start_of(event_time: Column, width: str) -> Column:
     return F.timestamp_micros(F.floor(F.unix_micros(event_time) / F.lit(w_us)) * F.lit(w_us))
 
 
+def too_late(tx: DataFrame, width: str, watermark: datetime) -> DataFrame:
+    """The rows that a window query drops at this watermark: those whose window has ended by then."""
+    end = F.unix_micros(window_start_of(F.col("ts"), width)) + F.lit(width_seconds(width) * 1_000_000)
+    return tx.filter(end <= F.unix_micros(F.lit(watermark)))
+
+
 def duplicate_window_audit(alerts: DataFrame,
                            widths: dict | None = None) -> DataFrame:
     """Windowed alerts that share (rule, user, window) - the window rebuilt from

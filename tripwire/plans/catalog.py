@@ -26,6 +26,7 @@ from tripwire.operators.analytics import (
     parse_iso,
     silent_rules,
     starvation_episodes,
+    too_late,
     unique_alerts,
     window_start_of,
 )
@@ -60,7 +61,7 @@ from tripwire.operators.sequences import label_runs, suppress_repeats, suppress_
 from tripwire.session import scratch_path
 from tripwire.streaming.folders import Folder
 from tripwire.streaming.jobs import JobSettings, alert_streams, start_alert_query
-from tripwire.streaming.progress import record_progress
+from tripwire.streaming.progress import record_progress, windows_in_state
 from tripwire.streaming.sinks import ParquetSink
 from tripwire.train import fit
 from tripwire.sources.dimensions import city_dimension
@@ -668,6 +669,42 @@ def q_stream_suppress_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(spark, tx, time_slices(tx), "suppressed", kept, _replay_settings(run), run).select(*ALERT_COLUMNS)
 
 
+#: Six slices of time, two pairs of them in the wrong order.
+LATE_ORDER = (0, 2, 1, 3, 5, 4)
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly velocity windows over a replay whose slices come out of order. Per step: the rows that come too late for
+    the watermark of their batch, as the progress log has it, and the windows left in the state afterwards."""
+    run = scratch_path(spark, "replay", uuid.uuid4().hex)
+    tx = load_transactions(spark, sf_dir).filter(F.col(TS).isNotNull())
+    slices = time_slices(tx, len(LATE_ORDER))
+    settings = _replay_settings(run, velocity_window="7 days", velocity_min=2)
+    src, left = os.path.join(run, "in"), []
+    log = record_progress(spark, os.path.join(run, "progress"), names=["alerts_velocity"])
+    try:
+        for k in LATE_ORDER if slices else ():
+            in_slice(tx, *slices[k]).write.mode("append").parquet(src)
+            frame = alert_streams(transaction_file_stream(spark, src, "parquet"), settings, load_places(spark, sf_dir))["velocity"]
+            q = start_alert_query("velocity", frame, settings, [ParquetSink(os.path.join(run, "out"))])
+            q.awaitTermination()
+            log.wait([q])
+            left.append(windows_in_state(spark, settings.checkpoint("velocity")))
+        # One batch with rows per step; a slice without rows has none.
+        batches = iter(log.frame(spark).filter(F.col("num_input_rows") > 0).orderBy("batch").collect())
+    finally:
+        spark.streams.removeListener(log)
+    rows = spark.createDataFrame([(s, "windows left", None, n) for s, n in enumerate(left)],
+                                 "step int, kind string, transaction_id string, n long")
+    for step, k in enumerate(LATE_ORDER if slices else ()):
+        part = in_slice(tx, *slices[k])
+        if part.isEmpty():
+            continue
+        late = too_late(part, "7 days", next(batches)["watermark"])
+        rows = rows.union(late.select(F.lit(step), F.lit("late row"), "transaction_id", F.lit(1).cast("long")))
+    return rows
+
+
 def week_parts(tx: DataFrame) -> list[tuple[str, int, int]]:
     """The span of `ts` as working weeks and weekends in order: (feed, since, until) in microseconds."""
     lo, hi = tx.agg(F.unix_micros(F.date_trunc("week", F.min(TS))), F.unix_micros(F.max(TS))).first()
@@ -718,6 +755,7 @@ def q_starvation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["stream_row_alerts"] = q_stream_row_alerts
 QUERIES["stream_suppress_repeats"] = q_stream_suppress_repeats
+QUERIES["stream_late_rows"] = q_stream_late_rows
 QUERIES["starvation"] = q_starvation
 QUERIES["stream_velocity_day"] = q_stream_velocity_day
 QUERIES["stream_velocity_early"] = q_stream_velocity_early

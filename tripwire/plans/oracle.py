@@ -573,5 +573,23 @@ ORACLES["stream_row_alerts"] = f"SELECT * EXCLUDE (alert_time) FROM ({ORACLES['r
 ORACLES["stream_suppress_repeats"] = SUPPRESS_REPEATS
 
 
+# Rows by the step in which their slice is read; a step's watermark is the newest earlier time less the delay.
+_LATE = with_tx("""
+SELECT step, 'late row' AS kind, transaction_id, 1::BIGINT AS n FROM timed WHERE we <= w
+UNION ALL
+SELECT marks.step, 'windows left', NULL, (SELECT count(*) FROM (SELECT DISTINCT user_id, we FROM timed t
+  WHERE t.step <= marks.step AND t.we > t.w AND t.we > marks.after)) FROM marks""", """
+span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM tx WHERE ts IS NOT NULL),
+sliced AS (SELECT tx.*, (SELECT count(*) FROM range(1, 6) r(k), span WHERE epoch_us(ts) >= (hi - lo + 1) * k // 6 + lo) AS slice
+  FROM tx WHERE ts IS NOT NULL),
+stepped AS (SELECT *, CASE slice WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 4 THEN 5 WHEN 5 THEN 4 ELSE slice END::INTEGER AS step,
+    time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') + INTERVAL '7 days' AS we FROM sliced),
+newest AS (SELECT step, date_trunc('millisecond', max(ts)) - INTERVAL '5 minutes' AS t FROM stepped GROUP BY step),
+marks AS (SELECT r.step::INTEGER AS step, (SELECT max(t) FROM newest n WHERE n.step < r.step) AS w,
+    (SELECT max(t) FROM newest n WHERE n.step <= r.step) AS after FROM range(0, 6) r(step)),
+timed AS (SELECT stepped.*, coalesce(w, TIMESTAMP '1970-01-01') AS w FROM stepped JOIN marks ON marks.step = stepped.step)""")
+ORACLES["stream_late_rows"] = _LATE
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -149,3 +149,9 @@ def late_rows(query) -> int:
 
 def _dropped_dict(p: dict) -> int:
     return int(sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", [])))
+
+
+def windows_in_state(spark: SparkSession, checkpoint: str) -> int:
+    """Groups (window and user) that a window query holds in its state after its newest batch, read with
+    Spark's state reader from the checkpoint."""
+    return spark.read.format("statestore").load(checkpoint).count()
