@@ -70,3 +70,26 @@ def test_sums_are_one_row_however_many_partitions(spark):
     assert jobs[0] == jobs[1]
     empty = quality.Pool(spark.createDataFrame([], "a array<float>, b array<float>"))
     assert empty.sum(lambda views: np.ones(2), 2).tolist() == [0.0, 0.0]
+
+
+def test_archives_with_large_pages_and_decisions_in_shares(spark, monkeypatch, tmp_path):
+    """Files are bounded by bytes; what to leave out is told in parts; nothing is lost either way."""
+    import hashlib
+
+    from tripwire.llm import warc
+    rows = [(k, f"http://h/{k}", ("x" * (50 if k % 5 else 3000)) + str(k % 4)) for k in range(40)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    def listed():
+        return sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)
+                      for r in warc.archive_pages(frame, min_bytes=20).collect())
+    want = []
+    for k, _, page in rows:
+        newest = max(j for j, _, other in rows if other == page)
+        want.append((k, len(page), hashlib.sha1(page.encode()).hexdigest(), "response" if k == newest else "revisit",
+                     None if k == newest else newest))
+    assert listed() == sorted(want)
+    monkeypatch.setattr(warc, "FILE_BYTES", 4000 * 100)
+    monkeypatch.setattr(warc, "BROADCAST_BYTES", 64)
+    assert [c[2] for c in warc.size_classes(3001)] == [4000, 133] and listed() == sorted(want)
+    warc.write_archives(frame.where("page_id < 10"), str(tmp_path / "a"))
+    assert warc.read_archives(spark, str(tmp_path / "a")).count() == 10
