@@ -165,7 +165,7 @@ def test_spilled_runs_merge_to_exact_counts(monkeypatch, entries, units, burst,
             for k in range(1, 5):
                 want[k].update((lang, " ".join(words[i:i + k])) for i in range(len(words) - k + 1))
     for run, sizes in ((phrases._word_runs, (1,)), (phrases._phrase_runs(everything), (2,)), (phrases._phrase_runs(everything, everything), (3, 4))):
-        rows = pa.Table.from_batches(list(run(batches)), phrases._RUN_ARROW).sort_by([("lang", "ascending"), ("phrase", "ascending")])
+        rows = pa.Table.from_batches(list(run(batches)), phrases._RUN_ARROW).sort_by([("phrase", "ascending"), ("lang", "ascending")])
         out = pa.Table.from_batches(list(phrases._merge_sorted(rows.to_batches(max_chunksize=5))), phrases._RUN_ARROW).to_pylist()
         assert len(out) == len({(r["lang"], r["phrase"]) for r in out})
         assert {(r["lang"], r["phrase"]): r["f"] for r in out} == sum((want[k] for k in sizes), Counter())

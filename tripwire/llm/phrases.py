@@ -11,7 +11,7 @@ of the first word's id. A container that grows too large is cut in two; one that
 single first word bursts into a node over the next word. When a task holds too many entries, whole subtrees,
 largest first, leave as runs sorted by phrase. (The first and second unit of a triple or
 quadruple are pairs of words.) The runs are written to the shared folder, dealt to ranges of
-(language, phrase), so that a very common first word spreads over many ranges, and merged there
+(phrase, language), so that a very common first word spreads over many ranges, and merged there
 in one sorted sweep.
 
 Ids are local to a task; rows between tasks carry the words themselves.
@@ -29,16 +29,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripwire.llm.common import stored
+from tripwire.llm.common import scratch, stored
 
 #: A task keeps about so many trie entries, and per language so many words or pairs and so many that were held back (a
 #: group of texts more).
-MAX_ENTRIES = 500_000
+MAX_ENTRIES = 800_000
 MAX_UNITS, MAX_MISSES = 300_000, 100_000
 #: A container of more entries bursts.
 BURST = 16_384
 #: Texts are cut to word ids in groups of about so many bytes; runs go out in batches of so many rows.
-GROUP_BYTES = 2 * 2 ** 20
+GROUP_BYTES = 3 * 2 ** 20
 RUN_ROWS = 50_000
 #: Shares in which a language's candidates are ranked first.
 SHARES = 16
@@ -360,7 +360,7 @@ def _phrase_runs(words, pairs=None):
 
 
 def _merge_sorted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (lang, phrase) -> one row per pair with the sum of the counts. Only the last
+    """Rows sorted by (phrase, lang) -> one row per pair with the sum of the counts. Only the last
     pair of a batch waits for the next one."""
     last = None
     for batch in batches:
@@ -389,7 +389,12 @@ def _merge_sorted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def merged(runs: DataFrame) -> DataFrame:
     """Sorted runs -> (lang, phrase, f), one row per phrase. The runs are written first: the ranges
     are drawn from the written table, and a lost executor costs no recount."""
-    return (stored(runs, "runs").repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")
+    path = scratch(runs.sparkSession, "runs")
+    # Phrases hardly repeat within a run: a dictionary of them would be built for nothing.
+    runs.write.option("parquet.enable.dictionary#phrase", "false").parquet(path)
+    written = runs.sparkSession.read.schema(RUN_SCHEMA).parquet(path)
+    # The phrase first: Spark sorts by the first bytes of the first column before it compares rows.
+    return (written.repartitionByRange("phrase", "lang").sortWithinPartitions("phrase", "lang")
             .mapInArrow(_merge_sorted, RUN_SCHEMA))
 
 
