@@ -93,3 +93,24 @@ def test_archives_with_large_pages_and_decisions_in_shares(spark, monkeypatch, t
     assert [c[2] for c in warc.size_classes(3001)] == [4000, 133] and listed() == sorted(want)
     warc.write_archives(frame.where("page_id < 10"), str(tmp_path / "a"))
     assert warc.read_archives(spark, str(tmp_path / "a")).count() == 10
+
+
+def test_long_text_without_spaces_is_encoded_in_linear_time():
+    import random
+    import time
+
+    import sentencepiece
+
+    from tripwire.llm.piece_codec import PieceCodec
+    from tripwire.llm.queries import tokenizer_path
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path())
+    codec, rng = PieceCodec(tokenizer_path()), random.Random(2)
+    took = []
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "的一是不了人我在有他这中大来上国", "aä€𝄞.1"):
+        for size in (40_000, 160_000):
+            text = "".join(rng.choices(letters, k=size))
+            at = time.perf_counter()
+            got = codec.encode(text)
+            took.append(time.perf_counter() - at)
+            assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_bos=True, add_eos=True)
+    assert all(b < 8 * a + 0.2 for a, b in zip(took[::2], took[1::2]))

@@ -1,7 +1,7 @@
 """Exact SentencePiece BPE encoding by backtracking, and decoding.
 
 Text is cut where no piece can reach across (before a run of word-start marks, around
-line feeds, between characters that stand together in no piece); each part is encoded
+line feeds, and in long parts between characters that stand together in no piece); each part is encoded
 on its own:
 an Aho-Corasick pass gives the longest piece from every position; pieces are then
 placed greedily, a piece is accepted if it is compatible with the one before it, and
@@ -15,7 +15,7 @@ Characters that are no piece become their UTF-8 bytes' pieces (byte fallback).
 Defined results: null or empty text encodes to the begin and end ids alone and decodes
 to the empty text. Repeated rows and null ids pass through; an empty table gives an
 empty table; only the named columns are read. Very long texts are encoded whole: work
-is linear in the length, as a part between two marks is short in ordinary text.
+grows with the length, also in text without spaces.
 """
 from __future__ import annotations
 
@@ -33,6 +33,7 @@ from tripwire.llm.common import batches_of
 
 MARK = "▁"                 # SentencePiece's sign for a space
 WORDS_KEPT = 200_000            # encoded words remembered by a Python worker, twice
+LONG_PART = 256                 # characters of a part that is looked through for further cuts
 PAIRS_KEPT = 400_000            # compatibility answers remembered by a Python worker
 
 _ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
@@ -179,12 +180,12 @@ class PieceCodec:
         longest = [0] * size
         for end, piece in self._trie.iter(text):
             longest[end - length[piece] + 1] = piece    # ends ascend: the longest comes last
-        alive = (1 << (size + 1)) - 1           # positions not known to fail
+        failed = bytearray((size >> 3) + 1)     # a bit per position: encoding from it fails
         at, piece, last = 0, longest[0], -1
         placed: list[int] = []
         while True:
             end = at + length[piece]
-            if alive >> end & 1 and (last < 0 or (
+            if not failed[end >> 3] >> (end & 7) & 1 and (last < 0 or (
                     ok if (ok := pairs.get(last << 32 | piece)) is not None
                     else self._compatible(last, piece))):
                 placed.append(piece)
@@ -194,13 +195,22 @@ class PieceCodec:
             elif shorter[piece] >= 0:
                 piece = shorter[piece]
             else:                               # nothing fits here: take the last piece back
-                alive &= ~(1 << at)
+                failed[at >> 3] |= 1 << (at & 7)
                 piece = placed.pop()
                 at -= length[piece]
                 last = placed[-1] if placed else -1
 
     def _part(self, text: str) -> bytes:
-        """Ids of a text between two cuts."""
+        """Ids of a text between two cuts. A long one is cut again between characters that
+        stand together in no piece: no merge can reach across."""
+        if len(text) > LONG_PART:
+            joined = self._joined
+            cuts = [0, *(k for k in range(1, len(text)) if text[k - 1:k + 1] not in joined), len(text)]
+            if len(cuts) > 2:
+                return b"".join(self._placed(text[a:b]) for a, b in zip(cuts, cuts[1:]))
+        return self._placed(text)
+
+    def _placed(self, text: str) -> bytes:
         if self._letters.issuperset(text):
             return self._ids(self._place(text))
         return self._split(text)
