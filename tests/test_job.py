@@ -69,3 +69,43 @@ def test_starvation_warns_once_an_episode():
     watch.onQueryTerminated(run)
     watch.onQueryIdle(run)
     assert len(said) == 2
+
+
+def test_settings_come_from_options_and_environment(monkeypatch):
+    from tripwire.job import settings_of
+    monkeypatch.setenv("TRIPWIRE_VELOCITY_MIN", "7")
+    got = settings_of(options(["--folder", "f", "--checkpoint", "c", "--watermark", "2 minutes", "--geo-window", "10 minutes",
+                               "--high-value", "250", "--trigger-seconds", "1.5"]))
+    assert (got.velocity_min, got.watermark, got.geo_window, got.high_value) == (7, "2 minutes", "10 minutes", 250.0)
+    assert got.trigger == {"processingTime": "1500 milliseconds"}
+    assert settings_of(options(["--folder", "f", "--checkpoint", "c", "--once"])).trigger == {"availableNow": True}
+
+
+def test_job_keeps_bad_messages_and_its_progress(spark, scratch):
+    import json
+
+    from tripwire.job import start
+    from tripwire.streaming.progress import read_progress, record_progress
+    src = os.path.join(scratch, "in")
+    write_json(src, [tx(k, f"2026-01-01T10:00:0{k}Z", amount=300.0 * k) for k in range(4)])
+    with open(os.path.join(src, "bad.json"), "w") as f:
+        broken = dict(tx(9, "2026-01-01T10:00:09Z"))
+        broken.pop("currency")
+        f.write("{not json\n" + json.dumps(broken) + "\n")
+    got = options(["--folder", src, "--checkpoint", scratch + "/ckpt", "--alerts", scratch + "/out", "--quarantine", scratch + "/bad",
+                   "--high-value", "500", "--once"])
+    log = record_progress(spark, scratch + "/progress", held=2)
+    try:
+        queries = start(spark, got)
+        for q in queries:
+            q.awaitTermination(180)
+        log.wait(queries)
+    finally:
+        spark.streams.removeListener(log)
+    bad = {r.value[:9]: r.reason for r in spark.read.parquet(scratch + "/bad").collect()}
+    assert sorted(bad.values()) == ["missing:currency", "not_json_object"] and bad["{not json"] == "not_json_object"
+    alerts = [r for r in spark.read.parquet(scratch + "/out").collect() if r.rule == "high_value"]
+    assert sorted(r.amount for r in alerts) == [600.0, 900.0]
+    progress = {r["query"]: r["num_input_rows"] for r in read_progress(spark, scratch + "/progress").groupBy("query")
+                .agg({"num_input_rows": "sum"}).withColumnRenamed("sum(num_input_rows)", "num_input_rows").collect()}
+    assert progress["quarantine"] == 6 and progress["alerts_row"] == 6
