@@ -10,9 +10,8 @@ In a task each language has a shallow HAT-trie over ids: hash containers (phrase
 of the first word's id. A container that grows too large is cut in two; one that holds a
 single first word bursts into a node over the next word. When a task holds too many entries, whole subtrees,
 largest first, leave as runs sorted by phrase. (The first and second unit of a triple or
-quadruple are pairs of words.) The runs are written to the shared folder, dealt to ranges of
-(phrase, language), so that a very common first word spreads over many ranges, and merged there
-in one sorted sweep.
+quadruple are pairs of words.) The runs are written to the shared folder, dealt to partitions by their first
+two words, so that a very common first word spreads over many, and merged there in one sorted sweep.
 
 Ids are local to a task; rows between tasks carry the words themselves.
 """
@@ -29,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripwire.llm.common import scratch, stored
+from tripwire.llm.common import drop_path, scratch, stored
 
 #: A task keeps about so many trie entries, and per language so many words or pairs and so many that were held back (a
 #: group of texts more).
@@ -280,21 +279,30 @@ class _Counting:
             return
         words = pa.array(self.words.names, pa.binary()).cast(pa.string())
         first, second, flag = keys >> _FIRST, (keys & (2 ** 32 - 1)) >> _SECOND, keys & 1 > 0
+        # Phrases are ordered by the ranks of their words; only the distinct words are compared as text.
+        rank = np.empty(len(words), np.int64)
+        rank[pc.sort_indices(words, null_placement="at_start").to_numpy()] = np.arange(len(words))
         if self.pairs is None:
-            phrases, totals = pc.binary_join_element_wise(words.take(pa.array(first)), words.take(pa.array(second)), " "), counts
+            order = np.lexsort((rank[second], rank[first]))
+            columns = [[(words, first[order]), (words, second[order])]]
+            back = None
         else:
             two = np.array([0, *self.pairs.names[1:]], np.int64)
-            pairs = pc.binary_join_element_wise(words.take(pa.array(two >> _FIRST)),
-                                                words.take(pa.array((two & (2 ** 32 - 1)) >> _SECOND)), " ")
-            phrases = pa.concat_arrays([
-                pc.binary_join_element_wise(pairs.take(pa.array(first[f])), then.take(pa.array(second[f])), " ")
-                for f, then in ((~flag, words), (flag, pairs))])
-            totals = np.concatenate((counts[~flag], counts[flag]))
-        order, totals = pc.sort_indices(phrases), pa.array(totals)
-        for lo in range(0, len(order), RUN_ROWS):
-            part = order[lo:lo + RUN_ROWS]
-            yield pa.record_batch([pa.array([self.lang] * len(part), pa.string()), phrases.take(part), totals.take(part)],
-                                  schema=_RUN_ARROW)
+            one, other = two >> _FIRST, (two & (2 ** 32 - 1)) >> _SECOND
+            pairs = pc.binary_join_element_wise(words.take(pa.array(one)), words.take(pa.array(other)), " ")
+            third = np.where(flag, one[np.where(flag, second, 0)], second)
+            fourth = np.where(flag, rank[other[np.where(flag, second, 0)]], -1)
+            order = np.lexsort((fourth, rank[third], rank[other[first]], rank[one[first]]))
+            kinds = flag[order]
+            columns = [[(pairs, first[order][f]), (then, second[order][f])] for f, then in ((~kinds, words), (kinds, pairs))]
+            back = np.empty(len(order), np.int64)   # where each phrase stands in both kinds put together
+            back[np.concatenate((np.flatnonzero(~kinds), np.flatnonzero(kinds)))] = np.arange(len(order))
+        made = [pc.binary_join_element_wise(*(spelt.take(pa.array(at)) for spelt, at in c), " ") for c in columns]
+        phrases = made[0] if back is None else pa.concat_arrays(made).take(pa.array(back))
+        totals = pa.array(counts[order])
+        for lo in range(0, len(phrases), RUN_ROWS):
+            part = phrases[lo:lo + RUN_ROWS]
+            yield pa.record_batch([pa.array([self.lang] * len(part), pa.string()), part, totals[lo:lo + RUN_ROWS]], schema=_RUN_ARROW)
 
 
 def _grouped(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
@@ -386,16 +394,22 @@ def _merge_sorted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.record_batch([pa.array([v], t) for v, t in zip(last, _RUN_ARROW.types)], schema=_RUN_ARROW)
 
 
-def merged(runs: DataFrame) -> DataFrame:
-    """Sorted runs -> (lang, phrase, f), one row per phrase. The runs are written first: the ranges
-    are drawn from the written table, and a lost executor costs no recount."""
-    path = scratch(runs.sparkSession, "runs")
-    # Phrases hardly repeat within a run: a dictionary of them would be built for nothing.
-    runs.write.option("parquet.enable.dictionary#phrase", "false").parquet(path)
-    written = runs.sparkSession.read.schema(RUN_SCHEMA).parquet(path)
+def merged(runs: DataFrame, least: int, name: str) -> DataFrame:
+    """Sorted runs -> (lang, phrase, f) with f >= least, one row per phrase, written.
+
+    The runs are written first: a lost executor costs no recount. They are dealt by language and first two words,
+    sorted, merged in one sweep per partition, and deleted. (After two common words stand at most as many
+    different common ones as the language has, once per task.)"""
+    spark = runs.sparkSession
+    path = scratch(spark, "runs")
+    # Sorted phrases share their beginnings, which this encoding stores once; a dictionary would be built for nothing.
+    (runs.write.option("parquet.enable.dictionary#phrase", "false").option("parquet.writer.version", "PARQUET_2_0").parquet(path))
+    written = spark.read.schema(RUN_SCHEMA).parquet(path)
     # The phrase first: Spark sorts by the first bytes of the first column before it compares rows.
-    return (written.repartitionByRange("phrase", "lang").sortWithinPartitions("phrase", "lang")
-            .mapInArrow(_merge_sorted, RUN_SCHEMA))
+    counted = stored(written.repartition("lang", F.substring_index("phrase", " ", 2)).sortWithinPartitions("phrase", "lang")
+                     .mapInArrow(_merge_sorted, RUN_SCHEMA).where(F.col("f") >= least), name)
+    drop_path(spark, path)
+    return counted
 
 
 # --- the operator ------------------------------------------------------------------------
@@ -406,13 +420,12 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     spark: SparkSession = docs.sparkSession
     # Texts without content count nothing; a language without a name is `und`.
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").alias("text")).where("text <> ''")
-    words = stored(merged(texts.mapInArrow(_word_runs, RUN_SCHEMA)), "words")
+    words = merged(texts.mapInArrow(_word_runs, RUN_SCHEMA), 1, "words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     found = [words.where(F.col("f") >= least)]
     filters = [spark.sparkContext.broadcast(frequent_filter(found[0]))]
     for name in ("pairs", "longer"):
-        runs = texts.mapInArrow(_phrase_runs(*filters), RUN_SCHEMA)
-        found.append(stored(merged(runs).where(F.col("f") >= least), name))
+        found.append(merged(texts.mapInArrow(_phrase_runs(*filters), RUN_SCHEMA), least, name))
         if name == "pairs":
             filters.append(spark.sparkContext.broadcast(frequent_filter(found[-1])))
     return totals, found[0].union(found[1]).union(found[2])
