@@ -190,3 +190,41 @@ def test_training_program_writes_what_the_job_loads(spark, scratch, monkeypatch)
     model, profiles, tau = load_artifacts(spark, f"{scratch}/model")
     assert tau == metrics["tau"] and profiles.count() > 0 and metrics["average_precision"] > 0.5
     assert 1 <= model.stages[-1].getNumTrees <= 5
+
+
+def _payments(spark, n):
+    """Own rows with the features of `FEATURE_ORDER` and a label that two of them explain in part."""
+    from pyspark.sql import functions as F
+    from tripwire.config import FEATURE_ORDER, LABEL
+    def noise(k):
+        return F.pmod(F.xxhash64(F.col("id"), F.lit(k)), F.lit(10_000)) / 10_000.0
+    rows = spark.range(0, n, 1, 1).withColumns({c: F.floor(20 * noise(k)).cast("double") for k, c in enumerate(FEATURE_ORDER)})
+    signal = F.col(FEATURE_ORDER[0]) + F.col(FEATURE_ORDER[2]) + 12 * noise(99) > 28
+    return rows.withColumn(LABEL, signal.cast("int"))
+
+
+def test_training_fits_once_and_keeps_the_first_trees(spark, scratch, monkeypatch):
+    """The rounds after the best one are cut off, not fitted anew; what is left is the model of so many rounds."""
+    from tripwire.operators import model as m
+    train, valid = _payments(spark, 900), _payments(spark, 1500).where("id >= 900")
+    fits, boosted = [], m._boosted
+    monkeypatch.setattr(m, "_boosted", lambda data, rounds, *a: fits.append(rounds) or boosted(data, rounds, *a))
+    monkeypatch.setattr(m, "best_prefix", lambda found, patience: (3, True))
+    got = m.train_model(train, valid, max_iter=7)
+    assert fits == [7] and got.stages[-1].getNumTrees == 3
+    save_model(got, os.path.join(scratch, "m"))
+    short = m.train_model(train, None, max_iter=3)
+    def scores(fitted):
+        return {r.id: r.p_fraud for r in add_p_fraud(valid, fitted).collect()}
+    want = scores(short)
+    assert scores(got) == want == scores(load_model(os.path.join(scratch, "m")))
+
+
+def test_rows_of_one_file_are_spread_over_the_cores(spark, scratch):
+    from tripwire.operators import model as m
+    m_rows, cores = m.ROWS_A_TASK, spark.sparkContext.defaultParallelism
+    spark.range(0, 2 * m_rows * cores, 1, 1).write.parquet(f"{scratch}/one")
+    one = spark.read.parquet(f"{scratch}/one").coalesce(1)
+    assert m.spread(one).rdd.getNumPartitions() == cores > 1
+    assert m.spread(one).agg({"id": "sum"}).first()[0] == one.agg({"id": "sum"}).first()[0]
+    assert m.spread(one.limit(100)).rdd.getNumPartitions() == 1

@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,12 +33,24 @@ def _complete(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(below.get(c, -1))) for c in FEATURE_ORDER})
 
 
-#: Boosting rounds without a better validation result before training stops, and the sizes that are tried.
-PATIENCE, ROUNDS = 30, (120, 300)
+#: Boosting rounds without a better validation result after which training counts as stopped.
+PATIENCE = 30
 #: Bins of the score in which a prefix's average precision is taken.
 PREFIX_BINS = 4096
 
 
+#: Rows that are worth a task of their own to the model.
+ROWS_A_TASK = 25_000
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows over all cores, if they are many: a table of one file is one task, and each of hundreds of trees looks at every row.
+    Rows that already lie in as many parts, and small tables, stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = min(cores, -(-rows.count() // ROWS_A_TASK))
+    return rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows
+
+
 def _boosted(data: DataFrame, rounds: int, max_depth: int, step_size: float, seed: int) -> PipelineModel:
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(FEATURE_ORDER), outputCol="features", handleInvalid="keep"),
@@ -95,6 +107,21 @@ def best_prefix(precisions: list[float], patience: int = PATIENCE) -> tuple[int,
     return at, False
 
 
+def first_trees(model: PipelineModel, keep: int) -> PipelineModel:
+    """The model as it was after `keep` boosting rounds: a round's tree depends on the rounds before it alone."""
+    boosted = model.stages[-1]
+    if keep >= len(boosted.trees):
+        return model
+    gateway = SparkSession.active().sparkContext._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel, keep)
+    weights = gateway.new_array(gateway.jvm.double, keep)
+    for k, (tree, weight) in enumerate(zip(boosted.trees[:keep], boosted.treeWeights)):
+        trees[k], weights[k] = tree._java_obj, float(weight)
+    shorter = GBTClassificationModel(ml.classification.GBTClassificationModel(boosted.uid, trees, weights))
+    return PipelineModel(model.stages[:-1] + [boosted._copyValues(shorter)])
+
+
 def train_model(train_features: DataFrame, valid_features: DataFrame | None = None,
                 max_iter: int = 300, max_depth: int = 5, step_size: float = 0.05,
                 seed: int = 42, patience: int = PATIENCE) -> PipelineModel:
@@ -102,24 +129,18 @@ def train_model(train_features: DataFrame, valid_features: DataFrame | None = No
     rounds; with a validation frame, the rounds end when the validation rows' average precision has
     not risen for `patience` rounds, and the trees up to the best round are kept. No row is left out. No class weights.
 
-    MLlib cannot go on with a fitted model, so growing numbers of rounds are fitted (ROUNDS) until one has waited long enough;
-    all prefixes of it are judged in one pass, and the best one is fitted anew: equal rows and seed give equal trees."""
+    MLlib cannot go on with a fitted model, so all rounds are fitted once; every prefix is judged in one pass, and the
+    trees after the best one are cut off."""
     check_no_label_leak(FEATURE_ORDER, allowed=())
     cols = list(FEATURE_ORDER) + [LABEL]
     data = _complete(train_features).select(*cols).withColumn(LABEL, F.col(LABEL).cast("double")).persist()
-    def fit(rounds):
-        return _boosted(data, rounds, max_depth, step_size, seed)
     try:
-        if valid_features is None or valid_features.filter(F.col(LABEL) == 1).isEmpty():
-            return fit(max_iter)
-        for rounds in sorted({min(r, max_iter) for r in (*ROUNDS, max_iter)}):
-            model = fit(rounds)
-            keep, waited = best_prefix(prefix_precisions(model, valid_features), patience)
-            if waited:
-                break
-        return model if keep == len(model.stages[-1].trees) else fit(keep)
+        model = _boosted(data, max_iter, max_depth, step_size, seed)
     finally:
         data.unpersist()
+    if valid_features is None or valid_features.filter(F.col(LABEL) == 1).isEmpty():
+        return model
+    return first_trees(model, best_prefix(prefix_precisions(model, valid_features), patience)[0])
 
 
 def check_feature_order(model: PipelineModel) -> None:

@@ -45,6 +45,7 @@ from tripwire.operators.model import (
     average_precision,
     pick_tau,
     score_points,
+    spread,
     threshold_curve,
 )
 from tripwire.operators.rules import (
@@ -278,6 +279,11 @@ def learnable(enriched: DataFrame) -> DataFrame:
     return enriched.withColumn(LABEL, F.coalesce(signal.cast("int"), F.lit(0)))
 
 
+def learnable_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the model queries learn from and score, spread over the cores."""
+    return learnable(enrich(spread(load_transactions(spark, sf_dir)), load_places(spark, sf_dir)))
+
+
 def trained(spark: SparkSession, sf_dir: str) -> dict:
     """Train once per data set and session: temporal split, profiles from the
     train part only, boosted trees with early stopping on the valid part. The
@@ -286,7 +292,7 @@ def trained(spark: SparkSession, sf_dir: str) -> dict:
     key = data_key(spark, sf_dir, "events", "nation")
     if key in _MODELS:
         return _MODELS[key]
-    _MODELS[key] = fit(learnable(enriched_tx(spark, sf_dir)), times=load_transactions(spark, sf_dir))
+    _MODELS[key] = fit(learnable_tx(spark, sf_dir), times=load_transactions(spark, sf_dir))
     return _MODELS[key]
 
 
@@ -307,7 +313,7 @@ def q_tau_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every transaction with its features and `p_fraud`."""
     t = trained(spark, sf_dir)
-    return add_p_fraud(add_features(learnable(enriched_tx(spark, sf_dir)), t["profiles"]), t["model"])
+    return add_p_fraud(add_features(learnable_tx(spark, sf_dir), t["profiles"]), t["model"])
 
 
 def q_ml_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

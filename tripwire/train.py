@@ -19,7 +19,7 @@ from tripwire.config import LABEL, TS
 from tripwire.job import ship_package
 from tripwire.operators.enrich import enrich
 from tripwire.operators.features import add_features, label_rate, temporal_split, user_profiles
-from tripwire.operators.model import add_p_fraud, evaluate, load_model, save_artifacts, save_model, train_model
+from tripwire.operators.model import add_p_fraud, evaluate, load_model, save_artifacts, save_model, spread, train_model
 from tripwire.session import build_session, scratch_path
 from tripwire.sources.streams import parse_transactions
 
@@ -45,7 +45,7 @@ def fit(enriched: DataFrame, times: DataFrame | None = None, train_fraction: flo
 def read_labelled(spark: SparkSession, path: str, form: str, places: DataFrame | None = None) -> DataFrame:
     raw = (spark.read.parquet(path) if form == "parquet"
            else parse_transactions(spark.read.text(path)))
-    return enrich(raw.filter(raw[TS].isNotNull() & raw[LABEL].isNotNull()), places)
+    return enrich(spread(raw.filter(raw[TS].isNotNull() & raw[LABEL].isNotNull())), places)
 
 
 def options(argv: Sequence[str] | None = None) -> argparse.Namespace:
