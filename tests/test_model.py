@@ -228,3 +228,18 @@ def test_rows_of_one_file_are_spread_over_the_cores(spark, scratch):
     assert m.spread(one).rdd.getNumPartitions() == cores > 1
     assert m.spread(one).agg({"id": "sum"}).first()[0] == one.agg({"id": "sum"}).first()[0]
     assert m.spread(one.limit(100)).rdd.getNumPartitions() == 1
+
+
+def test_few_rows_try_fewer_rounds_first(spark, monkeypatch):
+    """Only a run that has not waited long enough is followed by all rounds; many rows get all rounds at once."""
+    from tripwire.operators import model as m
+    train, valid = _payments(spark, 300), _payments(spark, 500).where("id >= 300")
+    fits, boosted = [], m._boosted
+    monkeypatch.setattr(m, "_boosted", lambda data, rounds, *a: fits.append(rounds) or boosted(data, rounds, *a))
+    monkeypatch.setattr(m, "FIRST_ROUNDS", 2)
+    for waits, rows, want in (([True], 1000, [2]), ([False, True], 1000, [2, 4]), ([True], 100, [4])):
+        fits.clear()
+        answers = iter(waits)
+        monkeypatch.setattr(m, "ROWS_A_TASK", rows)
+        monkeypatch.setattr(m, "best_prefix", lambda found, patience: (1, next(answers)))
+        assert m.train_model(train, valid, max_iter=4).stages[-1].getNumTrees == 1 and fits == want

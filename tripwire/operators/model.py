@@ -35,6 +35,8 @@ def _complete(df: DataFrame) -> DataFrame:
 
 #: Boosting rounds without a better validation result after which training counts as stopped.
 PATIENCE = 30
+#: Rounds that are tried first on few rows (ROWS_A_TASK), which are soon learnt by heart.
+FIRST_ROUNDS = 120
 #: Bins of the score in which a prefix's average precision is taken.
 PREFIX_BINS = 4096
 
@@ -129,18 +131,24 @@ def train_model(train_features: DataFrame, valid_features: DataFrame | None = No
     rounds; with a validation frame, the rounds end when the validation rows' average precision has
     not risen for `patience` rounds, and the trees up to the best round are kept. No row is left out. No class weights.
 
-    MLlib cannot go on with a fitted model, so all rounds are fitted once; every prefix is judged in one pass, and the
-    trees after the best one are cut off."""
+    MLlib cannot go on with a fitted model, so all rounds are fitted at once (few rows: FIRST_ROUNDS, and all only if that run has not
+    waited long enough); every prefix is judged in one pass, and the trees after the best one are cut off. The first trees
+    do not depend on the number of rounds, so neither does what is kept."""
     check_no_label_leak(FEATURE_ORDER, allowed=())
     cols = list(FEATURE_ORDER) + [LABEL]
     data = _complete(train_features).select(*cols).withColumn(LABEL, F.col(LABEL).cast("double")).persist()
     try:
-        model = _boosted(data, max_iter, max_depth, step_size, seed)
+        if valid_features is None or valid_features.filter(F.col(LABEL) == 1).isEmpty():
+            return _boosted(data, max_iter, max_depth, step_size, seed)
+        first = FIRST_ROUNDS if data.count() <= ROWS_A_TASK else max_iter
+        for rounds in sorted({min(first, max_iter), max_iter}):
+            model = _boosted(data, rounds, max_depth, step_size, seed)
+            keep, waited = best_prefix(prefix_precisions(model, valid_features), patience)
+            if waited:
+                break
+        return first_trees(model, keep)
     finally:
         data.unpersist()
-    if valid_features is None or valid_features.filter(F.col(LABEL) == 1).isEmpty():
-        return model
-    return first_trees(model, best_prefix(prefix_precisions(model, valid_features), patience)[0])
 
 
 def check_feature_order(model: PipelineModel) -> None:
