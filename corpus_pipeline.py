@@ -2,17 +2,18 @@
 target weights, encode.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
-columns of `documents`. The first three write their rows with a key first, and their decisions are joined
-back by that key: every row is judged by its own contents, with or without an id, and rows that share
-an id but not the text are different documents. Near-duplicate removal leaves exactly one row of each group.
-An empty table passes as an empty table.
+columns of `documents`. The first two judge every row in the pass that keeps or drops it; texts are neither written
+nor shuffled for it. Near-duplicate removal decides on groups: it writes its rows with a key first, and the
+decisions are joined back by that key. So every row is judged by its own contents, with or without an id, and rows
+that share an id but not the text are different documents. Near-duplicate removal leaves exactly one row of
+each group. An empty table passes as an empty table.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.llm.common import load, scratch, stored
+from tripwire.llm.common import drop_path, free_name, load, scratch, stored
 from tripwire.llm.cpsjoin import near_duplicates
 from tripwire.llm.mixing import mix_sources
 from tripwire.llm.piece_codec import encode_digests
@@ -26,7 +27,7 @@ MIX_SHARE = 0.8
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """The rows, written with a unique key, and the key's name."""
-    name = next(n for n in ("row", "_row", "_row_key", "_row_key_of_stage") if n not in docs.columns)
+    name = free_name(docs, "row")
     return stored(docs.withColumn(name, F.monotonically_increasing_id()), "keyed"), name
 
 
@@ -36,15 +37,15 @@ def _kept(keyed: DataFrame, key: str, kept: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keyed, key = _keyed(docs)
-    scores = score_toxicity(keyed, load(spark, sf_dir, "labels"), row=key)
-    return _kept(keyed, key, scores.where("predicted = 0")).select(*docs.columns)
+    name = free_name(docs, "toxicity")
+    judged = score_toxicity(docs, load(spark, sf_dir, "labels"), judged=name)
+    return judged.where(F.col(name)["predicted"] == 0).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keyed, key = _keyed(docs)
-    scores = score_quality(keyed, load(spark, sf_dir, "labels"), row=key)
-    return _kept(keyed, key, scores.where("predicted = 1")).select(*docs.columns)
+    name = free_name(docs, "quality")
+    judged = score_quality(docs, load(spark, sf_dir, "labels"), judged=name)
+    return judged.where(F.col(name)["predicted"] == 1).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,8 +76,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each one's result is written and read again."""
-    docs = load(spark, sf_dir, "documents")
+    """All stages over `documents`; each one's result is written and read again, and goes once the next one's
+    is written."""
+    docs, last = load(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if k == len(STAGES) - 1:
@@ -84,4 +86,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch(spark, f"stage{k}")
         out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        if last:
+            drop_path(spark, last)
+        last = path
     return docs

@@ -28,8 +28,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tripwire.llm.common import broadcast_if_small, stored
+from tripwire.llm.common import beside, broadcast_if_small, drop_path, free_name, position, scratch, stored
 
 FIT_ROWS = 20_000
 ROUNDS = 4
@@ -50,8 +51,8 @@ _ASCII = bytes(range(128))
 _SYMBOLS = bytes(c for c in _ASCII if chr(c) in "*#$%&@^~=+<>{}[]\\/_")
 _CAPITALS = bytes(range(65, 91))
 _DIGITS = bytes(range(48, 58))
-_FEATURES = pa.schema([("doc_id", pa.int64()), ("text_view", pa.list_(pa.float32())),
-                       ("meta_view", pa.list_(pa.float32())), ("row", pa.int64())])
+_VIEW = pa.list_(pa.float32())
+_FEATURES = pa.schema([("doc_id", pa.int64()), ("text_view", _VIEW), ("meta_view", _VIEW)])
 
 
 def text_view(text: str | None) -> list[float]:
@@ -83,11 +84,32 @@ def meta_view(text: str | None, lang: str | None, source: str | None, n_chars: i
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ids, texts, langs, sources, sizes, rows = (b.column(i).to_pylist() for i in range(6))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(map(text_view, texts), _FEATURES.field(1).type),
-             pa.array(map(meta_view, texts, langs, sources, sizes), _FEATURES.field(2).type), pa.array(rows, pa.int64())],
-            schema=_FEATURES)
+        yield pa.RecordBatch.from_arrays([b.column(0), *_views(*(b.column(i).to_pylist() for i in range(1, 5)))],
+                                         schema=_FEATURES)
+
+
+def _views(texts: list, langs: list, sources: list, sizes: list) -> list[pa.Array]:
+    return [pa.array(map(text_view, texts), _VIEW), pa.array(map(meta_view, texts, langs, sources, sizes), _VIEW)]
+
+
+def with_features(documents: DataFrame, name: str) -> DataFrame:
+    """Every row of `documents` with its features in a struct of that name."""
+    at = position(documents, "text")
+    def make():
+        def of(b: pa.RecordBatch) -> pa.Array:
+            meta = b.column(b.num_columns - 1).flatten()
+            views = _views(b.column(at).to_pylist(), *(c.to_pylist() for c in meta))
+            return pa.StructArray.from_arrays(views, names=["text_view", "meta_view"])
+        return of
+    meta = F.struct(*_meta(documents))
+    kind = T.StructType([T.StructField(c, T.ArrayType(T.FloatType())) for c in ("text_view", "meta_view")])
+    given = free_name(documents, f"{name}_of")
+    return beside(documents.withColumn(given, meta), name, kind, make).drop(given)
+
+
+def _meta(d: DataFrame) -> list[F.Column]:
+    return [d["lang"].cast("string").alias("lang"), d["source"].cast("string").alias("source"),
+            d["n_chars"].cast("long").alias("n_chars")]
 
 
 class Logistic:
@@ -265,26 +287,25 @@ def fit_model(views: list[np.ndarray], label: np.ndarray, pool: Pool) -> dict |
     return {"text": lines[0], "meta": lines[1], "mix": (mix0, mix)}
 
 
-def _linear(view: str, line: tuple[float, list[float]]) -> F.Column:
+def _linear(view: F.Column, line: tuple[float, list[float]]) -> F.Column:
     total = F.lit(line[0])
     for k, c in enumerate(line[1]):
-        total = total + F.lit(c) * F.col(view)[k]
+        total = total + F.lit(c) * view[k]
     return total
 
 
-def score_quality(documents: DataFrame, labels: DataFrame, holdout: bool = False, row: str | None = None) -> DataFrame:
+def score_quality(documents: DataFrame, labels: DataFrame, holdout: bool = False, judged: str | None = None) -> DataFrame:
     """doc_id, score (1: good), predicted, and the calibrated probability of each view, for
-    every document; with `row`, the name of a unique integer column, also that column. With `holdout`, labels of rows with crc32(doc_id) mod 5 = 0 are left out.
+    every document; with `judged`, every row of `documents` as it is with a struct of score, predicted and these
+    probabilities in a new column of that name. With `holdout`, labels of rows with crc32(doc_id) mod 5 = 0 are left out.
 
     One map pass makes the features of all documents (about 40 numbers a row, written);
-    the model is fitted on a sample of labelled and all unlabelled rows; scores are column expressions."""
-    d = documents
-    features = stored(d.select(
-        d["doc_id"].cast("long").alias("doc_id"), d["text"], d["lang"].cast("string").alias("lang"),
-        d["source"].cast("string").alias("source"), d["n_chars"].cast("long").alias("n_chars"),
-        (d[row] if row else F.lit(None)).cast("long").alias("row"))
-        .mapInArrow(_features, "doc_id long, text_view array<float>, meta_view array<float>, row long"), "quality")
-    carried = [F.col("row").alias(row)] if row else []
+    the model is fitted on a sample of labelled and all unlabelled rows; scores are column expressions. With
+    `judged` the features are made again beside the rows by the pass that reads the result, so that texts are
+    neither written nor shuffled; the written features go once the model is fitted."""
+    d, folder = documents, scratch(documents.sparkSession, "quality")
+    features = stored(d.select(d["doc_id"].cast("long").alias("doc_id"), d["text"], *_meta(d))
+                      .mapInArrow(_features, "doc_id long, text_view array<float>, meta_view array<float>"), "features", folder)
     marks = (labels.select(labels["doc_id"].cast("long").alias("doc_id"),
                            labels["quality"].cast("int").alias("label"))
              .where("label IN (0, 1) AND doc_id IS NOT NULL"))
@@ -301,16 +322,25 @@ def score_quality(documents: DataFrame, labels: DataFrame, holdout: bool = False
     if known:
         pool = features.where("doc_id IS NOT NULL").join(marks, "doc_id", "left_anti").select("text_view", "meta_view") \
             .union(features.where("doc_id IS NULL").select("text_view", "meta_view"))
-        model = fit_model(matrices(known), np.array([r.label for r in known], float), Pool(stored(pool, "quality-pool")))
+        model = fit_model(matrices(known), np.array([r.label for r in known], float),
+                          Pool(stored(pool, "pool", folder)))
+    if judged is not None:
+        drop_path(d.sparkSession, folder)
     if model is None:
         one = F.lit(1.0)
-        return features.select("doc_id", one.alias("score"), F.lit(1).alias("predicted"),
-                               one.alias("p_text"), one.alias("p_meta"), *carried)
-    odds = features.select("doc_id", "row", _linear("text_view", model["text"]).alias("t"),
-                           _linear("meta_view", model["meta"]).alias("m"))
+        ones = [one.alias("score"), F.lit(1).alias("predicted"), one.alias("p_text"), one.alias("p_meta")]
+        return features.select("doc_id", *ones) if judged is None else d.withColumn(judged, F.struct(*ones))
+    def odds(view):
+        return [_linear(view("text_view"), model["text"]).alias("t"), _linear(view("meta_view"), model["meta"]).alias("m")]
     def sigmoid(c):
         return 1 / (1 + F.exp(-c))
-    mix0, (wt, wm) = model["mix"]
-    score = sigmoid(F.lit(mix0) + F.lit(wt) * F.col("t") + F.lit(wm) * F.col("m"))
-    return odds.select("doc_id", score.alias("score"), (score >= 0.5).cast("int").alias("predicted"),
-                       sigmoid(F.col("t")).alias("p_text"), sigmoid(F.col("m")).alias("p_meta"), *carried)
+    def found(t, m):
+        mix0, (wt, wm) = model["mix"]
+        score = sigmoid(F.lit(mix0) + F.lit(wt) * t + F.lit(wm) * m)
+        return [score.alias("score"), (score >= 0.5).cast("int").alias("predicted"),
+                sigmoid(t).alias("p_text"), sigmoid(m).alias("p_meta")]
+    if judged is None:
+        return features.select("doc_id", *odds(F.col)).select("doc_id", *found(F.col("t"), F.col("m")))
+    own = F.col(judged)
+    return with_features(d, judged).withColumn(judged, F.struct(*odds(lambda view: own[view]))) \
+        .withColumn(judged, F.struct(*found(own["t"], own["m"])))

@@ -35,8 +35,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tripwire.llm.common import batches_of, broadcast_if_small, stored
+from tripwire.llm.common import batches_of, beside, broadcast_if_small, free_name, position, stored
 
 MIN_STEM = 4
 MAX_STEM = 10
@@ -437,12 +438,18 @@ def _rest_masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(mass, pa.float64())], schema=_MASS)
 
 
+def _held(ordinary: DataFrame | None) -> list[str] | None:
+    """The ordinary spellings, or None if they are too many for a task."""
+    held = [] if ordinary is None else ordinary.limit(ORDINARY_HELD + 1).collect()
+    return [r.term for r in held] if len(held) <= ORDINARY_HELD else None
+
+
 def masses_of(docs: DataFrame, terms: list[str], ordinary: DataFrame | None) -> DataFrame:
     """doc_id, mass of every row. Ordinary spellings are held by the tasks when their count
     proves them small; otherwise hits are written and the ordinary ones found by joins."""
-    held = [] if ordinary is None else ordinary.limit(ORDINARY_HELD + 1).collect()
-    if len(held) <= ORDINARY_HELD:
-        return docs.mapInArrow(_masses(terms, [r.term for r in held]), "doc_id long, mass double")
+    held = _held(ordinary)
+    if held is not None:
+        return docs.mapInArrow(_masses(terms, held), "doc_id long, mass double")
     hits = stored(docs.mapInArrow(_all_hits(terms), _HITS_DDL)
                   .withColumn("row", F.monotonically_increasing_id()), "toxic-hits")
     misspelt = hits.select("row", F.inline("hits")).where("part IS NOT NULL")
@@ -453,6 +460,23 @@ def masses_of(docs: DataFrame, terms: list[str], ordinary: DataFrame | None) ->
         .mapInArrow(_rest_masses, "doc_id long, mass double")
 
 
+def with_masses(documents: DataFrame, terms: list[str], ordinary: DataFrame | None, name: str) -> DataFrame:
+    """Every row of `documents` with its mass in a column of that name. Only ordinary spellings too many
+    for a task cost a copy of the rows and a join with their masses."""
+    held, at = _held(ordinary), position(documents, "text")
+    if held is None:
+        key = free_name(documents, "row")
+        keyed = stored(documents.withColumn(key, F.monotonically_increasing_id()), "toxic-keyed")
+        found = masses_of(keyed.select(F.col(key).alias("doc_id"), "text"), terms, ordinary)
+        return keyed.join(found.select(F.col("doc_id").alias(key), F.col("mass").alias(name)), key).select(
+            *documents.columns, name)
+
+    def make():
+        matcher = Matcher(terms, held)
+        return lambda b: pa.array([matcher.mass(x) for x in b.column(at).to_pylist()], pa.float64())
+    return beside(documents, name, T.DoubleType(), make)
+
+
 def fit_curve(mass: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """Logistic regression of the label on log(1 + mass), by Newton steps with a small
     ridge; intercept and slope."""
@@ -470,31 +494,41 @@ def fit_curve(mass: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def score_toxicity(documents: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document; with `row`, the name of a unique integer column,
-    also that column, which tells rows apart that share an id or have none.
+def _first_masses(labelled: DataFrame, terms: list[str], ordinary: DataFrame | None) -> DataFrame:
+    """doc_id, mass of the labelled rows that the curve is fitted on, read anew: those up to the FIT_ROWS-th hash."""
+    key = F.xxhash64("doc_id").alias("key")
+    last = labelled.select(key).orderBy("key").limit(FIT_ROWS).agg(F.max("key")).first()[0]
+    return masses_of(labelled.where(key <= F.lit(last)).select("doc_id", "text"), terms, ordinary)
+
+
+def score_toxicity(documents: DataFrame, labels: DataFrame, judged: str | None = None) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document; with `judged`, every row of `documents` as it is
+    with a struct of held_out, score and predicted in a new column of that name.
 
     The labels meet the documents in one join (broadcast when their row count proves
     them small). Masses of all documents are computed in one map pass and written, a
-    few bytes a row; the curve is then a column expression over them."""
+    few bytes a row; the curve is then a column expression over them. With `judged` they are not written:
+    the curve's rows get theirs first, and the pass that reads the result computes the masses beside the
+    rows, so that texts are neither written nor shuffled (each further read computes them again)."""
     docs = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"])
     marks = (labels.select(labels["doc_id"].cast("long").alias("doc_id"),
                            labels["toxic"].cast("int").alias("label"))
              .where("label IN (0, 1) AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("label").alias("label")))
     marks = broadcast_if_small(marks, 32)
-    terms, ordinary = learn_lexicon(docs.join(marks, "doc_id").select("text", "label"))
-    if row is None:
-        masses = stored(masses_of(docs, terms, ordinary), "toxic-mass")
+    labelled = docs.join(marks, "doc_id")
+    terms, ordinary = learn_lexicon(labelled.select("text", "label"))
+    if judged is None:
+        masses = known = stored(masses_of(docs, terms, ordinary), "toxic-mass")
     else:
-        by_row = masses_of(documents.select(documents[row].alias("doc_id"), documents["text"]), terms, ordinary)
-        masses = stored(by_row.withColumnRenamed("doc_id", row).join(
-            documents.select(row, documents["doc_id"].cast("long").alias("doc_id")), row), "toxic-mass")
-    sample = (masses.join(marks, "doc_id").withColumn("key", F.xxhash64("doc_id"))
+        known = _first_masses(labelled, terms, ordinary)
+    sample = (known.join(marks, "doc_id").withColumn("key", F.xxhash64("doc_id"))
               .orderBy("key").limit(FIT_ROWS).select("mass", "label").collect())
     a, b = fit_curve(np.array([r.mass for r in sample]), np.array([r.label for r in sample], float))
-    score = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.log1p("mass"))))
-    if not terms:
-        score = F.lit(0.0)
-    return masses.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
-                         (score >= 0.5).cast("int").alias("predicted"), *([row] if row else []))
+    def found(doc_id, mass):
+        score = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.log1p(mass)))) if terms else F.lit(0.0)
+        return [held_out(doc_id).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted")]
+    if judged is None:
+        return masses.select("doc_id", *found(F.col("doc_id"), F.col("mass")))
+    return with_masses(documents, terms, ordinary, judged).withColumn(
+        judged, F.struct(*found(F.col("doc_id").cast("long"), F.col(judged))))
